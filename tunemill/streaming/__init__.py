@@ -1,0 +1,5 @@
+"""No stream operators: the workload is batch only.
+
+The row-wise operators (``derive``, ``interactions``, ``squares``, ``flags``, ``predict_tier``, ``recommend``) hold no
+state and run on a streaming DataFrame as they are.
+"""
