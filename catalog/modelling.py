@@ -1 +1,183 @@
-"""Model training, tuning and explanation on the cleaned or full table; checked by properties, not by SQL."""
+"""Model training, tuning and explanation.
+
+Most results depend on a learner and are checked by properties in the tests; queries with a closed form have SQL.
+"""
+
+from pyspark.sql import functions as F
+
+from catalog.registry import TRACK_FEATURES, preds, query, rd, rounded, table, tracks, with_preds
+from tunemill.operators.encode import label_encode
+from tunemill.operators.evaluate import metrics_by
+from tunemill.operators.sampling import sample_n
+from tunemill.plans import explain as X
+from tunemill.plans import models as M
+from tunemill.plans.tune import random_search, refit_and_test
+from tunemill.presets import BOOSTING_SPACE, FOREST_SPACE
+
+KEY = ["track_id"]
+FEATURES = ["popularity", "energy", "valence", "acousticness", "tempo"]
+GOAL = "goal"
+
+
+def labelled(spark, sf):
+    """The stand-in prediction serves as the goal that models learn."""
+    return preds(spark, sf).withColumnRenamed("prediction", GOAL).select("track_id", "split", GOAL, *FEATURES)
+
+
+def training(spark, sf):
+    return labelled(spark, sf).where(F.col("split") == "train")
+
+
+SMALL_FOREST = {"n_estimators": 10, "max_depth": 6}
+SMALL_BOOST = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3}
+
+
+@query("linear_single", with_preds(f"""
+SELECT 'popularity' AS feature, {rd('regr_slope(prediction, popularity)', 4)} AS coefficient,
+       {rd('regr_intercept(prediction, popularity)', 4)} AS intercept FROM preds"""))
+def linear_single(spark, sf):
+    data = labelled(spark, sf)
+    m = M.fit_linear(data, ["popularity"], GOAL)
+    return rounded(spark.createDataFrame([("popularity", float(m.coefficients[0]), float(m.intercept))],
+                                         "feature string, coefficient double, intercept double"), 4)
+
+
+@query("linear_fit")
+def linear_fit(spark, sf):
+    model = M.fit_linear(training(spark, sf), FEATURES, GOAL)
+    return metrics_by(M.score(labelled(spark, sf), model, FEATURES), GOAL, "prediction")
+
+
+@query("forest_fit")
+def forest_fit(spark, sf):
+    model = M.fit_forest(training(spark, sf), FEATURES, GOAL, SMALL_FOREST)
+    return metrics_by(M.score(labelled(spark, sf), model, FEATURES), GOAL, "prediction")
+
+
+@query("gbt_fit")
+def gbt_fit(spark, sf):
+    data = labelled(spark, sf)
+    model = M.fit_gbt(data.where(F.col("split") != "test"), FEATURES, GOAL, SMALL_BOOST,
+                      validation=F.col("split") == "val")
+    return metrics_by(M.score(data, model, FEATURES), GOAL, "prediction")
+
+
+@query("learning_curve")
+def learning_curve(spark, sf):
+    data = labelled(spark, sf)
+    model = M.fit_gbt(training(spark, sf), FEATURES, GOAL, {**SMALL_BOOST, "n_estimators": 5})
+    parts = {name: data.where(F.col("split") == name) for name in ("train", "val")}
+    return M.learning_curve(model, parts, FEATURES, GOAL)
+
+
+@query("importance_rank")
+def importance_rank(spark, sf):
+    data = training(spark, sf)
+    return M.importances(data, M.fit_forest(data, FEATURES, GOAL, SMALL_FOREST), FEATURES)
+
+
+@query("forest_uncertainty")
+def forest_uncertainty(spark, sf):
+    model = M.fit_forest(training(spark, sf), FEATURES, GOAL, SMALL_FOREST)
+    return M.forest_uncertainty(labelled(spark, sf), model, FEATURES).select("track_id", "prediction", "pred_std")
+
+
+@query("tree_stats")
+def tree_stats(spark, sf):
+    data = training(spark, sf)
+    return M.tree_summary(M.tree_stats(data, M.fit_forest(data, FEATURES, GOAL, SMALL_FOREST)))
+
+
+@query("tune_boosting")
+def tune_boosting(spark, sf):
+    return random_search(labelled(spark, sf), "gbt", BOOSTING_SPACE, FEATURES, GOAL, trials=3,
+                         fixed={"n_estimators": 5, "max_depth": 4})[1]
+
+
+@query("tune_forest")
+def tune_forest(spark, sf):
+    data = labelled(spark, sf)
+    best, log = random_search(data, "forest", FOREST_SPACE, FEATURES, GOAL, trials=3, metric="r2",
+                              fixed={"n_estimators": 5, "max_depth": 5})
+    _, tested = refit_and_test(data, "forest", best, FEATURES, GOAL)
+    return log.where("is_best").select("trial", "params", F.col("r2").alias("val_r2")).join(
+        tested.select(F.col("r2").alias("test_r2"), "rows"))
+
+
+@query("shapley")
+def shapley(spark, sf):
+    """Attributions of an exact sample of rows, as a report on a model needs them."""
+    data = labelled(spark, sf)
+    model = M.fit_gbt(training(spark, sf), FEATURES, GOAL, {**SMALL_BOOST, "n_estimators": 5})
+    return X.shapley(sample_n(data, 1000, 42, KEY), model, FEATURES, data, KEY, draws=10)
+
+
+@query("permutation_importance")
+def permutation_importance(spark, sf):
+    model = M.fit_linear(training(spark, sf), FEATURES, GOAL)
+    return X.permutation_importance(labelled(spark, sf), model, FEATURES, GOAL, KEY)
+
+
+# ---- attributions with a closed form ----
+
+PARTS_SQL = """parts AS (SELECT track_id, m AS base, 0.5 * (popularity - mp) AS popularity, 10 * (energy - me) AS energy,
+    -5 * (valence - mv) AS valence, energy AS raw_energy FROM preds, (SELECT avg(prediction) AS m, avg(popularity) AS mp, avg(energy) AS me,
+    avg(valence) AS mv FROM preds))"""
+LINEAR = ["popularity", "energy", "valence"]
+
+
+def attributions(spark, sf):
+    data = labelled(spark, sf)
+    return X.linear_attributions(data, M.fit_linear(data, LINEAR, GOAL), LINEAR, KEY)
+
+
+@query("linear_attributions", with_preds(f""", {PARTS_SQL}
+SELECT track_id, {rd('base', 5)} AS base, {rd('base + popularity + energy + valence', 5)} AS prediction,
+       {rd('popularity', 5)} AS popularity, {rd('energy', 5)} AS energy, {rd('valence', 5)} AS valence FROM parts"""))
+def linear_attributions(spark, sf):
+    return rounded(attributions(spark, sf), 5)
+
+
+@query("mean_abs_attribution", with_preds(f""", {PARTS_SQL} """ + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {rd(f'avg(abs({c}))', 5)} AS mean_abs FROM parts" for c in LINEAR)))
+def mean_abs_attribution(spark, sf):
+    return rounded(X.mean_abs_attribution(attributions(spark, sf), LINEAR), 5)
+
+
+@query("dependence", with_preds(f""", {PARTS_SQL}
+SELECT track_id, {rd('raw_energy', 5)} AS value, {rd('energy', 5)} AS attribution FROM parts"""))
+def dependence(spark, sf):
+    return rounded(X.dependence(labelled(spark, sf), attributions(spark, sf), "energy", KEY), 5)
+
+
+@query("explain_row", with_preds(f""", {PARTS_SQL}, one AS (SELECT * FROM parts ORDER BY track_id LIMIT 1),
+u AS (SELECT base, unnest(['popularity', 'energy', 'valence']) AS feature, unnest([popularity, energy, valence]) AS c FROM one)
+SELECT row_number() OVER w AS rank, feature, {rd('c', 5)} AS contribution, {rd('base + sum(c) OVER w', 5)} AS running
+FROM u WINDOW w AS (ORDER BY abs(c) DESC, feature)"""))
+def explain_row(spark, sf):
+    first = tracks(spark, sf).agg(F.min("track_id")).first()[0]
+    return rounded(X.explain_row(attributions(spark, sf), F.col("track_id") == first, LINEAR), 5)
+
+
+# ---- classifier, recommendation by use, projection ----
+
+@query("hit_classifier")
+def hit_classifier(spark, sf):
+    data = preds(spark, sf).withColumnRenamed("prediction", "guess")
+    model = M.fit_hit_classifier(data.where(F.col("split") == "train"), ["guess", "energy", "valence"])
+    metrics = M.classifier_metrics(data.where(F.col("split") == "test"), model, ["guess", "energy", "valence"])
+    return spark.createDataFrame(list(metrics.items()), "metric string, value double")
+
+
+@query("implicit_factors")
+def implicit_factors(spark, sf):
+    events = label_encode(table(spark, sf, "events"), "event_type", "item").select(
+        F.col("user_id").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "value")
+    model = M.fit_implicit(events, "user", "item", "value")
+    return model.recommendForAllUsers(3).select("user", F.posexplode("recommendations").alias("pos", "r")).select(
+        "user", "pos", "r.item", "r.rating")
+
+
+@query("projection_2d")
+def projection_2d(spark, sf):
+    return M.project_2d(tracks(spark, sf), TRACK_FEATURES, KEY)

@@ -56,7 +56,7 @@ def fit_gbt(df: DataFrame, features: list[str], label: str, params: dict | None
     rows = assemble(df, features, label)
     if validation is None:
         return learner.fit(rows.select("features", "label"))
-    learner.setValidationIndicatorCol("is_validation").setValidationTol(0.001)
+    learner.setValidationIndicatorCol("is_validation").set(learner.validationTol, 0.001)
     return learner.fit(rows.select("features", "label", F.coalesce(validation, F.lit(False)).alias("is_validation")))
 
 
