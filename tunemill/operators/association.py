@@ -5,26 +5,60 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.functions.bins import cut
 from tunemill.functions.normal import correlation_pvalue, inverse_normal
 from tunemill.functions.scalars import correlation
 from tunemill.operators.clean import missing
-from tunemill.operators.ranks import global_index, quantiles, value_counts_long, value_ranks
+from tunemill.operators.ranks import (
+    global_index, quantiles_from_ranks, range_splits, rank_counts, value_ranks,
+)
 
 
 def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select([F.when(~missing(df, c), F.col(c).cast("double")).alias(c) for c in cols])
 
 
-def corr_matrix(df: DataFrame, cols: list[str], lower_only: bool = False) -> DataFrame:
-    """(feature_x, feature_y, corr) with pairwise-complete rows, all pairs in one aggregation."""
+def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """One row with the pairwise-complete correlation of each pair, in the columns ``c0, c1, ...``.
+
+    A first job finds the mean, range and holes of every column. Pairs without holes then need one sum of centred
+    products each, and constant columns give null; pairs with holes have their own means per pair.
+    """
+    cols = list(dict.fromkeys(c for pair in pairs for c in pair))
     data = _as_double(df, cols)
+    stats = data.agg(F.count(F.lit(1)).alias("n"), *[
+        f(c).alias(f"{tag}{i}") for i, c in enumerate(cols)
+        for tag, f in (("have", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))]).first()
+    slot = {c: i for i, c in enumerate(cols)}
+    whole = {c for c in cols if stats[f"have{slot[c]}"] == stats["n"]}
+    constant = {c for c in cols if stats[f"min{slot[c]}"] == stats[f"max{slot[c]}"]}
+    centred = data.select(*cols, *[(F.col(c) - F.lit(stats[f"mean{slot[c]}"])).alias(f"_d{slot[c]}") for c in cols])
+    aggregates, out = {}, []
+    for k, (a, b) in enumerate(pairs):
+        if a in constant or b in constant:
+            out.append(F.lit(None).cast("double").alias(f"c{k}"))
+        elif a in whole and b in whole:
+            names = []
+            for x, y in ((a, b), (a, a), (b, b)):
+                i, j = sorted((slot[x], slot[y]))
+                aggregates[f"s{i}_{j}"] = F.sum(F.col(f"_d{i}") * F.col(f"_d{j}"))
+                names.append(F.col(f"s{i}_{j}"))
+            out.append(F.try_divide(names[0], F.sqrt(names[1]) * F.sqrt(names[2])).alias(f"c{k}"))
+        else:
+            aggregates[f"r{k}"] = correlation(F.col(a), F.col(b))
+            out.append(F.col(f"r{k}").alias(f"c{k}"))
+    sums = centred.agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in aggregates.items()])
+    return sums.select(*out)
+
+
+def corr_matrix(df: DataFrame, cols: list[str], lower_only: bool = False) -> DataFrame:
+    """(feature_x, feature_y, corr) over rows where both are present."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    row = data.agg(*[correlation(F.col(cols[i]), F.col(cols[j])).alias(f"c_{i}_{j}") for i, j in pairs])
+    row = correlations(df, [(cols[i], cols[j]) for i, j in pairs])
+    place = {pair: k for k, pair in enumerate(pairs)}
 
     def cell(i, j):
         return F.struct(F.lit(cols[i]).alias("feature_x"), F.lit(cols[j]).alias("feature_y"),
-                        F.col(f"c_{max(i, j)}_{min(i, j)}").alias("corr"))
+                        F.col(f"c{place[max(i, j), min(i, j)]}").alias("corr"))
 
     wanted = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i > j or not lower_only]
     return row.select(F.inline(F.array(*[cell(i, j) for i, j in wanted])))
@@ -33,9 +67,8 @@ def corr_matrix(df: DataFrame, cols: list[str], lower_only: bool = False) -> Dat
 def corr_with(df: DataFrame, cols: list[str], target: str, by_magnitude: bool = False,
               k: int | None = None) -> DataFrame:
     """(feature, corr) with the target, strongest first."""
-    data = _as_double(df, [*cols, target])
-    row = data.agg(*[correlation(F.col(c), F.col(target)).alias(f"c_{i}") for i, c in enumerate(cols)])
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c_{i}").alias("corr")) for i, c in enumerate(cols)])
+    row = correlations(df, [(c, target) for c in cols])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)])
     strength = F.abs("corr") if by_magnitude else F.col("corr")
     table = row.select(F.inline(cells)).orderBy(strength.desc_nulls_last(), "feature")
     return table if k is None else table.limit(k)
@@ -47,15 +80,18 @@ def spearman_with(df: DataFrame, cols: list[str], target: str, threshold: float
     Works on counts of distinct (value, target) pairs; average ranks come from the counts of distinct values.
     """
     cols = [c for c in cols if c != target]
-    pairs = (_as_double(df, [*cols, target]).where(F.col(target).isNotNull()).unpivot([target], cols, "feature", "value")
-             .where(F.col("value").isNotNull()).withColumnRenamed(target, "goal")
-             .groupBy("feature", "value", "goal").agg(F.count(F.lit(1)).alias("w")))
-    complete = _as_double(df, [*cols, target]).where(F.col(target).isNotNull())
+    data = _as_double(df, [*cols, target]).where(F.col(target).isNotNull())
+    pairs = (data.withColumnRenamed(target, "goal").unpivot(["goal"], cols, "feature", "value")
+             .where(F.col("value").isNotNull()).groupBy("feature", "value", "goal").agg(F.count(F.lit(1)).alias("w")))
+    splits = range_splits(data, [*cols, target])
+    goal_splits = {c: splits[target] for c in cols} if target in splits else {}
     rank = F.col("before") + (F.col("cnt") + 1) / 2.0
-    x_ranks = value_ranks(complete, cols).select("feature", "value", rank.alias("rx"), "n")
+    x_counts = pairs.groupBy("feature", "value").agg(F.sum("w").alias("cnt"))
+    x_ranks = rank_counts(x_counts, ["feature"], {c: e for c, e in splits.items() if c != target}).select(
+        "feature", "value", rank.alias("rx"), "n")
     # The target is ranked among the rows that have the feature.
-    goals = complete.select([F.when(F.col(c).isNotNull(), F.col(target)).alias(c) for c in cols])
-    y_ranks = value_ranks(goals, cols).select("feature", F.col("value").alias("goal"), rank.alias("ry"))
+    y_counts = pairs.groupBy("feature", "goal").agg(F.sum("w").alias("cnt"))
+    y_ranks = rank_counts(y_counts, ["feature"], goal_splits, "goal").select("feature", "goal", rank.alias("ry"))
     mid = (F.col("n") + 1) / 2.0
     dx, dy, w = F.col("rx") - mid, F.col("ry") - mid, F.col("w")
     sums = (pairs.join(x_ranks, ["feature", "value"]).join(y_ranks, ["feature", "goal"])
@@ -71,35 +107,24 @@ def spearman_with(df: DataFrame, cols: list[str], target: str, threshold: float
 def qcut_mean(df: DataFrame, cols: list[str], target: str, q: int = 10) -> DataFrame:
     """Mean target per quantile bin of each column; equal edges are merged.
 
-    (feature, bin, lower, upper, rows, mean_target); the first bin is closed on both sides.
+    (feature, bin, lower, upper, rows, mean_target); the first bin is closed on both sides, and a column with fewer
+    than ``q`` distinct values gets that many bins. Edges and means both come from the counts of distinct values.
     """
-    probs = {f"e{i}": i / q for i in range(q + 1)}
-    edges = {}
-    for r in quantiles(df, cols, probs).collect():
-        edges[r.feature] = sorted({r[name] for name in probs})
-    # A column with fewer distinct values than bins is cut into that many bins.
-    few = {r.feature: r.u for r in value_counts_long(df, cols).groupBy("feature")
-           .agg(F.count(F.lit(1)).alias("u")).collect() if r.u < q}
-    for u in sorted(set(few.values())):
-        same = [c for c, n in few.items() if n == u]
-        probs = {f"e{i}": i / u for i in range(u + 1)}
-        for r in quantiles(df, same, probs).collect():
-            edges[r.feature] = sorted({r[name] for name in probs})
-    usable = [c for c in cols if len(edges.get(c, [])) > 1]
-    x = F.col("value")
-    slot = lower = upper = None
-    for c in usable:
-        e, here = edges[c], F.col("feature") == c
-        part = [cut(x, e, values, include_lowest=True) for values in (range(len(e) - 1), e[:-1], e[1:])]
-        slot, lower, upper = (
-            F.when(here, new) if old is None else F.when(here, new).otherwise(old)
-            for new, old in zip(part, (slot, lower, upper)))
-    # The target may itself be among the columns, so it travels under another name.
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in usable], F.col(target).alias("_goal")).unpivot(
-        ["_goal"], usable, "feature", "value")
-    return (long.select("feature", slot.alias("bin"), lower.alias("lower"), upper.alias("upper"), "_goal")
-            .where(F.col("bin").isNotNull()).groupBy("feature", "bin", "lower", "upper")
-            .agg(F.count(F.lit(1)).alias("rows"), F.avg("_goal").alias("mean_target")))
+    ranks = value_ranks(df, cols, carry=target)
+    bins = F.least(F.lit(q), F.col("n_values"))
+    names = [f"e{i}" for i in range(q + 1)]
+    shares = {name: F.least(F.lit(float(i)) / bins, F.lit(1.0)) for i, name in enumerate(names)}
+    edges = quantiles_from_ranks(ranks, shares).select(
+        "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
+    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
+    slot = F.size(F.filter(inner, lambda edge: F.col("value") > edge))
+    return (ranks.join(edges, "feature").where(F.size("edges") > 1).withColumn("bin", slot)
+            .groupBy("feature", "bin").agg(
+                F.sum("cnt").alias("rows"), F.sum("total").alias("_total"), F.sum("seen").alias("_seen"),
+                F.first("edges").alias("edges"))
+            .select("feature", "bin", F.get("edges", F.col("bin")).alias("lower"),
+                    F.get("edges", F.col("bin") + 1).alias("upper"), "rows",
+                    F.try_divide("_total", "_seen").alias("mean_target")))
 
 
 def trend(df: DataFrame, x: str, y: str, strong: float = 0.5) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunemill.functions.bins import cut
 from tunemill.functions.scalars import (
@@ -86,6 +87,23 @@ def levels_of(df: DataFrame, col: str, limit: int = MAX_LEVELS) -> list:
     return sorted(r[0] for r in rows)
 
 
+def levels_of_all(df: DataFrame, cols: list[str], limit: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted distinct values of several low-cardinality columns in one pass."""
+    if not cols:
+        return {}
+    long = df.select([F.col(c).cast("string").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
+    rows = long.where(F.col("value").isNotNull()).distinct().limit(limit * len(cols) + 1).collect()
+    found: dict[str, list] = {c: [] for c in cols}
+    for r in rows:
+        found[r.feature].append(r.value)
+    for c, values in found.items():
+        if len(values) > limit:
+            raise ValueError(f"{c} has more than {limit} levels and cannot be encoded by level")
+        if isinstance(df.schema[c].dataType, T.IntegralType):
+            found[c] = [int(v) for v in values]
+    return {c: sorted(values) for c, values in found.items()}
+
+
 def one_hot(df: DataFrame, col: str, levels: list | None = None, drop_first: bool = True) -> DataFrame:
     """One 0/1 column per level, without the first level in order; null gives all zeros."""
     levels = levels_of(df, col) if levels is None else list(levels)
@@ -154,9 +172,12 @@ def featurize(df: DataFrame, levels: dict | None = None, genre_codes: dict | Non
 
 def fit_features(df: DataFrame) -> tuple[dict, dict]:
     """Levels of the one-hot columns and codes of the genres, from the training rows."""
-    levels = {c: fixed or levels_of(df, c) for c, fixed in ONE_HOT_LEVELS.items() if c in df.columns}
-    codes = {g: i for i, g in enumerate(levels_of(df, "track_genre"))} if "track_genre" in df.columns else {}
-    return levels, codes
+    levels = {c: fixed for c, fixed in ONE_HOT_LEVELS.items() if c in df.columns}
+    open_ended = [c for c, fixed in levels.items() if fixed is None]
+    genre = ["track_genre"] if "track_genre" in df.columns else []
+    found = levels_of_all(df, open_ended + genre)
+    codes = {g: i for i, g in enumerate(found[genre[0]])} if genre else {}
+    return levels | {c: found[c] for c in open_ended}, codes
 
 
 def model_matrix(df: DataFrame, fit_on: DataFrame | None = None) -> DataFrame:

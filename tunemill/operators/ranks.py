@@ -10,84 +10,112 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunemill.session import shared_dir
 
-MAX_VALUES_PER_TASK = 200_000
+MAX_VALUES_PER_TASK = 1_000_000
 MAX_BUCKETS = 10_000
 
 
-def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = ()) -> DataFrame:
-    """(keys, feature, value, cnt) over the non-missing values; rows with a null key are left out."""
-    long = (df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols if c not in keys])
-            .unpivot(list(keys), list(cols), "feature", "value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
+def _number(col: str) -> Column:
+    """The column as a double with NaN as null."""
+    value = F.col(col).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carry: str | None = None) -> DataFrame:
+    """(keys, feature, value, cnt) over the non-missing values; rows with a null key are left out.
+
+    With ``carry`` the sum and the count of that column per value are added as ``total`` and ``seen``.
+    """
+    ids = [F.col(k) for k in keys]
+    sums = []
+    if carry:
+        ids.append(F.col(carry).cast("double").alias("_carry"))
+        sums = [F.sum("_carry").alias("total"), F.count("_carry").alias("seen")]
+    # Value columns travel under a number, so that a key or the carried column may also be a value column.
+    wide = df.select(*ids, *[_number(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    long = wide.unpivot([c for c in wide.columns if not c.startswith("_v")], [f"_v{i}" for i in range(len(cols))],
+                        "slot", "value").where(F.col("value").isNotNull())
     for key in keys:
         long = long.where(F.col(key).isNotNull())
-    return long.groupBy(*keys, "feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = long.groupBy(*keys, "slot", "value").agg(F.count(F.lit(1)).alias("cnt"), *sums)
+    names = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (f"_v{i}", c)])
+    return counts.select(*keys, F.element_at(names, F.col("slot")).alias("feature"), "value", "cnt",
+                         *(["total", "seen"] if carry else []))
 
 
-def _splits(df: DataFrame, cols: list[str], max_values: int) -> dict[str, list[float]]:
+def range_splits(df: DataFrame, cols: list[str], max_values: int = MAX_VALUES_PER_TASK) -> dict[str, list[float]]:
     """Bucket bounds of the columns with more distinct values than one task should sort."""
-    distinct = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-    wide = {c: min(MAX_BUCKETS, math.ceil(2 * distinct[c] / max_values)) for c in cols if distinct[c] > max_values}
-    if not wide:
+    distinct = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    buckets = {c: min(MAX_BUCKETS, math.ceil(2 * distinct[i] / max_values)) for i, c in enumerate(cols)
+               if distinct[i] > max_values}
+    if not buckets:
         return {}
-    row = df.agg(*[
-        F.percentile_approx(F.nanvl(F.col(c).cast("double"), F.lit(None)), [i / n for i in range(1, n)], 20 * n).alias(c)
-        for c, n in wide.items()]).first()
-    bounds = {c: sorted(set(row[c] or [])) for c in wide}
+    row = df.agg(*[F.percentile_approx(_number(c), [i / n for i in range(1, n)], 20 * n)
+                   for c, n in buckets.items()]).first()
+    bounds = {c: sorted(set(row[i] or [])) for i, c in enumerate(buckets)}
     return {c: [-math.inf, *b, math.inf] for c, b in bounds.items() if b}
 
 
-def value_ranks(df: DataFrame, cols: list[str], keys: list[str] = (),
-                max_values: int = MAX_VALUES_PER_TASK) -> DataFrame:
-    """(keys, feature, value, cnt, before, n): how many rows of the group lie below each distinct value."""
-    keys = list(keys)
-    counts = value_counts_long(df, cols, keys)
-    group = [*keys, "feature"]
-    splits = _splits(df, list(cols), max_values)
+def rank_counts(counts: DataFrame, group: list[str], splits: dict[str, list[float]], value: str = "value") -> DataFrame:
+    """Add ``before`` (rows below the value), ``n`` (rows) and ``n_values`` (distinct values) of each group.
+
+    ``counts`` has one row per group and value, with the rows in ``cnt``.
+    """
+    carried = [c for c in counts.columns]
     if not splits:
-        running = W.partitionBy(*group).orderBy("value")
+        running = W.partitionBy(*group).orderBy(value)
+        everything = W.partitionBy(*group)
         return counts.withColumns({
-            "before": F.sum("cnt").over(running) - F.col("cnt"),
-            "n": F.sum("cnt").over(W.partitionBy(*group)),
-        })
+            "before": F.sum("cnt").over(running) - F.col("cnt"), "n": F.sum("cnt").over(everything),
+            "n_values": F.count(F.lit(1)).over(everything)})
     bucket = F.lit(0.0)
     for i, (col, edges) in enumerate(splits.items()):
         if len(edges) > 3:
-            counts = Bucketizer(splits=edges, inputCol="value", outputCol=f"_b{i}").transform(counts)
+            counts = Bucketizer(splits=edges, inputCol=value, outputCol=f"_b{i}").transform(counts)
             bucket = F.when(F.col("feature") == col, F.col(f"_b{i}")).otherwise(bucket)
-    counts = counts.select(*group, "value", "cnt", bucket.alias("bucket"))
-    offsets = (counts.groupBy(*group, "bucket").agg(F.sum("cnt").alias("bucket_cnt"))
-               .withColumns({
-                   "offset": F.sum("bucket_cnt").over(W.partitionBy(*group).orderBy("bucket")) - F.col("bucket_cnt"),
-                   "n": F.sum("bucket_cnt").over(W.partitionBy(*group)),
-               }).drop("bucket_cnt"))
-    inside = W.partitionBy(*group, "bucket").orderBy("value")
-    return (counts.join(offsets, [*group, "bucket"])
-            .withColumn("before", F.col("offset") + F.sum("cnt").over(inside) - F.col("cnt"))
-            .select(*group, "value", "cnt", "before", "n"))
-
-
-def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float], keys: list[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles, one column per entry of ``probs``."""
+    counts = counts.select(*carried, bucket.alias("_bucket"))
+    everything = W.partitionBy(*group)
+    offsets = (counts.groupBy(*group, "_bucket").agg(F.sum("cnt").alias("_cnt"), F.count(F.lit(1)).alias("_values"))
+               .select(*group, "_bucket",
+                       (F.sum("_cnt").over(everything.orderBy("_bucket")) - F.col("_cnt")).alias("_offset"),
+                       F.sum("_cnt").over(everything).alias("n"), F.sum("_values").over(everything).alias("n_values")))
+    inside = W.partitionBy(*group, "_bucket").orderBy(value)
+    return (counts.join(offsets, [*group, "_bucket"])
+            .withColumn("before", F.col("_offset") + F.sum("cnt").over(inside) - F.col("cnt"))
+            .select(*carried, "before", "n", "n_values"))
+
+
+def value_ranks(df: DataFrame, cols: list[str], keys: list[str] = (), max_values: int = MAX_VALUES_PER_TASK,
+                carry: str | None = None) -> DataFrame:
+    """(keys, feature, value, cnt, before, n, n_values): how many rows of the group lie below each distinct value."""
+    counts = value_counts_long(df, cols, keys, carry)
+    return rank_counts(counts, [*keys, "feature"], range_splits(df, list(cols), max_values))
+
+
+def _picks(probs: dict[str, Column]) -> tuple[list[Column], list[Column]]:
+    """Aggregates that find the two values around each quantile, and the interpolation between them."""
     start, end = F.col("before"), F.col("before") + F.col("cnt")
-    picks = []
+    found, out = [], []
     for name, p in probs.items():
-        pos = (F.col("n") - 1) * F.lit(float(p))
+        pos = (F.col("n") - 1) * p
         for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            picks.append(F.max(F.when((start <= at) & (at < end), F.col("value"))).alias(f"_{side}_{name}"))
-    found = ranks.groupBy(*keys, "feature").agg(F.max("n").alias("n"), *picks)
-    out = []
-    for name, p in probs.items():
-        pos = (F.col("n") - 1) * F.lit(float(p))
+            found.append(F.max(F.when((start <= at) & (at < end), F.col("value"))).alias(f"_{side}_{name}"))
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
         out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
-    return found.select(*keys, "feature", *out)
+    return found, out
+
+
+def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float | Column], keys: list[str] = ()) -> DataFrame:
+    """Linearly interpolated quantiles, one column per entry of ``probs``; a share may depend on ``n_values``."""
+    shares = {name: p if isinstance(p, Column) else F.lit(float(p)) for name, p in probs.items()}
+    found, out = _picks(shares)
+    table = ranks.groupBy(*keys, "feature").agg(F.max("n").alias("n"), F.max("n_values").alias("n_values"), *found)
+    return table.select(*keys, "feature", *out)
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: dict[str, float], keys: list[str] = (),

@@ -57,14 +57,17 @@ def fit_gbt(df: DataFrame, features: list[str], label: str, params: dict | None
     if validation is None:
         return learner.fit(rows.select("features", "label"))
     learner.setValidationIndicatorCol("is_validation").set(learner.validationTol, 0.001)
-    return learner.fit(rows.select("features", "label", F.coalesce(validation, F.lit(False)).alias("is_validation")))
+    # Every iteration evaluates the validation rows, so they must not be recomputed from the source.
+    marked = rows.select("features", "label", F.coalesce(validation, F.lit(False)).alias("is_validation")).persist()
+    try:
+        return learner.fit(marked)
+    finally:
+        marked.unpersist()
 
 
 def score(df: DataFrame, model, features: list[str], name: str = "prediction") -> DataFrame:
     """Add the model's prediction; only ``features`` are read."""
-    scored = model.transform(assemble(df, features))
-    renamed = scored if name == "prediction" else scored.withColumnRenamed("prediction", name)
-    return renamed.drop("features")
+    return model.copy({model.getParam("predictionCol"): name}).transform(assemble(df, features)).drop("features")
 
 
 def importances(df: DataFrame, model, features: list[str]) -> DataFrame:
