@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tunemill.functions.normal import correlation_pvalue, inverse_normal
 from tunemill.functions.scalars import correlation
+from tunemill.functions.sqltext import as_double, name, number, rows, text
 from tunemill.operators.clean import missing
 from tunemill.operators.ranks import (
     global_index, quantiles_from_ranks, range_splits, rank_counts, value_ranks,
@@ -14,7 +15,7 @@ from tunemill.operators.ranks import (
 
 
 def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select([F.when(~missing(df, c), F.col(c).cast("double")).alias(c) for c in cols])
+    return df.selectExpr(*[f"{as_double(c)} AS {name(c)}" for c in cols])
 
 
 def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -25,52 +26,47 @@ def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """
     cols = list(dict.fromkeys(c for pair in pairs for c in pair))
     data = _as_double(df, cols)
-    stats = data.agg(F.count(F.lit(1)).alias("n"), *[
-        f(c).alias(f"{tag}{i}") for i, c in enumerate(cols)
-        for tag, f in (("have", F.count), ("mean", F.avg), ("min", F.min), ("max", F.max))]).first()
     slot = {c: i for i, c in enumerate(cols)}
-    whole = {c for c in cols if stats[f"have{slot[c]}"] == stats["n"]}
-    constant = {c for c in cols if stats[f"min{slot[c]}"] == stats[f"max{slot[c]}"]}
-    centred = data.select(*cols, *[(F.col(c) - F.lit(stats[f"mean{slot[c]}"])).alias(f"_d{slot[c]}") for c in cols])
-    aggregates, out = {}, []
+    stats = data.selectExpr("count(1) AS n", *[
+        f"{fn}({name(c)}) AS {fn}{i}" for c, i in slot.items() for fn in ("count", "avg", "min", "max")]).first()
+    whole = {c for c, i in slot.items() if stats[f"count{i}"] == stats["n"]}
+    constant = {c for c, i in slot.items() if stats[f"min{i}"] == stats[f"max{i}"]}
+    centred = data.selectExpr("*", *[
+        f"{name(c)} - {number(stats[f'avg{i}'])} AS _d{i}" for c, i in slot.items() if c not in constant])
+    sums, out = {"n": "count(1)"}, []
     for k, (a, b) in enumerate(pairs):
         if a in constant or b in constant:
-            out.append(F.lit(None).cast("double").alias(f"c{k}"))
+            out.append(f"CAST(NULL AS DOUBLE) AS c{k}")
         elif a in whole and b in whole:
-            names = []
+            products = []
             for x, y in ((a, b), (a, a), (b, b)):
                 i, j = sorted((slot[x], slot[y]))
-                aggregates[f"s{i}_{j}"] = F.sum(F.col(f"_d{i}") * F.col(f"_d{j}"))
-                names.append(F.col(f"s{i}_{j}"))
-            out.append(F.try_divide(names[0], F.sqrt(names[1]) * F.sqrt(names[2])).alias(f"c{k}"))
+                sums[f"s{i}_{j}"] = f"sum(_d{i} * _d{j})"
+                products.append(f"s{i}_{j}")
+            out.append("try_divide({}, sqrt({}) * sqrt({})) AS c{}".format(*products, k))
         else:
-            aggregates[f"r{k}"] = correlation(F.col(a), F.col(b))
-            out.append(F.col(f"r{k}").alias(f"c{k}"))
-    sums = centred.agg(F.count(F.lit(1)).alias("n"), *[c.alias(name) for name, c in aggregates.items()])
-    return sums.select(*out)
+            x, y = (f"CASE WHEN {name(q)} IS NOT NULL THEN {name(p)} END" for p, q in ((a, b), (b, a)))
+            sums[f"r{k}"] = f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
+            out.append(f"r{k} AS c{k}")
+    return centred.selectExpr(*[f"{expr} AS {label}" for label, expr in sums.items()]).selectExpr(*out)
 
 
 def corr_matrix(df: DataFrame, cols: list[str], lower_only: bool = False) -> DataFrame:
     """(feature_x, feature_y, corr) over rows where both are present."""
     pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1)]
-    row = correlations(df, [(cols[i], cols[j]) for i, j in pairs])
     place = {pair: k for k, pair in enumerate(pairs)}
-
-    def cell(i, j):
-        return F.struct(F.lit(cols[i]).alias("feature_x"), F.lit(cols[j]).alias("feature_y"),
-                        F.col(f"c{place[max(i, j), min(i, j)]}").alias("corr"))
-
-    wanted = [(i, j) for i in range(len(cols)) for j in range(len(cols)) if i > j or not lower_only]
-    return row.select(F.inline(F.array(*[cell(i, j) for i, j in wanted])))
+    cells = [{"feature_x": text(cols[i]), "feature_y": text(cols[j]), "corr": f"c{place[max(i, j), min(i, j)]}"}
+             for i in range(len(cols)) for j in range(len(cols)) if i > j or not lower_only]
+    return correlations(df, [(cols[i], cols[j]) for i, j in pairs]).selectExpr(rows(cells))
 
 
 def corr_with(df: DataFrame, cols: list[str], target: str, by_magnitude: bool = False,
               k: int | None = None) -> DataFrame:
     """(feature, corr) with the target, strongest first."""
     row = correlations(df, [(c, target) for c in cols])
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr")) for i, c in enumerate(cols)])
+    table = row.selectExpr(rows([{"feature": text(c), "corr": f"c{i}"} for i, c in enumerate(cols)]))
     strength = F.abs("corr") if by_magnitude else F.col("corr")
-    table = row.select(F.inline(cells)).orderBy(strength.desc_nulls_last(), "feature")
+    table = table.orderBy(strength.desc_nulls_last(), "feature")
     return table if k is None else table.limit(k)
 
 
@@ -111,9 +107,8 @@ def qcut_mean(df: DataFrame, cols: list[str], target: str, q: int = 10) -> DataF
     than ``q`` distinct values gets that many bins. Edges and means both come from the counts of distinct values.
     """
     ranks = value_ranks(df, cols, carry=target)
-    bins = F.least(F.lit(q), F.col("n_values"))
     names = [f"e{i}" for i in range(q + 1)]
-    shares = {name: F.least(F.lit(float(i)) / bins, F.lit(1.0)) for i, name in enumerate(names)}
+    shares = {label: f"least(1D, {number(i)} / least({q}, n_values))" for i, label in enumerate(names)}
     edges = quantiles_from_ranks(ranks, shares).select(
         "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
@@ -140,9 +135,9 @@ def qq_points(df: DataFrame, col: str, key: list[str]) -> DataFrame:
 
     ``key`` identifies rows, so that ties are spread over the sort ranges.
     """
-    rows = df.where(~missing(df, col)).select(F.col(col).cast("double").alias("value"), *key)
-    n = rows.count()
-    placed = global_index(rows, ["value", *key], "position", start=1)
+    values = df.where(~missing(df, col)).select(F.col(col).cast("double").alias("value"), *key)
+    n = values.count()
+    placed = global_index(values, ["value", *key], "position", start=1)
     i, end = F.col("position"), 0.5 ** (1.0 / n) if n else 0.5
     share = (F.when(i == n, F.lit(end)).when(i == 1, F.lit(1 - end))
              .otherwise((i - F.lit(0.3175)) / F.lit(n + 0.365)))

@@ -8,20 +8,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tunemill.functions.scalars import finite
+from tunemill.functions.sqltext import name
 from tunemill.operators.columns import available, numeric_cols, string_cols
 from tunemill.operators.ranks import quantiles
 from tunemill.presets import AUDIO_FEATURES, CLEAN_RULES, TARGET
 
 
+def missing_sql(df: DataFrame, col: str) -> str:
+    """SQL text that is true where a value is null or, for floats, NaN."""
+    test = f"{name(col)} IS NULL"
+    return f"({test} OR isnan({name(col)}))" if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else test
+
+
 def missing(df: DataFrame, col: str) -> Column:
-    """True where a value is null or, for floats, NaN."""
-    test = F.col(col).isNull()
-    return test | F.isnan(col) if isinstance(df.schema[col].dataType, (T.DoubleType, T.FloatType)) else test
+    return F.expr(missing_sql(df, col))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:
     floats = [f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+    return df.withColumns({c: F.expr(f"CASE WHEN NOT isnan({name(c)}) THEN {name(c)} END") for c in floats}) if floats else df
 
 
 def drop_exact(df: DataFrame) -> DataFrame:
@@ -129,7 +134,7 @@ def quantile_clip(df: DataFrame, cols: list[str], low: float = 0.005, high: floa
 def validate(df: DataFrame, rules: dict[str, str] | None = None, strict: bool = False) -> DataFrame:
     """(rule, violations) in one pass, including one "no nulls" rule; ``strict`` raises on broken value rules."""
     rules = CLEAN_RULES if rules is None else rules
-    nulls = sum((missing(df, c).cast("long") for c in df.columns), F.lit(0))
+    nulls = F.expr(" + ".join(f"CAST({missing_sql(df, c)} AS BIGINT)" for c in df.columns))
     counts = df.agg(
         *[F.count_if(~F.coalesce(F.expr(cond), F.lit(False))).alias(name) for name, cond in rules.items()],
         F.coalesce(F.sum(nulls), F.lit(0)).alias("no_nulls"))

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.bins import fixed_width_bin
-from tunemill.operators.clean import missing
+from tunemill.functions.sqltext import as_double, name, rows, text
+from tunemill.operators.clean import missing_sql
 from tunemill.operators.columns import numeric_cols
-from tunemill.operators.ranks import quantiles, quantiles_from_ranks, value_ranks
+from tunemill.operators.ranks import quantiles, quantiles_from_ranks, value_counts_long, value_ranks
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -17,20 +18,21 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
-def per_feature(df: DataFrame, cols: list[str], stats: dict) -> DataFrame:
+def per_feature(df: DataFrame, cols: list[str], stats: dict[str, str]) -> DataFrame:
     """One aggregation over all columns, turned into one row per feature.
 
-    ``stats`` maps a result name to a function from column name to aggregate.
+    ``stats`` maps a result name to SQL text with ``{c}`` for the column and ``{x}`` for its value as a double.
     """
-    aggregates = [fn(c).alias(f"{name}_{i}") for i, c in enumerate(cols) for name, fn in stats.items()]
-    rows = F.array(*[
-        F.struct(F.lit(c).alias("feature"), *[F.col(f"{name}_{i}").alias(name) for name in stats])
-        for i, c in enumerate(cols)])
-    return df.agg(*aggregates).select(F.inline(rows))
+    aggregates = [f"{sql.format(c=name(c), x=as_double(c) if '{x}' in sql else '')} AS {label}_{i}"
+                  for i, c in enumerate(cols) for label, sql in stats.items()]
+    entries = [{"feature": text(c), **{label: f"{label}_{i}" for label in stats}} for i, c in enumerate(cols)]
+    return df.selectExpr(*aggregates).selectExpr(rows(entries))
 
 
 def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    return per_feature(df, cols or df.columns, {"nulls": lambda c: F.count_if(missing(df, c))})
+    cols = cols or df.columns
+    counts = [f"count_if({missing_sql(df, c)}) AS n{i}" for i, c in enumerate(cols)]
+    return df.selectExpr(*counts).selectExpr(rows([{"feature": text(c), "nulls": f"n{i}"} for i, c in enumerate(cols)]))
 
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -40,20 +42,15 @@ def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame
 
 
 def dtypes_table(df: DataFrame) -> DataFrame:
-    rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.lit(t).alias("dtype")) for c, t in df.dtypes])
-    return df.sparkSession.range(1).select(F.inline(rows))
+    return df.sparkSession.range(1).selectExpr(rows([{"feature": text(c), "dtype": text(t)} for c, t in df.dtypes]))
 
 
 def describe_exact(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max per numeric column."""
     cols = cols or numeric_cols(df)
 
-    def value(c):
-        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-
-    moments = per_feature(df, cols, {
-        "count": lambda c: F.count(value(c)), "mean": lambda c: F.avg(value(c)), "std": lambda c: F.stddev(value(c)),
-        "min": lambda c: F.min(value(c)), "max": lambda c: F.max(value(c))})
+    moments = per_feature(df, cols, {"count": "count({x})", "mean": "avg({x})", "std": "stddev({x})",
+                                     "min": "min({x})", "max": "max({x})"})
     return (moments.join(quantiles(df, cols, QUARTILES), "feature", "left")
             .select("feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
 
@@ -67,13 +64,9 @@ def target_stats(df: DataFrame, col: str) -> DataFrame:
 def feature_info(df: DataFrame, cols: list[str]) -> DataFrame:
     """dtype, missing, distinct, mean, sample std, min and max per feature."""
     types = dict(df.dtypes)
-    info = per_feature(df, cols, {
-        "missing": lambda c: F.count_if(missing(df, c)),
-        "mean": lambda c: F.avg(F.col(c).cast("double")), "std": lambda c: F.stddev(F.col(c).cast("double")),
-        "min": lambda c: F.min(F.col(c).cast("double")), "max": lambda c: F.max(F.col(c).cast("double"))})
-    distinct = (df.select([F.col(c).cast("double").alias(c) for c in cols]).unpivot([], cols, "feature", "value")
-                .where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("feature", "value").agg(F.lit(1))
-                .groupBy("feature").agg(F.count(F.lit(1)).alias("unique")))
+    info = null_counts(df, cols).withColumnRenamed("nulls", "missing").join(
+        per_feature(df, cols, {"mean": "avg({x})", "std": "stddev({x})", "min": "min({x})", "max": "max({x})"}), "feature")
+    distinct = value_counts_long(df, cols).groupBy("feature").agg(F.count(F.lit(1)).alias("unique"))
     dtype = F.element_at(F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])]), F.col("feature"))
     return (info.join(distinct, "feature", "left").withColumns(
         {"dtype": dtype, "unique": F.coalesce("unique", F.lit(0))})
@@ -81,7 +74,7 @@ def feature_info(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def ranges(df: DataFrame, cols: list[str]) -> DataFrame:
-    return per_feature(df, cols, {"min": F.min, "max": F.max, "mean": F.avg, "std": F.stddev})
+    return per_feature(df, cols, {"min": "min({c})", "max": "max({c})", "mean": "avg({c})", "std": "stddev({c})"})
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -188,18 +181,17 @@ def quality_report(df: DataFrame, key_columns: list[str] | None = None) -> DataF
     """(section, item, value) rows: size, duplicate rows, missing values and types."""
     cols = df.columns
     sizes = df.groupBy(*(key_columns or cols)).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(missing(df, c)).alias(f"n{i}") for i, c in enumerate(cols)])
+        F.count(F.lit(1)).alias("_n"), *[F.expr(f"count_if({missing_sql(df, c)}) AS n{i}") for i, c in enumerate(cols)])
     totals = sizes.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-        *[F.coalesce(F.sum(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(cols))])
+        *[F.expr(f"coalesce(sum(n{i}), 0) AS n{i}") for i in range(len(cols))])
 
     def entry(section, item, value):
-        return F.struct(F.lit(section).alias("section"), F.lit(item).alias("item"),
-                        value.cast("string").alias("value"))
-
-    entries = [entry("summary", "rows", F.col("rows")), entry("summary", "columns", F.lit(len(cols))),
-               entry("summary", "duplicate_rows", F.col("duplicates"))]
-    entries += [entry("missing", c, F.col(f"n{i}")) for i, c in enumerate(cols)]
-    entries += [entry("dtype", c, F.lit(t)) for c, t in df.dtypes]
-    return totals.select(F.inline(F.array(*entries)))
+        return {"section": text(section), "item": text(item), "value": f"CAST({value} AS STRING)"}
+
+    entries = [entry("summary", "rows", "rows"), entry("summary", "columns", len(cols)),
+               entry("summary", "duplicate_rows", "duplicates")]
+    entries += [entry("missing", c, f"n{i}") for i, c in enumerate(cols)]
+    entries += [entry("dtype", c, text(t)) for c, t in df.dtypes]
+    return totals.selectExpr(rows(entries))

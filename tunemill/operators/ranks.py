@@ -10,22 +10,17 @@ from __future__ import annotations
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tunemill.functions.sqltext import as_double, name, number, text
 from tunemill.session import shared_dir
 
 MAX_VALUES_PER_TASK = 1_000_000
 MAX_BUCKETS = 10_000
 
 
-def _number(col: str) -> Column:
-    """The column as a double with NaN as null."""
-    value = F.col(col).cast("double")
-    return F.when(~F.isnan(value), value)
-
-
 def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carry: str | None = None) -> DataFrame:
     """(keys, feature, value, cnt) over the non-missing values; rows with a null key are left out.
 
@@ -37,25 +32,25 @@ def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carr
         ids.append(F.col(carry).cast("double").alias("_carry"))
         sums = [F.sum("_carry").alias("total"), F.count("_carry").alias("seen")]
     # Value columns travel under a number, so that a key or the carried column may also be a value column.
-    wide = df.select(*ids, *[_number(c).alias(f"_v{i}") for i, c in enumerate(cols)])
+    wide = df.select(*ids, *[F.expr(f"{as_double(c)} AS _v{i}") for i, c in enumerate(cols)])
     long = wide.unpivot([c for c in wide.columns if not c.startswith("_v")], [f"_v{i}" for i in range(len(cols))],
                         "slot", "value").where(F.col("value").isNotNull())
     for key in keys:
         long = long.where(F.col(key).isNotNull())
     counts = long.groupBy(*keys, "slot", "value").agg(F.count(F.lit(1)).alias("cnt"), *sums)
-    names = F.create_map(*[F.lit(x) for i, c in enumerate(cols) for x in (f"_v{i}", c)])
-    return counts.select(*keys, F.element_at(names, F.col("slot")).alias("feature"), "value", "cnt",
+    names = ", ".join(f"'_v{i}', {text(c)}" for i, c in enumerate(cols))
+    return counts.select(*keys, F.expr(f"element_at(map({names}), slot) AS feature"), "value", "cnt",
                          *(["total", "seen"] if carry else []))
 
 
 def range_splits(df: DataFrame, cols: list[str], max_values: int = MAX_VALUES_PER_TASK) -> dict[str, list[float]]:
     """Bucket bounds of the columns with more distinct values than one task should sort."""
-    distinct = df.agg(*[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    distinct = df.selectExpr(*[f"approx_count_distinct({name(c)})" for c in cols]).first()
     buckets = {c: min(MAX_BUCKETS, math.ceil(2 * distinct[i] / max_values)) for i, c in enumerate(cols)
                if distinct[i] > max_values}
     if not buckets:
         return {}
-    row = df.agg(*[F.percentile_approx(_number(c), [i / n for i in range(1, n)], 20 * n)
+    row = df.agg(*[F.percentile_approx(F.expr(as_double(c)), [i / n for i in range(1, n)], 20 * n)
                    for c, n in buckets.items()]).first()
     bounds = {c: sorted(set(row[i] or [])) for i, c in enumerate(buckets)}
     return {c: [-math.inf, *b, math.inf] for c, b in bounds.items() if b}
@@ -97,23 +92,17 @@ def value_ranks(df: DataFrame, cols: list[str], keys: list[str] = (), max_values
     return rank_counts(counts, [*keys, "feature"], range_splits(df, list(cols), max_values))
 
 
-def _picks(probs: dict[str, Column]) -> tuple[list[Column], list[Column]]:
-    """Aggregates that find the two values around each quantile, and the interpolation between them."""
-    start, end = F.col("before"), F.col("before") + F.col("cnt")
+def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float | str], keys: list[str] = ()) -> DataFrame:
+    """Linearly interpolated quantiles, one column per entry of ``probs``.
+
+    A share is a number, or SQL text over ``n_values`` when it depends on the number of distinct values.
+    """
     found, out = [], []
-    for name, p in probs.items():
-        pos = (F.col("n") - 1) * p
-        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            found.append(F.max(F.when((start <= at) & (at < end), F.col("value"))).alias(f"_{side}_{name}"))
-        low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((low + (high - low) * (pos - F.floor(pos))).alias(name))
-    return found, out
-
-
-def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float | Column], keys: list[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles, one column per entry of ``probs``; a share may depend on ``n_values``."""
-    shares = {name: p if isinstance(p, Column) else F.lit(float(p)) for name, p in probs.items()}
-    found, out = _picks(shares)
+    for label, share in probs.items():
+        pos = f"((n - 1) * {share if isinstance(share, str) else number(share)})"
+        for side, at in (("lo", f"floor({pos})"), ("hi", f"ceil({pos})")):
+            found.append(F.expr(f"max(CASE WHEN before <= {at} AND {at} < before + cnt THEN value END) AS _{side}_{label}"))
+        out.append(F.expr(f"_lo_{label} + (_hi_{label} - _lo_{label}) * ({pos} - floor({pos})) AS {label}"))
     table = ranks.groupBy(*keys, "feature").agg(F.max("n").alias("n"), F.max("n_values").alias("n_values"), *found)
     return table.select(*keys, "feature", *out)
 
@@ -124,7 +113,7 @@ def quantiles(df: DataFrame, cols: list[str], probs: dict[str, float], keys: lis
     return quantiles_from_ranks(value_ranks(df, cols, keys, max_values), probs, keys)
 
 
-def global_index(df: DataFrame, order: list, name: str = "position", start: int = 0) -> DataFrame:
+def global_index(df: DataFrame, order: list, label: str = "position", start: int = 0) -> DataFrame:
     """Number every row in sort order by a range-partitioned sort.
 
     The sorted rows are checkpointed in the shared folder, so that the per-partition offsets and the rows agree even
@@ -136,5 +125,5 @@ def global_index(df: DataFrame, order: list, name: str = "position", start: int
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_offset"))
     return (placed.withColumn("_part", part).join(offsets, "_part")
-            .withColumn(name, F.col("_offset") + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(start))
+            .withColumn(label, F.col("_offset") + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(start))
             .drop("_slot", "_part", "_offset"))
