@@ -74,9 +74,11 @@ def t_pvalue(r: float, n: int) -> float:
         return float("nan")
     if abs(r) >= 1.0:
         return 0.0
+    if r * r == 0.0:
+        return 1.0
     df = n - 2
     x, a, b = 1.0 - r * r, df / 2.0, 0.5
-    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+    log_front = math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log(r * r)
     if x < (a + 1.0) / (a + b + 2.0):
         return math.exp(log_front) * _beta_fraction(a, b, x) / a
     return 1.0 - math.exp(log_front) * _beta_fraction(b, a, 1.0 - x) / b
