@@ -118,7 +118,7 @@ def quality_report_text(spark, sf):
 # ---- runs: one per album, with metrics of the stand-in predictions ----
 
 RUNS_SQL = """runs AS (SELECT album_name AS run_id, track_genre AS experiment, split, 1 - sum((popularity - prediction) ** 2)
-    / (count(*) * var_pop(popularity)) AS r2, sqrt(avg((popularity - prediction) ** 2)) AS rmse,
+    / nullif(count(*) * var_pop(popularity), 0) AS r2, sqrt(avg((popularity - prediction) ** 2)) AS rmse,
     avg(abs(popularity - prediction)) AS mae, count(*) AS n FROM preds GROUP BY ALL)"""
 
 
@@ -142,21 +142,21 @@ def _ledger(spark, sf):
 
 @query("run_ledger", with_preds(f""", {RUNS_SQL}
 SELECT run_id || '/' || experiment AS run_id, experiment, 'FINISHED' AS status,
-       {rd("max(r2) FILTER (WHERE split = 'test')", 4)} AS test_r2, {rd("max(rmse) FILTER (WHERE split = 'test')", 4)} AS test_rmse,
-       {rd("max(r2) FILTER (WHERE split = 'train')", 4)} AS train_r2, CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) AS n
+       {rd("max(r2) FILTER (WHERE split = 'test')")} AS test_r2, {rd("max(rmse) FILTER (WHERE split = 'test')")} AS test_rmse,
+       {rd("max(r2) FILTER (WHERE split = 'train')")} AS train_r2, CAST(CAST(sum(n) AS BIGINT) AS VARCHAR) AS n
 FROM runs GROUP BY run_id, experiment"""))
 def run_ledger(spark, sf):
     wide = _ledger(spark, sf).wide(["test_r2", "test_rmse", "train_r2"], ["n"])
-    return rounded(wide.select("run_id", "experiment", "status", "test_r2", "test_rmse", "train_r2", "n"), 4)
+    return rounded(wide.select("run_id", "experiment", "status", "test_r2", "test_rmse", "train_r2", "n"))
 
 
 @query("run_search", with_preds(f""", {RUNS_SQL}
-SELECT run_id || '/' || experiment AS run_id, {rd('rmse', 4)} AS test_rmse FROM runs
+SELECT run_id || '/' || experiment AS run_id, {rd('rmse')} AS test_rmse FROM runs
 WHERE split = 'test' AND rmse > 15 AND experiment IN ('ECONOMY', 'PROMO')"""))
 def run_search(spark, sf):
     wide = _ledger(spark, sf).wide(["test_rmse"])
     found = search_runs(wide, "test_rmse > 15", ["test_rmse DESC", "run_id"], ["ECONOMY", "PROMO"])
-    return rounded(found.select("run_id", "test_rmse"), 4)
+    return rounded(found.select("run_id", "test_rmse"))
 
 
 @query("runs_per_experiment", with_preds(f""", {RUNS_SQL}
@@ -166,8 +166,8 @@ def runs_per_experiment(spark, sf):
 
 
 @query("run_metadata_files", with_preds(f""", {RUNS_SQL}
-SELECT run_id || '/' || experiment AS timestamp, n AS n_samples, {rd('r2', 4)} AS test_r2, {rd('rmse', 4)} AS test_rmse,
-       {rd('mae', 4)} AS test_mae, CAST(0 AS DOUBLE) AS train_r2 FROM runs WHERE split = 'test'"""))
+SELECT run_id || '/' || experiment AS timestamp, n AS n_samples, {rd('coalesce(r2, 0)')} AS test_r2, {rd('rmse')} AS test_rmse,
+       {rd('mae')} AS test_mae, CAST(0 AS DOUBLE) AS train_r2 FROM runs WHERE split = 'test'"""))
 def run_metadata_files(spark, sf):
     """One JSON file per run, in two shapes, read as one table."""
     runs = run_rows(spark, sf).where(F.col("split") == "test").withColumns({
@@ -181,14 +181,14 @@ def run_metadata_files(spark, sf):
     for part in (new, old):
         part.repartition("file").write.mode("append").partitionBy("file").json(path)
     read = read_runs(spark, path)
-    return rounded(read.select("timestamp", "n_samples", "test_r2", "test_rmse", "test_mae", "train_r2"), 4)
+    return rounded(read.select("timestamp", "n_samples", "test_r2", "test_rmse", "test_mae", "train_r2"))
 
 
 @query("latest_run", with_preds(f""", {RUNS_SQL}
-SELECT experiment, max(run_id) AS run_id, {rd('max_by(rmse, run_id)', 4)} AS rmse FROM runs WHERE split = 'test' GROUP BY 1"""))
+SELECT experiment, max(run_id) AS run_id, {rd('max_by(rmse, run_id)')} AS rmse FROM runs WHERE split = 'test' GROUP BY 1"""))
 def latest_run(spark, sf):
     runs = run_rows(spark, sf).where(F.col("split") == "test").select("experiment", "run_id", "rmse")
-    return rounded(latest(runs, "run_id", ["experiment"]), 4)
+    return rounded(latest(runs, "run_id", ["experiment"]))
 
 
 # ---- samples and splits ----

@@ -11,7 +11,7 @@ from tunemill.plans.rules import recommend
 from tunemill.operators.encode import with_duration_min
 from tunemill.presets import RECOMMENDATIONS
 
-R2 = "1 - sum((popularity - prediction) ** 2) / (count(*) * var_pop(popularity))"
+R2 = "1 - sum((popularity - prediction) ** 2) / nullif(count(*) * var_pop(popularity), 0)"
 RMSE, MAE = "sqrt(avg((popularity - prediction) ** 2))", "avg(abs(popularity - prediction))"
 
 
@@ -185,10 +185,10 @@ def predict_tier_q(spark, sf):
 
 def _recommend_sql(ruleset):
     branches = " UNION ALL ".join(f"""
-SELECT track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, '{suggestion}' AS suggestion, '{impact}' AS impact
+SELECT rid, track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, '{suggestion}' AS suggestion, '{impact}' AS impact
 FROM t WHERE {col} {cond}""" for i, (factor, col, cond, _, suggestion, impact, _) in enumerate(RECOMMENDATIONS[ruleset]))
-    return with_preds(f""", t AS (SELECT *, duration_ms / 60000.0 AS duration_min FROM preds), r AS ({branches})
-SELECT track_id, row_number() OVER (PARTITION BY track_id ORDER BY pos) AS rank, factor, {rd('current_value')} AS current_value,
+    return with_preds(f""", t AS (SELECT *, row_number() OVER () AS rid, duration_ms / 60000.0 AS duration_min FROM preds), r AS ({branches})
+SELECT track_id, row_number() OVER (PARTITION BY rid ORDER BY pos) AS rank, factor, {rd('current_value')} AS current_value,
        suggestion, impact FROM r""")
 
 

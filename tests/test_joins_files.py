@@ -133,6 +133,15 @@ def test_similar_items_match_brute_force(spark):
     assert similar_items(items, items.limit(0), "id", F.col("v"), 5).count() == 0
 
 
+def test_similar_items_in_blocks(spark, monkeypatch):
+    items = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "id long, v array<double>")
+    whole = similar_items(items, items, "id", F.col("v"), 3)
+    want = sorted(map(tuple, whole.collect()))
+    monkeypatch.setattr("tunemill.operators.similarity.SEEDS_PER_PASS", 25)
+    assert sorted(map(tuple, similar_items(items, items, "id", F.col("v"), 3).collect())) == want
+    assert len(want) == 180
+
+
 def test_shared_dir_follows_the_session(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (configured or spark.sparkContext.getCheckpointDir())

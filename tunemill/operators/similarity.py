@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tunemill.operators.ranks import global_index
+from tunemill.session import scratch_path
+
 SEEDS_PER_PASS = 1000
 
 
@@ -33,10 +36,11 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
     """(seed_id, item_id, similarity, score, rank): the ``n`` best items for each seed.
 
     ``score = weight * similarity + (1 - weight) * extra``, rounded before ranking; ties go to the smaller id. Each task
-    multiplies its batches with the block of seed vectors and keeps ``n`` rows per seed, so that no item x seed table
-    is built. ``seeds`` is a list of requests; many requests are worked off in blocks.
+    multiplies its batches with a block of seed vectors and keeps ``n`` rows per seed, so that no item x seed table is
+    built. The driver holds one block of seeds; a longer list is worked off block by block into a table in the
+    shared folder.
     """
-    asked = [(r[0], list(r[1])) for r in seeds.select(id_col, vector.cast("array<double>")).orderBy(id_col).collect()]
+    requests = seeds.select(F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("v"))
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), vector.cast("array<double>").alias("v"),
                         (F.lit(0.0) if extra is None else extra.cast("double")).alias("extra"))
     schema = "seed_id long, item_id long, similarity double, score double"
@@ -68,11 +72,16 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
 
         return rows.mapInPandas(local_top, schema)
 
-    found = None
-    for start in range(0, len(asked), SEEDS_PER_PASS):
-        part = pass_over(asked[start:start + SEEDS_PER_PASS])
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = items.sparkSession.createDataFrame([], schema)
+    first = requests.limit(SEEDS_PER_PASS + 1).collect()
+    if len(first) <= SEEDS_PER_PASS:
+        found = pass_over(first) if first else items.sparkSession.createDataFrame([], schema)
+    else:
+        path = scratch_path(items.sparkSession, "similar")
+        numbered = global_index(requests, ["id"], "place").persist()
+        for start in range(0, numbered.count(), SEEDS_PER_PASS):
+            block = numbered.where(F.col("place").between(start, start + SEEDS_PER_PASS - 1)).select("id", "v").collect()
+            pass_over(block).write.mode("append").parquet(path)
+        numbered.unpersist()
+        found = items.sparkSession.read.schema(schema).parquet(path)
     best = W.partitionBy("seed_id").orderBy(F.desc("score"), "item_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tunemill.functions.sqltext import rows, text
 from tunemill.operators.ranks import global_index
 from tunemill.operators.sampling import hash_order, sample_n
-from tunemill.plans.models import score
 
 MAX_DRAWS = 500
 
@@ -36,8 +36,8 @@ def shapley(df: DataFrame, model, features: list[str], background: DataFrame, ke
             turn[j] = position + 1
         plans.append(F.struct(F.array(*[F.lit(t) for t in turn]).alias("turn"),
                               F.array(*[F.lit(v) for v in base_rows[i % len(base_rows)]]).alias("bg")))
-    rows = df.dropna(subset=features).select(*key, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-    steps = (rows.select("*", F.inline(F.array(*plans)))
+    inputs = df.dropna(subset=features).select(*key, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+    steps = (inputs.select("*", F.inline(F.array(*plans)))
              .select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("step")))
     mixed = F.transform("x", lambda value, j: F.when(F.get("turn", j) <= F.col("step"), value)
                         .otherwise(F.get("bg", j)))
@@ -94,21 +94,22 @@ def permutation_importance(df: DataFrame, model, features: list[str], label: str
 
     Rows are numbered in hash order once; every row then borrows from its successor, the last from the first.
     """
-    rows = df.dropna(subset=[*features, label]).select(*key, label, *features)
-    placed = global_index(rows.withColumn("_o", hash_order(key, seed)), ["_o"], "_i").drop("_o")
+    whole = df.dropna(subset=[*features, label]).select(*key, label, *features)
+    placed = global_index(whole.withColumn("_o", hash_order(key, seed)), ["_o"], "_i").drop("_o")
     n = placed.count()
     donors = placed.select(F.pmod(F.col("_i") - 1, F.lit(n)).alias("_i"),
                            *[F.col(c).alias(f"_d_{c}") for c in features])
     pairs = placed.join(donors, "_i")
 
-    def squared(table: DataFrame) -> DataFrame:
-        error = F.col(label) - F.col("prediction")
-        return score(table, model, features).agg(F.sqrt(F.avg(error * error)).alias("rmse"))
-
-    result = squared(placed).select(F.lit(None).cast("string").alias("feature"), "rmse")
-    for c in features:
-        swapped = pairs.withColumn(c, F.col(f"_d_{c}"))
-        result = result.unionByName(squared(swapped).select(F.lit(c).alias("feature"), "rmse"))
-    base = F.max(F.when(F.col("feature").isNull(), F.col("rmse"))).over(W.partitionBy(F.lit(0)))
-    return (result.withColumn("rmse_increase", F.col("rmse") - base).where(F.col("feature").isNotNull())
-            .select("feature", "rmse_increase").orderBy(F.desc("rmse_increase"), "feature"))
+    # One pass scores every row with its own values and once more per feature with the donor's value.
+    plain = {c: F.col(c).cast("double") for c in features}
+    variants = {"base": plain, **{f"v{j}": {**plain, c: F.col(f"_d_{c}").cast("double")}
+                                  for j, c in enumerate(features)}}
+    for variant, values in variants.items():
+        vector = array_to_vector(F.array(*[values[c] for c in features]))
+        copy = model.copy({model.getParam("featuresCol"): f"_f_{variant}", model.getParam("predictionCol"): f"_p_{variant}"})
+        pairs = copy.transform(pairs.withColumn(f"_f_{variant}", vector)).drop(f"_f_{variant}")
+    errors = pairs.agg(*[F.sqrt(F.avg((F.col(label) - F.col(f"_p_{v}")) * (F.col(label) - F.col(f"_p_{v}")))).alias(v)
+                         for v in variants])
+    entries = [{"feature": text(c), "rmse_increase": f"v{j} - base"} for j, c in enumerate(features)]
+    return errors.selectExpr(rows(entries)).orderBy(F.desc("rmse_increase"), "feature")

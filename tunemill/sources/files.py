@@ -23,14 +23,17 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
-             encodings: tuple[str, ...] = ("UTF-8",)) -> DataFrame:
+             encodings: tuple[str, ...] = ("UTF-8",), multi_line: bool = True) -> DataFrame:
     """CSV with a header and doubled quotes. Types come from ``schema``, or are inferred when it is absent.
 
+    Quoted line breaks need ``multi_line``, with which one task reads a whole file; without such texts pass False, so
+    that Spark can split large files.
+
     With several encodings the next one is used as soon as a decoded text holds a replacement character.
     """
     def load(encoding: str) -> DataFrame:
         reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-                  .option("multiLine", True).option("encoding", encoding))
+                  .option("multiLine", multi_line).option("encoding", encoding))
         if schema is None:
             return reader.option("inferSchema", True).csv(path)
         return reader.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in schema])).csv(path)
