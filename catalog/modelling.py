@@ -100,8 +100,9 @@ def tune_forest(spark, sf):
     best, log = random_search(data, "forest", FOREST_SPACE, FEATURES, GOAL, trials=3, metric="r2",
                               fixed={"n_estimators": 5, "max_depth": 5})
     _, tested = refit_and_test(data, "forest", best, FEATURES, GOAL)
-    return log.where("is_best").select("trial", "params", F.col("r2").alias("val_r2")).join(
-        tested.select(F.col("r2").alias("test_r2"), "rows"))
+    final = tested.first()
+    return log.where("is_best").select("trial", "params", F.col("r2").alias("val_r2"), F.lit(final.r2).alias("test_r2"),
+                                       F.lit(final.rows).alias("test_rows"))
 
 
 @query("shapley")
@@ -174,8 +175,7 @@ def implicit_factors(spark, sf):
     events = label_encode(table(spark, sf, "events"), "event_type", "item").select(
         F.col("user_id").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "value")
     model = M.fit_implicit(events, "user", "item", "value")
-    return model.recommendForAllUsers(3).select("user", F.posexplode("recommendations").alias("pos", "r")).select(
-        "user", "pos", "r.item", "r.rating")
+    return model.transform(events.groupBy("user", "item").agg(F.sum("value").alias("strength")))
 
 
 @query("projection_2d")

@@ -59,12 +59,11 @@ def drop_zero(df: DataFrame, col: str = TARGET) -> DataFrame:
 def zero_stats(df: DataFrame, col: str = TARGET) -> DataFrame:
     """Zero rows, their share, and the mean, median and deviation of the remaining rows."""
     kept = F.when(F.col(col) > 0, F.col(col))
-    base = df.agg(
+    median = medians(drop_zero(df, col), [col]).get(col)
+    return df.agg(
         F.count_if(F.col(col) == 0).alias("zero_rows"),
-        (100.0 * F.count_if(F.col(col) == 0) / F.count(F.lit(1))).alias("zero_pct"),
-        F.avg(kept).alias("new_mean"), F.stddev(kept).alias("new_std"), F.lit(col).alias("feature"))
-    median = quantiles(drop_zero(df, col), [col], {"new_median": 0.5})
-    return base.join(median, "feature", "left").select("zero_rows", "zero_pct", "new_mean", "new_median", "new_std")
+        (100.0 * F.try_divide(F.count_if(F.col(col) == 0), F.count(F.lit(1)))).alias("zero_pct"),
+        F.avg(kept).alias("new_mean"), F.lit(median).cast("double").alias("new_median"), F.stddev(kept).alias("new_std"))
 
 
 def zero_top_categories(df: DataFrame, by: str, col: str = TARGET, k: int = 5) -> DataFrame:

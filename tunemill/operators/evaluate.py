@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunemill.functions.bins import cut
-from tunemill.operators.profile import prediction_profile
+from tunemill.operators.profile import profile_aggregates, with_profile_shares
 from tunemill.presets import ERROR_BANDS, HEALTH_RULES, HEALTH_STATUS
 
 
@@ -82,10 +82,8 @@ def error_counts(df: DataFrame, y: str, pred: str, tolerance: float = 10) -> Dat
 
 def health(df: DataFrame, y: str, pred: str, rules=HEALTH_RULES) -> DataFrame:
     """(check_name, metric, value, level, status): the level reached by each check and the overall status."""
-    profile = prediction_profile(df, pred)
-    metrics = df.agg(*[c.alias(n) for n, c in metric_columns(y, pred).items() if n != "rows"])
-    row = (profile.withColumn("_one", F.lit(1)).join(metrics.withColumn("_one", F.lit(1)), "_one")
-           .withColumn("abs_gain", F.abs("r2")))
+    metrics = [c.alias(n) for n, c in metric_columns(y, pred).items() if n != "rows"]
+    row = with_profile_shares(df.agg(*profile_aggregates(pred), *metrics)).withColumn("abs_gain", F.abs("r2"))
     checks: dict[str, tuple[str, Column]] = {}
     for check, metric, condition, level in rules:
         met = F.expr(f"{metric} {condition}")

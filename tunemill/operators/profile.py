@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunemill.functions.bins import fixed_width_bin
 from tunemill.functions.sqltext import as_double, name, rows, text
-from tunemill.operators.clean import missing_sql
+from tunemill.operators.clean import medians, missing_sql
 from tunemill.operators.columns import numeric_cols
 from tunemill.operators.ranks import quantiles, quantiles_from_ranks, value_counts_long, value_ranks
 
@@ -21,9 +21,10 @@ def shape(df: DataFrame) -> tuple[int, int]:
 def per_feature(df: DataFrame, cols: list[str], stats: dict[str, str]) -> DataFrame:
     """One aggregation over all columns, turned into one row per feature.
 
-    ``stats`` maps a result name to SQL text with ``{c}`` for the column and ``{x}`` for its value as a double.
+    ``stats`` maps a result name to SQL text with ``{c}`` for the column, ``{x}`` for its value as a double and ``{m}``
+    for the test that it is missing.
     """
-    aggregates = [f"{sql.format(c=name(c), x=as_double(c) if '{x}' in sql else '')} AS {label}_{i}"
+    aggregates = [f"{sql.format(c=name(c), x=as_double(c), m=missing_sql(df, c))} AS {label}_{i}"
                   for i, c in enumerate(cols) for label, sql in stats.items()]
     entries = [{"feature": text(c), **{label: f"{label}_{i}" for label in stats}} for i, c in enumerate(cols)]
     return df.selectExpr(*aggregates).selectExpr(rows(entries))
@@ -56,16 +57,16 @@ def describe_exact(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def target_stats(df: DataFrame, col: str) -> DataFrame:
-    moments = df.agg(F.lit(col).alias("feature"), F.avg(col).alias("mean"), F.stddev(col).alias("std"))
-    return (moments.join(quantiles(df, [col], {"median": 0.5}), "feature", "left")
-            .select("feature", "mean", "median", "std"))
+    median = medians(df, [col]).get(col)
+    return df.agg(F.avg(col).alias("mean"), F.stddev(col).alias("std")).select(
+        F.lit(col).alias("feature"), "mean", F.lit(median).cast("double").alias("median"), "std")
 
 
 def feature_info(df: DataFrame, cols: list[str]) -> DataFrame:
     """dtype, missing, distinct, mean, sample std, min and max per feature."""
     types = dict(df.dtypes)
-    info = null_counts(df, cols).withColumnRenamed("nulls", "missing").join(
-        per_feature(df, cols, {"mean": "avg({x})", "std": "stddev({x})", "min": "min({x})", "max": "max({x})"}), "feature")
+    info = per_feature(df, cols, {"missing": "count_if({m})", "mean": "avg({x})", "std": "stddev({x})",
+                                  "min": "min({x})", "max": "max({x})"})
     distinct = value_counts_long(df, cols).groupBy("feature").agg(F.count(F.lit(1)).alias("unique"))
     dtype = F.element_at(F.create_map(*[F.lit(x) for c in cols for x in (c, types[c])]), F.col("feature"))
     return (info.join(distinct, "feature", "left").withColumns(
@@ -163,16 +164,21 @@ def box_stats(df: DataFrame, key: str, val: str) -> DataFrame:
 
 def prediction_profile(df: DataFrame, col: str, low: float = 60, high: float = 70) -> DataFrame:
     """Range, mean, population deviation, share inside a band and share of distinct values of a score."""
+    return with_profile_shares(df.agg(*profile_aggregates(col, low, high)))
+
+
+def profile_aggregates(col: str, low: float = 60, high: float = 70) -> list:
+    """The aggregates of :func:`prediction_profile`, for use next to others in one pass."""
     x = F.col(col)
     in_band = F.count_if((x >= low) & (x <= high))
-    values = df.where(x.isNotNull()).groupBy(x.alias("v")).agg(F.count(F.lit(1)).alias("c")).agg(
-        F.count(F.lit(1)).alias("unique_values"))
-    main = df.agg(
-        F.count(col).alias("rows"), F.min(col).alias("pred_min"), F.max(col).alias("pred_max"),
-        F.avg(col).alias("pred_mean"), F.stddev_pop(col).alias("pred_std"),
-        (100.0 * F.try_divide(in_band, F.count(col))).alias("pct_in_band"))
-    both = main.withColumn("_one", F.lit(1)).join(values.withColumn("_one", F.lit(1)), "_one").drop("_one")
-    return both.withColumns({
+    return [F.count(col).alias("rows"), F.min(col).alias("pred_min"), F.max(col).alias("pred_max"),
+            F.avg(col).alias("pred_mean"), F.stddev_pop(col).alias("pred_std"),
+            (100.0 * F.try_divide(in_band, F.count(col))).alias("pct_in_band"),
+            F.count_distinct(col).alias("unique_values")]
+
+
+def with_profile_shares(row: DataFrame) -> DataFrame:
+    return row.withColumns({
         "pred_range": F.col("pred_max") - F.col("pred_min"),
         "pct_unique": 100.0 * F.try_divide(F.col("unique_values"), F.col("rows"))})
 
