@@ -11,7 +11,7 @@ from tunemill.functions.nested import json_first, json_text, lookup
 from tunemill.functions.scalars import capitalise, clip, strip_prefix
 from tunemill.operators.columns import align_to
 from tunemill.operators.encode import (
-    apply_scaler, derive, featurize, fit_features, fit_scaler, flags, interactions, label_encode, one_hot, squares,
+    apply_scaler, derive, featurize, fit_features, fit_scaler, flags, hash_encode, interactions, label_encode, one_hot, squares,
     with_duration_min, with_mood, with_serving_categories, with_year,
 )
 from tunemill.operators.enrich import with_primary
@@ -159,6 +159,11 @@ def label_encode_many(spark, sf):
     return label_encode(orders, "o_custkey", "code", inline_limit=100).select("o_orderkey", "code")
 
 
+@query("hash_encode")
+def hash_encode_q(spark, sf):
+    return hash_encode(tracks(spark, sf), "track_genre").select("track_genre", "track_genre_encoded").distinct()
+
+
 SCALED = ["duration_ms", "loudness", "tempo", "key"]
 
 

@@ -5,14 +5,19 @@ Most results depend on a learner and are checked by properties in the tests; que
 
 from pyspark.sql import functions as F
 
+from catalog.joins import joined
 from catalog.registry import TRACK_FEATURES, preds, query, rd, rounded, table, tracks, with_preds
 from tunemill.operators.encode import label_encode
 from tunemill.operators.evaluate import metrics_by
-from tunemill.operators.sampling import sample_n
+from tunemill.operators.enrich import fill_defaults, with_artist_features
+from tunemill.operators.sampling import sample_n, split
 from tunemill.plans import explain as X
 from tunemill.plans import models as M
+from tunemill.plans import training as T
 from tunemill.plans.tune import random_search, refit_and_test
 from tunemill.presets import BOOSTING_SPACE, FOREST_SPACE
+from tunemill.session import scratch_path
+from tunemill.sources.files import load_params, write_json
 
 KEY = ["track_id", "duration_ms"]  # the ids alone repeat in the smallest tables
 FEATURES = ["popularity", "energy", "valence", "acousticness", "tempo"]
@@ -119,6 +124,39 @@ def permutation_importance(spark, sf):
     return X.permutation_importance(labelled(spark, sf), model, FEATURES, GOAL, KEY)
 
 
+@query("train_and_compare")
+def train_and_compare(spark, sf):
+    return T.train_and_compare(labelled(spark, sf), FEATURES, GOAL, {
+        "linear": ("linear", None), "forest": ("forest", SMALL_FOREST), "boosting": ("gbt", {**SMALL_BOOST, "n_estimators": 5})})
+
+
+@query("train_enriched")
+def train_enriched(spark, sf):
+    """Importance per feature family of a model with artist features."""
+    t = split(with_artist_features(fill_defaults(joined(spark, sf))), "70/15/15", ["track_id"])
+    return T.train_enriched(t, TRACK_FEATURES, params={"n_estimators": 5, "max_depth": 4})[1]
+
+
+@query("verify_model")
+def verify_model(spark, sf):
+    data = labelled(spark, sf)
+    report = T.verify(data, FEATURES, GOAL, KEY, lambda: M.fit_forest(training(spark, sf), FEATURES, GOAL, SMALL_FOREST))
+    path = scratch_path(spark, "verification")
+    write_json(spark, report, path)
+    return spark.read.json(path).select("status", "metrics.r2", "metrics.rmse", "reproducible", "same_after_loading")
+
+
+@query("best_parameters")
+def best_parameters(spark, sf):
+    """Tuned parameters saved as JSON and read back."""
+    best, _ = random_search(labelled(spark, sf), "forest", FOREST_SPACE, FEATURES, GOAL, trials=2,
+                            fixed={"n_estimators": 3, "max_depth": 4})
+    path = scratch_path(spark, "best")
+    write_json(spark, best, path)
+    params = load_params(spark, path)
+    return spark.createDataFrame(sorted((k, str(v)) for k, v in params.items()), "name string, value string")
+
+
 # ---- attributions with a closed form ----
 
 PARTS_SQL = """parts AS (SELECT track_id, m AS base, 0.5 * (popularity - mp) AS popularity, 10 * (energy - me) AS energy,

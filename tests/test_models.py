@@ -9,8 +9,10 @@ from tunemill.operators.sampling import split
 from tunemill.plans import explain as X
 from tunemill.plans import models as M
 from tunemill.plans.pipeline import run_all
+from tunemill.plans import training as T
 from tunemill.plans.tune import random_search, refit_and_test
 from tunemill.session import scratch_path
+from tunemill.sources.files import write_json
 from tunemill.sources.synthetic import NORMAL_COLUMNS, synthetic
 
 KEY = ["row_id"]
@@ -125,6 +127,36 @@ def test_classifier_projection_and_factors(spark, data):
     assert M.fit_implicit(uses, "u", "i", "s").recommendForAllUsers(2).count() == 10
 
 
+def test_comparison_of_models(data):
+    small = {"linear": ("linear", None), "forest": ("forest", {"n_estimators": 5, "max_depth": 5}),
+             "boosting": ("gbt", {"n_estimators": 10, "max_depth": 3, "learning_rate": 0.3})}
+    rows = {r.model: r for r in T.train_and_compare(data, FEATURES, models=small).collect()}
+    assert sorted(r["rank"] for r in rows.values()) == [1, 2, 3]
+    assert rows["linear"].gain == 0.0 and rows["linear"].is_best
+
+
+def test_artist_features_help_when_they_carry_the_signal(data):
+    enriched = data.withColumn("artist_popularity", F.when(F.col("row_id") % 5 > 0, F.col("popularity")))
+    table, families = T.train_enriched(enriched, ["acousticness", "tempo"], params={"n_estimators": 8, "max_depth": 4, "learning_rate": 0.3})
+    assert {r.model: r.is_best for r in table.collect()} == {"audio": False, "audio_and_artist": True}
+    share = {r.family: r.importance for r in families.collect()}
+    assert share["artist"] > share["audio"] and sum(share.values()) == pytest.approx(1.0)
+
+
+def test_verification(spark, data):
+    def fit():
+        return M.fit_forest(data.where("split = 'train'"), FEATURES, "popularity", {"n_estimators": 10, "max_depth": 6})
+    report = T.verify(data, FEATURES, "popularity", KEY, fit)
+    assert report["reproducible"] and report["same_after_loading"] and not report["critical"]
+    assert report["status"].startswith("PASSED") and report["metrics"]["r2"] > 0.6
+    path = scratch_path(spark, "report")
+    write_json(spark, report, path)
+    write_json(spark, report, path)
+    assert spark.read.json(path).count() == 2
+    flat = T.verify(data.withColumn("popularity", F.lit(65.0) + F.col("row_id") % 2), FEATURES, "popularity", KEY, fit)
+    assert flat["critical"] and flat["status"] == "FAILED"
+
+
 def test_metrics(spark):
     df = spark.createDataFrame([(0.0, 1.0), (20.0, 25.0), (20.5, 10.0), (100.0, 90.0)], "y double, p double")
     m = Q.regression_metrics(df, "y", "p", features=1).first()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,6 +95,12 @@ def load_params(spark: SparkSession, path: str) -> dict:
     return row.asDict(recursive=True) if row else {}
 
 
+def write_json(spark: SparkSession, document: dict, path: str, mode: str = "append") -> None:
+    """Append a small document (parameters, metrics, a verification report) as one JSON line."""
+    line = spark.createDataFrame([(json.dumps(document, sort_keys=True, default=str),)], "value string")
+    line.coalesce(1).write.mode(mode).text(path)
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A (section, item, value) table as text lines."""
     line = F.concat_ws(": ", F.concat(F.lit("["), "section", F.lit("] "), "item"), "value")
