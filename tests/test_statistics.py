@@ -180,6 +180,18 @@ def test_stratified_split(spark):
                    (None, "train"): 8, (None, "test"): 2}
 
 
+def test_large_buckets_are_narrowed(spark):
+    df = spark.range(60_000).withColumn("g", F.col("id") % 3)
+    sizes = {"a": F.lit(100), "b": F.ceil(F.col("n") * 0.5)}
+    for strata in ([], ["g"]):
+        plain = sampling.hash_cuts(df, ["id"], 5, sizes, strata)
+        narrow = sampling.hash_cuts(df, ["id"], 5, sizes, strata, max_ranked=3)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, narrow.collect()))
+        assert plain.count() == 2 * max(1, 3 * len(strata))
+    last = sampling.hash_cuts(df, ["id"], 5, {"a": F.lit(100)}).first()["last"]
+    assert df.where(F.xxhash64("id", F.lit(5)) <= last.h).count() == 100
+
+
 def test_sample_is_exact_nested_and_repeatable(spark):
     df = spark.range(2000).withColumn("v", F.col("id") * 2)
     small = {r.id for r in sampling.sample_n(df, 50, 1, ["id"]).collect()}

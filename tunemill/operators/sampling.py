@@ -1,8 +1,9 @@
 """Repeatable samples and splits of exact size.
 
 Rows are ordered by a seeded hash of their key. A sample or split is a range of that order, so it is described by a few
-cut points, and the wide rows are only filtered, never shuffled. The cut points are found on the key column: count rows
-per leading 16 bits of the hash, find the bucket that holds the wanted position, then rank inside that one bucket.
+cut points, and the wide rows are only filtered, never shuffled. The cut points are found on the key column alone: count
+rows per leading bits of the hash, which every task combines to a few thousand rows, find the bucket that holds
+the wanted position, and rank inside that bucket, after narrowing it by further bits when it is large.
 """
 
 from __future__ import annotations
@@ -13,35 +14,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-PREFIX_BITS = 16
+from tunemill.session import shared_dir
+
+LEVEL_BITS = 12
+MAX_RANKED_ROWS = 2_000_000
 
 
 def hash_order(key: list[str], seed: int) -> Column:
     return F.struct(F.xxhash64(*key, F.lit(seed)).alias("h"), *[F.col(k).alias(f"k{i}") for i, k in enumerate(key)])
 
 
-def hash_cuts(df: DataFrame, key: list[str], seed: int, sizes: dict[str, Column], strata: list[str] = ()) -> DataFrame:
+def _matching(rows: DataFrame, targets: DataFrame, on: list[str]) -> DataFrame:
+    """Rows in the buckets of ``targets``; null strata match each other."""
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"t.{c}")) for c in on]
+    extra = [c for c in targets.columns if c not in on]
+    joined = rows.alias("r").join(targets.alias("t"), same)
+    return joined.select("r.*", *[F.col(f"t.{c}").alias(c) for c in extra])
+
+
+def hash_cuts(df: DataFrame, key: list[str], seed: int, sizes: dict[str, Column], strata: list[str] = (),
+              max_ranked: int = MAX_RANKED_ROWS) -> DataFrame:
     """Last row, in hash order, of each leading part whose cumulative size is given.
 
     ``sizes`` maps a name to an expression over ``n``, the rows of the stratum. Returns (strata, cut, last).
     """
     strata = list(strata)
-    rows = df.select(*strata, hash_order(key, seed).alias("o"))
-    bucket = F.shiftright(F.col("o.h"), 64 - PREFIX_BITS)
+    shared_dir(df.sparkSession)
+    leading = F.shiftright(F.col("o.h"), 64 - LEVEL_BITS)
+    rows = df.select(*strata, hash_order(key, seed).alias("o")).withColumn("bucket", leading)
     group = W.partitionBy(*(strata or [F.lit(0)]))
-    totals = (rows.groupBy(*strata, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("cnt"))
+    totals = (rows.groupBy(*strata, "bucket").agg(F.count(F.lit(1)).alias("cnt"))
               .withColumns({"before": F.sum("cnt").over(group.orderBy("bucket")) - F.col("cnt"),
                             "n": F.sum("cnt").over(group)}))
     wanted = F.array(*[F.struct(F.lit(name).alias("cut"), size.cast("long").alias("size"))
                        for name, size in sizes.items()])
-    targets = (totals.select("*", F.inline(wanted))
-               .where((F.col("before") < F.col("size")) & (F.col("size") <= F.col("before") + F.col("cnt")))
-               .select(*strata, "bucket", "cut", (F.col("size") - F.col("before")).alias("nth")))
-    same = [F.col(f"r.{s}").eqNullSafe(F.col(f"t.{s}")) for s in strata]
-    candidates = (rows.withColumn("bucket", bucket).alias("r")
-                  .join(targets.alias("t"), [F.col("r.bucket") == F.col("t.bucket"), *same])
-                  .select(*[F.col(f"r.{s}").alias(s) for s in strata], "r.o", "t.cut", "t.nth"))
-    ranked = candidates.withColumn("rn", F.row_number().over(W.partitionBy(*strata, "cut").orderBy("o")))
+    inside = (F.col("before") < F.col("size")) & (F.col("size") <= F.col("before") + F.col("cnt"))
+    targets = (totals.select("*", F.inline(wanted)).where(inside)
+               .select(*strata, "bucket", "cut", "cnt", (F.col("size") - F.col("before")).alias("nth")).checkpoint())
+    found = _matching(rows, targets.drop("cnt"), [*strata, "bucket"])
+    largest = targets.agg(F.max("cnt")).first()[0] or 0
+    if largest > max_ranked:
+        following = F.shiftright(F.col("o.h"), 64 - 2 * LEVEL_BITS).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
+        found = found.withColumn("bucket", following)
+        part = W.partitionBy(*strata, "cut")
+        narrowed = (found.groupBy(*strata, "cut", "nth", "bucket").agg(F.count(F.lit(1)).alias("cnt"))
+                    .withColumn("before", F.sum("cnt").over(part.orderBy("bucket")) - F.col("cnt"))
+                    .withColumn("size", F.col("nth")).where(inside)
+                    .select(*strata, "cut", "bucket", (F.col("nth") - F.col("before")).alias("nth")))
+        found = _matching(found.drop("nth"), narrowed, [*strata, "cut", "bucket"])
+    ranked = found.withColumn("rn", F.row_number().over(W.partitionBy(*strata, "cut").orderBy("o")))
     return ranked.where(F.col("rn") == F.col("nth")).select(*strata, "cut", F.col("o").alias("last"))
 
 
