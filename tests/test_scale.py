@@ -78,3 +78,20 @@ def test_row_wise_operators_run_on_a_stream(spark, sf, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.table("recommended").count() == recommend(derive(rows), ["track_id"]).count()
+
+
+def test_broadcast_only_within_the_bound(spark):
+    from tunemill.operators.enrich import enrich
+    from tunemill.operators import sides
+    facts = spark.range(100).withColumn("k", F.col("id") % 5)
+    dim = spark.range(5).select(F.col("id").alias("name"), F.lit(1).alias("v"))
+    assert "BroadcastHashJoin" in enrich(facts, dim, "k", "name")._jdf.queryExecution().executedPlan().toString()
+    assert sides.checked(dim, max_rows=2) is dim
+
+
+def test_clean_with_holes_fits_on_the_kept_rows(spark):
+    from tunemill.plans.pipeline import clean
+    rows = [("a", 1.0, 5, 10), ("b", 1.0, 9, None), ("c", 2.0, 0, 50), ("d", 3.0, 4, 30), ("e", 4.0, 4, 20), ("f", 5.0, 1, 40)]
+    df = spark.createDataFrame(rows, "track_id string, energy double, popularity int, duration_ms long")
+    got = {r.track_id: r.duration_ms for r in clean(df, ["track_id"], ["energy"]).collect()}
+    assert got == {"b": 30, "d": 30, "e": 20, "f": 40}  # the median of 30, 20, 40, not of the dropped rows

@@ -111,9 +111,10 @@ def qcut_mean(df: DataFrame, cols: list[str], target: str, q: int = 10) -> DataF
     shares = {label: f"least(1D, {number(i)} / least({q}, n_values))" for i, label in enumerate(names)}
     edges = quantiles_from_ranks(ranks, shares).select(
         "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
+    # The edges have one row per column of the table, so they can be broadcast.
     inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     slot = F.size(F.filter(inner, lambda edge: F.col("value") > edge))
-    return (ranks.join(edges, "feature").where(F.size("edges") > 1).withColumn("bin", slot)
+    return (ranks.join(F.broadcast(edges), "feature").where(F.size("edges") > 1).withColumn("bin", slot)
             .groupBy("feature", "bin").agg(
                 F.sum("cnt").alias("rows"), F.sum("total").alias("_total"), F.sum("seen").alias("_seen"),
                 F.first("edges").alias("edges"))

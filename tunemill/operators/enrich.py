@@ -9,6 +9,7 @@ from tunemill.functions.bins import cut
 from tunemill.functions.names import members_of, primary_of
 from tunemill.operators.clean import keep_best
 from tunemill.operators.ranks import quantiles
+from tunemill.operators.sides import checked
 from tunemill.presets import ENRICH_DEFAULTS, TIER_BINS
 
 
@@ -32,10 +33,10 @@ def unique_by(dim: DataFrame, key: str, order: list[Column] | None = None) -> Da
 def enrich(facts: DataFrame, dim: DataFrame, left_key: str, right_key: str, order: list[Column] | None = None) -> DataFrame:
     """Left join to a dimension that is first made unique on its key.
 
-    No broadcast hint: the size of a growing dimension is unknown here. Spark broadcasts it at run time when it is
-    below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise splits hot keys of the fact side (skew join).
+    The unique dimension is counted and broadcast only within a bound; beyond it both sides are shuffled and adaptive
+    execution splits hot keys of the fact side (skew join).
     """
-    dim = unique_by(dim, right_key, order)
+    dim = checked(unique_by(dim, right_key, order))
     return facts.join(dim, facts[left_key] == dim[right_key], "left")
 
 

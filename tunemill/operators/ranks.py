@@ -124,6 +124,7 @@ def global_index(df: DataFrame, order: list, label: str = "position", start: int
     part = F.shiftright("_slot", 33)
     sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
     offsets = sizes.select("_part", (F.sum("_size").over(W.orderBy("_part")) - F.col("_size")).alias("_offset"))
-    return (placed.withColumn("_part", part).join(offsets, "_part")
+    # One row per sort partition, which the session bounds.
+    return (placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
             .withColumn(label, F.col("_offset") + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1)) + F.lit(start))
             .drop("_slot", "_part", "_offset"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tunemill.operators.sides import checked
 from tunemill.session import shared_dir
 
 LEVEL_BITS = 12
@@ -53,6 +54,7 @@ def hash_cuts(df: DataFrame, key: list[str], seed: int, sizes: dict[str, Column]
                .select(*strata, "bucket", "cut", "cnt", (F.col("size") - F.col("before")).alias("nth")).checkpoint())
     found = _matching(rows, targets.drop("cnt"), [*strata, "bucket"])
     largest = targets.agg(F.max("cnt")).first()[0] or 0
+    targets = checked(targets)  # a row per stratum and cut
     if largest > max_ranked:
         following = F.shiftright(F.col("o.h"), 64 - 2 * LEVEL_BITS).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
         found = found.withColumn("bucket", following)
@@ -61,7 +63,7 @@ def hash_cuts(df: DataFrame, key: list[str], seed: int, sizes: dict[str, Column]
                     .withColumn("before", F.sum("cnt").over(part.orderBy("bucket")) - F.col("cnt"))
                     .withColumn("size", F.col("nth")).where(inside)
                     .select(*strata, "cut", "bucket", (F.col("nth") - F.col("before")).alias("nth")))
-        found = _matching(found.drop("nth"), narrowed, [*strata, "cut", "bucket"])
+        found = _matching(found.drop("nth"), checked(narrowed.checkpoint()), [*strata, "cut", "bucket"])
     ranked = found.withColumn("rn", F.row_number().over(W.partitionBy(*strata, "cut").orderBy("o")))
     return ranked.where(F.col("rn") == F.col("nth")).select(*strata, "cut", F.col("o").alias("last"))
 
@@ -120,7 +122,7 @@ def split(df: DataFrame, scheme: str, key: list[str], seed: int = 42, strata: li
     wide = cuts.groupBy(*strata).pivot("cut", list(ends)).agg(F.first("last"))
     wide = wide.select(*[F.col(s).alias(f"_s{i}") for i, s in enumerate(strata)],
                        *[F.col(c).alias(f"_end_{c}") for c in ends])
-    joined = df.join(wide, [df[s].eqNullSafe(F.col(f"_s{i}")) for i, s in enumerate(strata)], "left")
+    joined = df.join(checked(wide.checkpoint()), [df[s].eqNullSafe(F.col(f"_s{i}")) for i, s in enumerate(strata)], "left")
     label = None
     for name in ends:
         here = order <= F.col(f"_end_{name}")

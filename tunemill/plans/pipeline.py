@@ -18,6 +18,7 @@ from tunemill.operators.sampling import split
 from tunemill.plans.ledger import RunLedger
 from tunemill.plans.models import fit_gbt, importances, score
 from tunemill.presets import AUDIO_FEATURES, IDENTIFIER_COLUMNS, TARGET
+from tunemill.session import shared_dir
 from tunemill.sources.files import write_csv, write_parquet, write_report, write_split
 
 
@@ -35,7 +36,11 @@ def clean(df: DataFrame, tie_break: list[str], keys: list[str] | None = None, ta
     rules = {**{c: "median" for c in numeric_cols(df)}, **{c: "mode" for c in string_cols(df)}}
     holes = df.agg(*[F.count_if(missing(df, c)).alias(c) for c in rules]).first() if rules else {}
     needy = {c: how for c, how in rules.items() if holes[c]}
-    return derive(impute(kept, needy) if needy else kept)
+    if not needy:
+        return derive(kept)
+    # Several fitting jobs and the result read the deduplicated rows, so they are written once.
+    shared_dir(df.sparkSession)
+    return derive(impute(kept.checkpoint(), needy))
 
 
 def features_for_training(df: DataFrame, scheme: str = "80/20", key: list[str] = ("track_id",), seed: int = 42) -> DataFrame:
