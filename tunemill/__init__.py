@@ -1 +1,8 @@
 """Analytics over large tables of scored items (music tracks with audio features and a popularity score)."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors by value, so the package need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
