@@ -138,6 +138,8 @@ def histogram(df: DataFrame, col: str, bins: int, low: float | None = None, high
 def density_grid(df: DataFrame, x: str, y: str, nx: int, ny: int) -> DataFrame:
     """Row counts on an equal-width grid spanning both columns."""
     b = df.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1")).first()
+    if b.x0 is None or b.y0 is None:
+        return df.sparkSession.createDataFrame([], "bin_x int, bin_y int, rows long")
     cells = df.select(fixed_width_bin(F.col(x).cast("double"), float(b.x0), float(b.x1), nx).alias("bin_x"),
                       fixed_width_bin(F.col(y).cast("double"), float(b.y0), float(b.y1), ny).alias("bin_y"))
     return cells.dropna().groupBy("bin_x", "bin_y").agg(F.count(F.lit(1)).alias("rows"))

@@ -40,9 +40,10 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
     built. The driver holds one block of seeds; a longer list is worked off block by block into a table in the
     shared folder.
     """
-    requests = seeds.select(F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("v"))
+    requests = seeds.select(F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("v")).where(
+        "v IS NOT NULL")
     rows = items.select(F.col(id_col).cast("long").alias("item_id"), vector.cast("array<double>").alias("v"),
-                        (F.lit(0.0) if extra is None else extra.cast("double")).alias("extra"))
+                        (F.lit(0.0) if extra is None else extra.cast("double")).alias("extra")).where("v IS NOT NULL")
     schema = "seed_id long, item_id long, similarity double, score double"
 
     def pass_over(block):
