@@ -60,11 +60,13 @@ class Coder:
         self.freqs = freqs.astype(np.uint64)
         self.starts = (np.cumsum(freqs) - freqs).astype(np.uint64)
         self.slots = None
+        size = int(symbols.max()) + 1
+        self.freq_of, self.start_of = np.zeros(size, np.uint64), np.zeros(size, np.uint64)
+        self.freq_of[symbols], self.start_of[symbols] = self.freqs, self.starts
 
     def encode(self, ids: np.ndarray) -> bytes:
         """Final states of the lanes, then the words in the order in which decoding asks for them."""
-        at = np.searchsorted(self.symbols, ids)
-        freq, start = self.freqs[at], self.starts[at]
+        freq, start = self.freq_of[ids], self.start_of[ids]
         states = np.full(LANES, LOW, np.uint64)
         shift, words = np.uint64(SCALE), []
         for row in range((len(ids) - 1) // LANES * LANES, -1, -LANES):

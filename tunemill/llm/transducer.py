@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import map_lists, worker_state
-from tunemill.llm.wordids import REMEMBERED, WordIds, pack
+from tunemill.llm.wordids import Recent, WordIds, pack
 
 #: Moves that are kept before the table starts anew, and ids that are decoded at once.
 KEPT_MOVES, DECODED = 600_000, 1 << 16
@@ -170,23 +170,10 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(load_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.pieces: dict[str, bytes] = {}
-        self.words = WordIds(self._ids)
+        self.pieces = Recent(lambda piece: pack(self.transducer.encode(piece.encode())))
+        self.words = WordIds(lambda text: b"".join([self.pieces[piece] for piece in self.find(text)]))
         self.table = self.transducer.tokens
 
-    def _ids(self, text: str) -> bytes:
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces.clear()
-        parts = []
-        for piece in self.find(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = pack(self.transducer.encode(piece.encode()))
-                if len(piece) < 100:
-                    self.pieces[piece] = ids
-            parts.append(ids)
-        return b"".join(parts)
-
     def encode(self, text: str | None) -> bytes:
         return self.words.ids(text)
 

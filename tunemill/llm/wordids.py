@@ -14,8 +14,8 @@ from tokenizers import Tokenizer
 
 from tunemill.llm.common import worker_state
 
-#: Distinct words that a worker remembers before it starts anew, and the longest of them.
-REMEMBERED, LONGEST = 1_000_000, 200
+#: Distinct words in each of the two generations that a worker remembers, and the longest of them.
+REMEMBERED, LONGEST = 600_000, 200
 NEXT_WORD = re.compile(r" (?=\S)")
 ID_BYTES = 4
 
@@ -28,22 +28,36 @@ class _Irregular(Exception):
     """A word that is empty or starts with white space: the text has more than single spaces."""
 
 
-class _Words(dict):
+class Recent(dict):
+    """A memory of bounded size in two generations: a full one becomes the older, and what is used again moves on."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        if len(key) <= LONGEST:
+            self[key] = value
+        return value
+
+
+class _Words(Recent):
     """ids of ``lead + word``, filled when a word is first seen."""
 
     def __init__(self, encode: Callable[[str], bytes], lead: str):
-        super().__init__()
-        self.encode, self.lead = encode, lead
+        super().__init__(lambda word: encode(lead + word))
+        self.later = bool(lead)
 
     def __missing__(self, word: str) -> bytes:
-        if self.lead and (not word or word[0].isspace()):
+        if self.later and (not word or word[0].isspace()):
             raise _Irregular
-        ids = self.encode(self.lead + word)
-        if len(self) >= REMEMBERED:
-            self.clear()
-        if len(word) <= LONGEST:
-            self[word] = ids
-        return ids
+        return super().__missing__(word)
 
 
 class WordIds:
@@ -69,20 +83,12 @@ class _Library:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Recent(lambda piece: pack([t.id for t in self.tokenizer.model.tokenize(piece)]))
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
             return pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        if len(self.pieces) >= REMEMBERED:
-            self.pieces.clear()
-        parts = []
-        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                ids = self.pieces[piece] = pack([t.id for t in self.tokenizer.model.tokenize(piece)])
-            parts.append(ids)
-        return b"".join(parts)
+        return b"".join([self.pieces[piece] for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
 
 
 def library_ids(path: str) -> WordIds:
