@@ -28,6 +28,7 @@ def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
     The function returns ``{column: list}`` for ``schema``, with any number of rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()  # what an earlier stage left in this worker
         fn = make()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -67,3 +68,12 @@ def worker_state(name: str, make: Callable[[], object]):
     if not hasattr(home, name):
         setattr(home, name, make())
     return getattr(home, name)
+
+
+def forget_worker_state() -> None:
+    """Frees what earlier stages kept in this Python worker; called by operators that keep nothing themselves."""
+    home = sys.modules.get("tunemill_worker_state")
+    if home:
+        for name in [n for n in vars(home) if not n.startswith("__")]:
+            delattr(home, name)
+        pa.default_memory_pool().release_unused()

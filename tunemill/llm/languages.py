@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tunemill.llm.common import map_lists
+from tunemill.llm.common import forget_worker_state, map_lists
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -55,6 +55,8 @@ def trigram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang")
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def make():
+        forget_worker_state()
+
         def count(rows):
             out = {"lang": [], "bucket": [], "n": []}
             for name in dict.fromkeys(rows["lang"]):
@@ -132,6 +134,7 @@ def identify(text: Column, model: LanguageModel) -> Column:
 
     @pandas_udf("lang string, score double")
     def predict(texts):
+        forget_worker_state()
         own = LanguageModel(*shared.value)
         return pd.DataFrame([own.predict(t) for t in texts], columns=["lang", "score"])
 

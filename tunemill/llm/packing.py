@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import map_lists
-from tunemill.llm.wordids import ID_BYTES, library_ids, pack
+from tunemill.llm.wordids import ID_BYTES, REMEMBERED, library_ids, pack
 
 CAPACITY, OPEN = 2048, 1024
 END = pack([0])
@@ -70,10 +70,10 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def packed(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-           limit: int = OPEN) -> DataFrame:
-    """One row per piece with its place; see the module."""
+           limit: int = OPEN, remembered: int = REMEMBERED) -> DataFrame:
+    """One row per piece with its place; see the module. ``remembered`` words are kept for encoding."""
     def make():
-        encoder = library_ids(vocabulary)
+        encoder = library_ids(vocabulary, remembered)
         context = TaskContext.get()
         sequences = OpenSequences(capacity, limit, (context.partitionId() if context else 0) << 36)
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tunemill.llm.common import written
+from tunemill.llm.common import forget_worker_state, written
 
 SYMBOLS = b"#*$%&|<>"
 NO_SYMBOLS = bytes(set(range(256)) - set(SYMBOLS))
@@ -55,6 +55,7 @@ def measured(text: Column) -> Column:
     """struct of ``COUNTS``."""
     @pandas_udf(", ".join(f"{c} long" for c in COUNTS))
     def run(texts: pd.Series) -> pd.DataFrame:
+        forget_worker_state()
         return pd.DataFrame([count_words(t) for t in texts], columns=COUNTS, dtype="int64")
 
     return run(text)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tunemill.llm.common import map_lists, written
+from tunemill.llm.common import forget_worker_state, map_lists, written
 from tunemill.llm.components import components
 
 SEED = 42
@@ -68,6 +68,7 @@ def _mix(hashes: np.ndarray, i: int) -> np.ndarray:
 def fingerprint(text: Column, words_each: int = 4, numbers: int = 1) -> Column:
     @pandas_udf("binary")
     def run(texts):
+        forget_worker_state()
         return pd.Series([simhash(t, words_each, numbers) for t in texts], dtype=object)
 
     return run(text)

@@ -28,7 +28,7 @@ from tunemill.llm.common import map_lists, worker_state
 from tunemill.llm.wordids import Recent, WordIds, pack
 
 #: Moves that are kept before the table starts anew, and ids that are decoded at once.
-KEPT_MOVES, DECODED = 600_000, 1 << 16
+KEPT_MOVES, DECODED = 400_000, 1 << 16
 ROOT = 0
 
 

@@ -49,7 +49,8 @@ def record(key: int | None, url: str | None, payload: bytes, digest: str, first:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {key} {digest}')}>",
              f"WARC-Date: {date}", f"WARC-Payload-Digest: sha256:{digest}", f"X-Payload-Length: {size}"]
     lines += [f"X-Key: {key}"] * (key is not None)
-    lines += ["WARC-Target-URI: " + "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in url)] * (url is not None)
+    if url is not None:
+        lines.append("WARC-Target-URI: " + "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in url))
     if first is not None:
         lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Key: {first}"]
     lines += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}", "", ""]

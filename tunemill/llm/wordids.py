@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 from tunemill.llm.common import worker_state
 
 #: Distinct words in each of the two generations that a worker remembers, and the longest of them.
-REMEMBERED, LONGEST = 600_000, 200
+REMEMBERED, LONGEST = 450_000, 200
 NEXT_WORD = re.compile(r" (?=\S)")
 ID_BYTES = 4
 
@@ -31,15 +31,15 @@ class _Irregular(Exception):
 class Recent(dict):
     """A memory of bounded size in two generations: a full one becomes the older, and what is used again moves on."""
 
-    def __init__(self, make: Callable[[str], bytes]):
+    def __init__(self, make: Callable[[str], bytes], limit: int = REMEMBERED):
         super().__init__()
-        self.make, self.older = make, {}
+        self.make, self.older, self.limit = make, {}, limit
 
     def __missing__(self, key: str) -> bytes:
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.limit:
             self.older = dict(self)
             self.clear()
         if len(key) <= LONGEST:
@@ -50,8 +50,8 @@ class Recent(dict):
 class _Words(Recent):
     """ids of ``lead + word``, filled when a word is first seen."""
 
-    def __init__(self, encode: Callable[[str], bytes], lead: str):
-        super().__init__(lambda word: encode(lead + word))
+    def __init__(self, encode: Callable[[str], bytes], lead: str, limit: int):
+        super().__init__(lambda word: encode(lead + word), limit)
         self.later = bool(lead)
 
     def __missing__(self, word: str) -> bytes:
@@ -63,8 +63,8 @@ class _Words(Recent):
 class WordIds:
     """``ids(text)``: all ids as little-endian 32-bit numbers. ``encode`` is asked once for each distinct word."""
 
-    def __init__(self, encode: Callable[[str], bytes]):
-        self.first, self.later = _Words(encode, ""), _Words(encode, " ")
+    def __init__(self, encode: Callable[[str], bytes], limit: int = REMEMBERED):
+        self.first, self.later = _Words(encode, "", limit), _Words(encode, " ", limit)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
@@ -80,10 +80,10 @@ class WordIds:
 class _Library:
     """Ids of a word by the tokenizers library; pieces of words are remembered too."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, limit: int):
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = Recent(lambda piece: pack([t.id for t in self.tokenizer.model.tokenize(piece)]))
+        self.pieces = Recent(lambda piece: pack([t.id for t in self.tokenizer.model.tokenize(piece)]), limit)
 
     def __call__(self, text: str) -> bytes:
         if any(s in text for s in self.specials):
@@ -91,6 +91,6 @@ class _Library:
         return b"".join([self.pieces[piece] for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)])
 
 
-def library_ids(path: str) -> WordIds:
-    """The encoder of this Python worker for a vocabulary of the tokenizers library."""
-    return worker_state(f"library_ids {path}", lambda: WordIds(_Library(path)))
+def library_ids(path: str, limit: int = REMEMBERED) -> WordIds:
+    """The encoder of this Python worker for a vocabulary; a smaller ``limit`` saves memory and costs time."""
+    return worker_state(f"library_ids {path} {limit}", lambda: WordIds(_Library(path, limit), limit))
