@@ -22,6 +22,9 @@ GROUPS = ["lang", "source"]
 #: that share 0.8 of their shingles have a cosine of 0.89, so 15 % of their bits differ).
 SHINGLE, NUMBERS, RADIUS, FIRST_RADIUS = 5, 4, 40, 20
 
+#: Words kept in a Python worker while packing, which shares its executor with what earlier stages left in memory.
+REMEMBERED = 100_000
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: ``und`` goes, as do texts in which no language leads."""
@@ -50,7 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2,048 tokens: one row per piece."""
-    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.packed(docs, public_tokenizers.path("byte_bpe_50k.json"), remembered=REMEMBERED)
 
 
 STAGES = [("language ID", language_id), ("quality rules", quality_rules), ("SimHash near-dedup", near_duplicates),
