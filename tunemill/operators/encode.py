@@ -124,7 +124,7 @@ def label_encode(df: DataFrame, col: str, name: str | None = None, inline_limit:
     if len(head) <= inline_limit:
         pairs = [item for i, v in enumerate(sorted(r[0] for r in head)) for item in (F.lit(v), F.lit(i).cast("long"))]
         return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(col)))
-    return df.join(global_index(distinct, [col], name), col, "left")
+    return df.join(global_index(distinct, [col], name), col, "left").select(*df.columns, name)
 
 
 def hash_encode(df: DataFrame, col: str, mod: int = 100, name: str | None = None) -> DataFrame:

@@ -52,9 +52,8 @@ def hash_cuts(df: DataFrame, key: list[str], seed: int, sizes: dict[str, Column]
     inside = (F.col("before") < F.col("size")) & (F.col("size") <= F.col("before") + F.col("cnt"))
     targets = (totals.select("*", F.inline(wanted)).where(inside)
                .select(*strata, "bucket", "cut", "cnt", (F.col("size") - F.col("before")).alias("nth")).checkpoint())
-    found = _matching(rows, targets.drop("cnt"), [*strata, "bucket"])
     largest = targets.agg(F.max("cnt")).first()[0] or 0
-    targets = checked(targets)  # a row per stratum and cut
+    found = _matching(rows, checked(targets.drop("cnt")), [*strata, "bucket"])  # a row per stratum and cut
     if largest > max_ranked:
         following = F.shiftright(F.col("o.h"), 64 - 2 * LEVEL_BITS).bitwiseAND(F.lit((1 << LEVEL_BITS) - 1))
         found = found.withColumn("bucket", following)

@@ -30,7 +30,14 @@ def fit_linear(df: DataFrame, features: list[str], label: str):
 def _subset(value) -> str:
     """Share of features per split in Spark's notation; 1.0 means all of them."""
     text = str(value)
-    return {"sqrt": "sqrt", "log2": "log2", "1.0": "all", "1": "all", "None": "all"}.get(text, text)
+    return {"1.0": "all", "None": "all"}.get(text, text)
+
+
+def _depth(value: int | None) -> int:
+    """The depth asked for; MLlib's largest if there is no bound. A depth beyond that is an error, not cut."""
+    if value is not None and value > MAX_TREE_DEPTH:
+        raise ValueError(f"trees can be {MAX_TREE_DEPTH} levels deep at most, not {value}")
+    return value or MAX_TREE_DEPTH
 
 
 def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42):
@@ -38,7 +45,7 @@ def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | No
     p = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1, "max_features": "1.0", "bootstrap": True,
          **(params or {})}
     learner = RandomForestRegressor(
-        numTrees=p["n_estimators"], maxDepth=min(p["max_depth"] or MAX_TREE_DEPTH, MAX_TREE_DEPTH),
+        numTrees=p["n_estimators"], maxDepth=_depth(p["max_depth"]),
         minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=_subset(p["max_features"]),
         bootstrap=p["bootstrap"], seed=seed, maxMemoryInMB=1024)
     return learner.fit(assemble(df, features, label).select("features", "label"))
@@ -50,7 +57,7 @@ def fit_gbt(df: DataFrame, features: list[str], label: str, params: dict | None
     p = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "min_child_weight": 1,
          "gamma": 0.0, "max_features": "all", **(params or {})}
     learner = GBTRegressor(
-        maxIter=p["n_estimators"], maxDepth=min(p["max_depth"], MAX_TREE_DEPTH), stepSize=p["learning_rate"],
+        maxIter=p["n_estimators"], maxDepth=_depth(p["max_depth"]), stepSize=p["learning_rate"],
         subsamplingRate=p["subsample"], minInstancesPerNode=p["min_child_weight"], minInfoGain=p["gamma"],
         featureSubsetStrategy=_subset(p["max_features"]), seed=seed, maxMemoryInMB=1024)
     rows = assemble(df, features, label)

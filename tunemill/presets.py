@@ -141,7 +141,7 @@ BOOSTING_SPACE = {
 }
 FOREST_SPACE = {
     "n_estimators": ("int", 50, 500, 50),
-    "max_depth": ("int", 5, 50, 1),
+    "max_depth": ("int", 5, 30, 1),  # 30 is the deepest that MLlib trains
     "min_samples_leaf": ("int", 1, 10, 1),
     "max_features": ("choice", ["sqrt", "log2", "0.5", "0.8", "1.0"]),
     "bootstrap": ("choice", [True, False]),

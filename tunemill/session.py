@@ -29,7 +29,10 @@ def build_session(app: str = "tunemill", master: str | None = None, **conf: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a local one is made only where none is configured."""
+    """The cluster's checkpoint folder. Only a local session may do without: it gets one of its own.
+
+    On a cluster every machine would write to its own disk, so a missing setting is an error there.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
     if configured:
@@ -37,6 +40,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(configured)
         return configured
     if sc.getCheckpointDir() is None:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunemill-"))
     return sc.getCheckpointDir()
 
