@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -28,7 +29,7 @@ def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
     The function returns ``{column: list}`` for ``schema``, with any number of rows.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.default_memory_pool().release_unused()  # what an earlier stage left in this worker
+        release_memory()
         fn = make()
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
@@ -38,6 +39,14 @@ def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
     return df.mapInArrow(run, ddl(schema))
 
 
+def release_memory() -> None:
+    """Gives back what earlier tasks freed in this Python worker, from Arrow's pool and, where it can trim, the C heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder, read back: cuts lineage, and lost executors cost no earlier step."""
     spark = df.sparkSession
@@ -73,7 +82,8 @@ def worker_state(name: str, make: Callable[[], object]):
 def forget_worker_state() -> None:
     """Frees what earlier stages kept in this Python worker; called by operators that keep nothing themselves."""
     home = sys.modules.get("tunemill_worker_state")
-    if home:
-        for name in [n for n in vars(home) if not n.startswith("__")]:
-            delattr(home, name)
-        pa.default_memory_pool().release_unused()
+    kept = [n for n in vars(home) if not n.startswith("__")] if home else []
+    for name in kept:
+        delattr(home, name)
+    if kept:
+        release_memory()
