@@ -245,6 +245,20 @@ def featurize_q(spark, sf):
         F.col("tempo_category_Very Fast").alias("tempo_very_fast"), "track_genre_encoded"))
 
 
+@query("featurize_many_levels", f"""
+SELECT track_id, CAST(dense_rank() OVER (ORDER BY track_genre) - 1 AS BIGINT) AS track_genre_encoded, {rd('energy * energy')} AS energy_squared
+FROM (SELECT CAST(o_orderkey AS VARCHAR) AS track_id, CAST(o_custkey AS VARCHAR) AS track_genre, o_orderkey % 10 / 10.0 AS energy
+      FROM orders)""")
+def featurize_many_levels(spark, sf):
+    """A code for each of more values than a literal map holds."""
+    energy = F.col("o_orderkey") % 10 / F.lit(10.0)
+    t = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("track_id"), F.col("o_custkey").cast("string").alias("track_genre"),
+        energy.alias("energy"), energy.alias("danceability"), energy.alias("valence"), energy.alias("acousticness"),
+        F.lit(4.0).alias("duration_min"))
+    return rounded(featurize(t, *fit_features(t)).select("track_id", "track_genre_encoded", "energy_squared"))
+
+
 @query("clip", """
 SELECT c_custkey, least(greatest(c_acctbal, 0), 100) AS clipped FROM customer""")
 def clip_q(spark, sf):

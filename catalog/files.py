@@ -12,6 +12,7 @@ from tunemill.operators.profile import quality_report
 from tunemill.operators.ranks import quantiles
 from tunemill.operators.sampling import sample_n, split, split_summary
 from tunemill.plans.ledger import RunLedger, search_runs
+from tunemill.presets import MISSING_TOKENS
 from tunemill.session import scratch_path
 from tunemill.sources import files as S
 from tunemill.sources.runs import latest, read_runs
@@ -94,17 +95,31 @@ def cleaned_csv_export(spark, sf):
     return rounded(S.read_csv(spark, path, t.schema))
 
 
-@query("missing_tokens", """
-SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN NULL ELSE event_type END AS kind FROM events""")
+KINDS = [*MISSING_TOKENS, "NONE"]
+
+
+@query("missing_tokens", f"""
+SELECT event_id, CASE WHEN event_id % {len(KINDS)} = {len(KINDS) - 1} THEN 'NONE' END AS kind FROM events""")
 def missing_tokens(spark, sf):
+    """Every token becomes null; the text NONE stays."""
     path = scratch_path(spark, "tokens")
-    kind = F.when(F.col("event_type") == "click", "N/A").when(F.col("event_type") == "view", "nan").otherwise(
-        F.col("event_type"))
+    kind = F.get(F.array(*[F.lit(k) for k in KINDS]), (F.col("event_id") % len(KINDS)).cast("int"))
     e = table(spark, sf, "events").select("event_id", kind.alias("kind"))
     S.write_csv(e, path)
     return S.read_csv(spark, path, e.schema)
 
 
+@query("csv_rejected_cells", """
+SELECT 'event_id' AS "column", CAST(0 AS BIGINT) AS rejected
+UNION ALL SELECT 'value', count(*) FILTER (WHERE event_id % 7 = 0) FROM events""")
+def csv_rejected_cells(spark, sf):
+    path = scratch_path(spark, "rejects")
+    events = table(spark, sf, "events").select("event_id", "value")
+    text = F.when(F.col("event_id") % 7 == 0, "about 5").when(F.col("event_id") % 7 == 1, "N/A").otherwise(F.col("value").cast("string"))
+    S.write_csv(events.withColumn("value", text), path)
+    return S.rejected_cells(spark, path, events.schema)
+
+
 @query("quality_report_text", """
 SELECT '[summary] rows: ' || count(*) AS line FROM part UNION ALL SELECT '[summary] columns: 6'
 UNION ALL SELECT '[summary] duplicate_rows: 0'

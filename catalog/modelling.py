@@ -10,7 +10,7 @@ from catalog.registry import TRACK_FEATURES, preds, query, rd, rounded, table, t
 from tunemill.operators.encode import label_encode
 from tunemill.operators.evaluate import metrics_by
 from tunemill.operators.enrich import fill_defaults, with_artist_features
-from tunemill.operators.sampling import sample_n, split
+from tunemill.operators.sampling import split
 from tunemill.plans import explain as X
 from tunemill.plans import models as M
 from tunemill.plans import training as T
@@ -112,10 +112,10 @@ def tune_forest(spark, sf):
 
 @query("shapley")
 def shapley(spark, sf):
-    """Attributions of an exact sample of 10,000 rows; the sample is part of the operator."""
+    """Attributions of every row."""
     data = labelled(spark, sf)
     model = M.fit_gbt(training(spark, sf), FEATURES, GOAL, {**SMALL_BOOST, "n_estimators": 5})
-    return X.shapley(sample_n(data, 10_000, 42, KEY), model, FEATURES, data, KEY, draws=10)
+    return X.shapley(data, model, FEATURES, data, KEY, draws=10)
 
 
 @query("permutation_importance")

@@ -12,6 +12,7 @@ from tunemill.functions.scalars import (
 )
 from tunemill.operators.columns import available
 from tunemill.operators.ranks import global_index
+from tunemill.operators.sides import checked
 from tunemill.presets import (
     ENERGY_BINS, ONE_HOT_LEVELS, POPULARITY_BINS, SCALED_FEATURES, SERVING_ENERGY_BINS, SERVING_ENERGY_BINS_WIDE,
     SERVING_TEMPO_BINS, TEMPO_BINS, UNKNOWN_MOOD,
@@ -111,20 +112,33 @@ def one_hot(df: DataFrame, col: str, levels: list | None = None, drop_first: boo
     return df.withColumns({f"{col}_{level}": flag(F.col(col) == F.lit(level)) for level in kept}).drop(col)
 
 
-def label_encode(df: DataFrame, col: str, name: str | None = None, inline_limit: int = MAX_LEVELS) -> DataFrame:
-    """Number of each value among the sorted distinct values.
+def level_codes(df: DataFrame, col: str, inline_limit: int = MAX_LEVELS) -> dict | DataFrame:
+    """Number of each value among the sorted distinct values, for any number of values.
 
-    Few levels become a literal map; more are numbered by a distributed sort and joined.
+    Few levels are a map; more are numbered by a distributed sort and stay a table of ``col`` and ``code``.
     """
-    name = name or f"{col}_encoded"
     distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
     head = distinct.limit(inline_limit + 1).collect()
-    if not head:
-        return df.withColumn(name, F.lit(None).cast("long"))
     if len(head) <= inline_limit:
-        pairs = [item for i, v in enumerate(sorted(r[0] for r in head)) for item in (F.lit(v), F.lit(i).cast("long"))]
-        return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(col)))
-    return df.join(global_index(distinct, [col], name), col, "left").select(*df.columns, name)
+        return {v: i for i, v in enumerate(sorted(r[0] for r in head))}
+    return global_index(distinct, [col], "code")
+
+
+def with_codes(df: DataFrame, col: str, codes: dict | DataFrame, name: str) -> DataFrame:
+    """``df`` with the code of each value as last column; null where the value has none."""
+    if isinstance(codes, DataFrame):
+        coded = df.drop(name).join(checked(codes.select(col, F.col("code").alias(name))), col, "left")
+    elif codes:
+        pairs = [item for v, i in codes.items() for item in (F.lit(v), F.lit(i).cast("long"))]
+        coded = df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(col)))
+    else:
+        coded = df.withColumn(name, F.lit(None).cast("long"))
+    return coded.select(*[c for c in df.columns if c != name], name)
+
+
+def label_encode(df: DataFrame, col: str, name: str | None = None, inline_limit: int = MAX_LEVELS) -> DataFrame:
+    """Number of each value among the sorted distinct values."""
+    return with_codes(df, col, level_codes(df, col, inline_limit), name or f"{col}_encoded")
 
 
 def hash_encode(df: DataFrame, col: str, mod: int = 100, name: str | None = None) -> DataFrame:
@@ -147,11 +161,11 @@ def apply_scaler(df: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataF
     return df.withColumns({c: scaled(F.col(c), *fit) for c, fit in scaler.items()})
 
 
-def featurize(df: DataFrame, levels: dict | None = None, genre_codes: dict | None = None) -> DataFrame:
+def featurize(df: DataFrame, levels: dict | None = None, genre_codes: dict | DataFrame | None = None) -> DataFrame:
     """Model features of any table of tracks; the same code serves batch tables and single requests.
 
     ``levels`` and ``genre_codes`` come from :func:`fit_features`, so that a request row gets the columns of the
-    training table whatever values it holds.
+    training table whatever values it holds. A genre without a code gets 0.
     """
     df = flags(squares(interactions(df)))
     if "explicit" in df.columns:
@@ -163,20 +177,18 @@ def featurize(df: DataFrame, levels: dict | None = None, genre_codes: dict | Non
         if genre_codes is None:
             df = label_encode(df, "track_genre")
         else:
-            pairs = [F.lit(x) for kv in genre_codes.items() for x in kv]
-            df = df.withColumn("track_genre_encoded",
-                               F.coalesce(F.try_element_at(F.create_map(*pairs), "track_genre"), F.lit(0)))
+            df = with_codes(df, "track_genre", genre_codes, "track_genre_encoded").withColumn(
+                "track_genre_encoded", F.coalesce("track_genre_encoded", F.lit(0).cast("long")))
         df = df.drop("track_genre")
     return df
 
 
-def fit_features(df: DataFrame) -> tuple[dict, dict]:
-    """Levels of the one-hot columns and codes of the genres, from the training rows."""
+def fit_features(df: DataFrame) -> tuple[dict, dict | DataFrame]:
+    """Levels of the one-hot columns and codes of the genres, however many, from the training rows."""
     levels = {c: fixed for c, fixed in ONE_HOT_LEVELS.items() if c in df.columns}
     open_ended = [c for c, fixed in levels.items() if fixed is None]
-    genre = ["track_genre"] if "track_genre" in df.columns else []
-    found = levels_of_all(df, open_ended + genre)
-    codes = {g: i for i, g in enumerate(found[genre[0]])} if genre else {}
+    found = levels_of_all(df, open_ended)
+    codes = level_codes(df, "track_genre") if "track_genre" in df.columns else {}
     return levels | {c: found[c] for c in open_ended}, codes
 
 

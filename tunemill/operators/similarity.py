@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunemill.operators.ranks import global_index
 from tunemill.session import scratch_path
@@ -21,57 +22,60 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.where(length == 0, 1.0, length)
 
 
-def _best(ids: np.ndarray, similarity: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
-    """Positions of the ``n`` best scores, smaller ids first among ties."""
-    if len(score) > n:
-        keep = np.flatnonzero(score >= np.partition(score, len(score) - n)[len(score) - n])
-    else:
-        keep = np.arange(len(score))
-    keep = keep[np.lexsort((ids[keep], -score[keep]))][:n]
-    return keep[np.isfinite(score[keep])]
+def _leading(seed: np.ndarray, ids: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
+    """Positions of the ``n`` best candidates of each seed, smaller ids first among equal scores."""
+    order = np.lexsort((ids, -score, seed))
+    seed = seed[order]
+    first = np.flatnonzero(np.r_[True, seed[1:] != seed[:-1]]) if len(seed) else np.empty(0, np.int64)
+    place = np.arange(len(seed)) - np.repeat(first, np.diff(np.r_[first, len(seed)]))
+    return order[place < n]
 
 
 def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Column, n: int,
                   extra: Column | None = None, weight: float = 1.0, digits: int = 6) -> DataFrame:
     """(seed_id, item_id, similarity, score, rank): the ``n`` best items for each seed.
 
-    ``score = weight * similarity + (1 - weight) * extra``, rounded before ranking; ties go to the smaller id. Each task
-    multiplies its batches with a block of seed vectors and keeps ``n`` rows per seed, so that no item x seed table is
-    built. The driver holds one block of seeds; a longer list is worked off block by block into a table in the
+    ``score = weight * similarity + (1 - weight) * extra``, rounded before ranking; ties go to the smaller id. Whole
+    numbers stay 64-bit ids, other ids are texts. Rows without id or vector are left out; vectors must have one length.
+    Each task multiplies its batches with a block of seed vectors and keeps ``n`` rows per seed, so that no item x seed
+    table is built. The driver holds one block of seeds; a longer list is worked off block by block into a table in the
     shared folder.
     """
-    requests = seeds.select(F.col(id_col).cast("long").alias("id"), vector.cast("array<double>").alias("v")).where(
-        "v IS NOT NULL")
-    rows = items.select(F.col(id_col).cast("long").alias("item_id"), vector.cast("array<double>").alias("v"),
-                        (F.lit(0.0) if extra is None else extra.cast("double")).alias("extra")).where("v IS NOT NULL")
-    schema = "seed_id long, item_id long, similarity double, score double"
+    kind = "long" if isinstance(items.schema[id_col].dataType, T.IntegralType) else "string"
+    known = "v IS NOT NULL AND id IS NOT NULL"
+    requests = seeds.select(F.col(id_col).cast(kind).alias("id"), vector.cast("array<double>").alias("v")).where(known)
+    rows = items.select(F.col(id_col).cast(kind).alias("id"), vector.cast("array<double>").alias("v"),
+                        (F.lit(0.0) if extra is None else extra.cast("double")).alias("extra")).where(known)
+    schema = f"seed_id {kind}, item_id {kind}, similarity double, score double"
+    id_type = "int64" if kind == "long" else str
 
     def pass_over(block):
-        seed_ids = np.array([i for i, _ in block], dtype="int64")
+        size = len(block[0][1])
+        if any(len(v) != size for _, v in block):
+            raise ValueError("the vectors of the seeds differ in length")
+        seed_ids = np.array([i for i, _ in block], dtype=id_type)
         matrix = _unit(np.array([v for _, v in block], dtype="float64"))
+        right_size = F.when(F.size("v") == size, True).otherwise(
+            F.raise_error(F.concat(F.lit(f"a vector has not the {size} numbers of the seeds: item "), F.col("id").cast("string"))).cast("boolean"))
 
         def local_top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            top: list[pd.DataFrame | None] = [None] * len(seed_ids)
+            best = (np.empty(0, "int64"), np.empty(0, id_type), np.empty(0), np.empty(0))
             for batch in batches:
                 if batch.empty:
                     continue
-                ids = batch["item_id"].to_numpy()
-                sims = _unit(np.stack(batch["v"].to_numpy())) @ matrix.T
-                blended = weight * sims + (1.0 - weight) * batch["extra"].to_numpy()[:, None]
-                sims, blended = np.round(sims, digits), np.round(blended, digits)
-                for j, seed in enumerate(seed_ids):
-                    score = np.where(ids == seed, -np.inf, blended[:, j])
-                    pick = _best(ids, sims[:, j], score, n)
-                    found = pd.DataFrame({"seed_id": seed, "item_id": ids[pick], "similarity": sims[pick, j],
-                                          "score": score[pick]})
-                    if top[j] is not None:
-                        found = pd.concat([top[j], found], ignore_index=True)
-                        found = found.iloc[_best(found["item_id"].to_numpy(), found["similarity"].to_numpy(),
-                                                 found["score"].to_numpy(), n)]
-                    top[j] = found
-            yield from (t for t in top if t is not None)
-
-        return rows.mapInPandas(local_top, schema)
+                ids = batch["id"].to_numpy().astype(id_type)
+                sims = matrix @ _unit(np.stack(batch["v"].to_numpy())).T
+                score = np.round(weight * sims + (1.0 - weight) * batch["extra"].to_numpy()[None, :], digits)
+                score[(seed_ids[:, None] == ids[None, :]) | ~np.isfinite(score)] = -np.inf
+                cut = np.partition(score, -n, axis=1)[:, -n, None] if score.shape[1] > n else -np.inf
+                seed, item = np.nonzero((score >= cut) & np.isfinite(score))
+                found = (seed, ids[item], np.round(sims[seed, item], digits), score[seed, item])
+                best = tuple(np.concatenate(pair) for pair in zip(best, found))
+                keep = _leading(best[0], best[1], best[3], n)
+                best = tuple(column[keep] for column in best)
+            yield pd.DataFrame({"seed_id": seed_ids[best[0]], "item_id": best[1], "similarity": best[2], "score": best[3]})
+
+        return rows.where(right_size).mapInPandas(local_top, schema)
 
     first = requests.limit(SEEDS_PER_PASS + 1).collect()
     if len(first) <= SEEDS_PER_PASS:

@@ -6,12 +6,15 @@ import datetime as dt
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RUNS = "run_id string, experiment string, status string, event_time timestamp, tags map<string,string>"
 PARAMS = "run_id string, key string, value string"
-METRICS = "run_id string, key string, step int, value double"
+METRICS = "run_id string, key string, step int, value double, event_time timestamp"
+#: What counts as the newest: the event time, and of equal times an ended run before a running one.
+NEWEST = ("event_time", "status <> 'RUNNING'")
 
 
 class RunLedger:
@@ -24,7 +27,13 @@ class RunLedger:
         rows.write.mode("append").parquet(f"{self.path}/{table}")
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
+        """The table; empty as long as nothing was logged to it."""
+        try:
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     # ---- single runs ----
 
@@ -46,7 +55,8 @@ class RunLedger:
         self._append("params", self.spark.createDataFrame(rows, PARAMS))
 
     def log_metrics(self, run_id: str, metrics: dict[str, float], step: int = 0) -> None:
-        rows = [(run_id, k, step, float(v)) for k, v in metrics.items()]
+        now = dt.datetime.now()
+        rows = [(run_id, k, step, float(v), now) for k, v in metrics.items()]
         self._append("metrics", self.spark.createDataFrame(rows, METRICS))
 
     # ---- many runs at once ----
@@ -62,16 +72,19 @@ class RunLedger:
 
     def append_metrics(self, metrics: DataFrame) -> None:
         step = F.col("step").cast("int") if "step" in metrics.columns else F.lit(0)
-        self._append("metrics", metrics.select("run_id", "key", step.alias("step"), F.col("value").cast("double")))
+        time = F.col("event_time") if "event_time" in metrics.columns else F.current_timestamp()
+        self._append("metrics", metrics.select("run_id", "key", step.alias("step"), F.col("value").cast("double"),
+                                               time.alias("event_time")))
 
     # ---- reading ----
 
     def runs(self) -> DataFrame:
         """One row per run with its newest status, start time and newest event time."""
+        newest = F.expr(f"struct({', '.join(NEWEST)})")
         return self._read("runs", RUNS).groupBy("run_id").agg(
-            F.max_by("experiment", "event_time").alias("experiment"), F.max_by("status", "event_time").alias("status"),
+            F.max_by("experiment", newest).alias("experiment"), F.max_by("status", newest).alias("status"),
             F.min("event_time").alias("start_time"), F.max("event_time").alias("end_time"),
-            F.max_by("tags", "event_time").alias("tags"))
+            F.max_by("tags", newest).alias("tags"))
 
     def params(self) -> DataFrame:
         return self._read("params", PARAMS)
@@ -82,7 +95,7 @@ class RunLedger:
     def wide(self, metrics: list[str], params: list[str] = ()) -> DataFrame:
         """One row per run with its last value of each metric and its parameters as columns."""
         last = self.metrics().where(F.col("key").isin(list(metrics))).groupBy("run_id").pivot("key", list(metrics)).agg(
-            F.max_by("value", "step"))
+            F.max_by("value", F.struct("step", "event_time")))
         table = self.runs().join(last, "run_id", "left")
         if params:
             named = self.params().where(F.col("key").isin(list(params))).groupBy("run_id").pivot("key", list(params)).agg(
@@ -96,7 +109,7 @@ class RunLedger:
         if found is None:
             return {}
         params = {r.key: r.value for r in self.params().where(F.col("run_id") == run_id).collect()}
-        metrics = self.metrics().where(F.col("run_id") == run_id).groupBy("key").agg(F.max_by("value", "step").alias("v"))
+        metrics = self.metrics().where(F.col("run_id") == run_id).groupBy("key").agg(F.max_by("value", F.struct("step", "event_time")).alias("v"))
         return {**found.asDict(), "params": params, "metrics": {r.key: r.v for r in metrics.collect()}}
 
     def runs_per_experiment(self) -> DataFrame:

@@ -53,7 +53,8 @@ UNKNOWN_MOOD = "Unknown"
 ARTIST_SEPARATORS = [",", ";", "&", " and ", " feat. ", " ft. "]
 
 # Text tokens that count as missing in a CSV file.
-MISSING_TOKENS = ["", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "n/a", "<NA>", "#N/A", "NONE"]
+MISSING_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+                  "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 # Model matrix.
 ONE_HOT_LEVELS = {

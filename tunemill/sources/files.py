@@ -20,7 +20,7 @@ def tokens_to_null(df: DataFrame) -> DataFrame:
 
 
 def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Cast text columns after missing tokens are gone; a token in a number column must not fail the read."""
+    """Cast text columns after missing tokens are gone; what cannot be cast becomes null (see :func:`rejected_cells`)."""
     return df.select([F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
@@ -33,6 +33,21 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
 
     With several encodings the next one is used as soon as a decoded text holds a replacement character.
     """
+    clean = tokens_to_null(_texts(spark, path, schema, encodings, multi_line))
+    return _typed(clean, schema) if schema is not None else clean
+
+
+def rejected_cells(spark: SparkSession, path: str, schema: T.StructType, encodings: tuple[str, ...] = ("UTF-8",),
+                   multi_line: bool = True) -> DataFrame:
+    """(column, rejected): cells per column that hold a text :func:`read_csv` cannot cast and turns into null."""
+    clean = tokens_to_null(_texts(spark, path, schema, encodings, multi_line))
+    counts = clean.agg(*[F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull())
+                         .alias(f.name) for f in schema])
+    return counts.unpivot([], [f"`{f.name}`" for f in schema], "column", "rejected")
+
+
+def _texts(spark: SparkSession, path: str, schema: T.StructType | None, encodings: tuple[str, ...], multi_line: bool) -> DataFrame:
+    """The file as text columns, or with inferred types if there is no schema."""
     def load(encoding: str) -> DataFrame:
         reader = (spark.read.option("header", True).option("quote", '"').option("escape", '"')
                   .option("multiLine", multi_line).option("encoding", encoding))
@@ -44,8 +59,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
         raw = load(encoding)
         if position + 1 == len(encodings) or not _garbled(raw):
             break
-    clean = tokens_to_null(raw)
-    return _typed(clean, schema) if schema is not None else clean
+    return raw
 
 
 def _garbled(df: DataFrame) -> bool:
