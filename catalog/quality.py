@@ -121,10 +121,13 @@ def runs_match(spark, sf):
     return rounded(Q.runs_match(a, b, ["album_name"]))
 
 
-@query("schema_diff", """
-SELECT 'missing' AS side, unnest(['l_quantity', 'l_tax', 'l_discount', 'l_extendedprice', 'l_returnflag', 'l_linestatus', 'l_shipdate',
-    'l_linenumber', 'l_orderkey', 'l_partkey', 'l_suppkey']) AS "column" WHERE (SELECT count(*) FROM lineitem) >= 0
-UNION ALL SELECT 'extra', unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority'])""")
+SIDES = {"missing": ("lineitem", "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
+                                 "l_returnflag l_linestatus l_shipdate"),
+         "extra": ("orders", "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority")}
+
+
+@query("schema_diff", " UNION ALL ".join(f"""
+SELECT '{side}' AS side, '{c}' AS "column", count({c}) AS filled FROM {name}""" for side, (name, cols) in SIDES.items() for c in cols.split()))
 def schema_diff(spark, sf):
     return column_difference(table(spark, sf, "lineitem"), table(spark, sf, "orders"))
 
@@ -185,18 +188,18 @@ def predict_tier_q(spark, sf):
 
 def _recommend_sql(ruleset):
     branches = " UNION ALL ".join(f"""
-SELECT rid, track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, '{suggestion}' AS suggestion, '{impact}' AS impact
-FROM t WHERE {col} {cond}""" for i, (factor, col, cond, _, suggestion, impact, _) in enumerate(RECOMMENDATIONS[ruleset]))
+SELECT rid, track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, '{suggestion}' AS suggestion, '{impact}' AS impact, '{tip}' AS tip
+FROM t WHERE {col} {cond}""" for i, (factor, col, cond, _, suggestion, impact, tip) in enumerate(RECOMMENDATIONS[ruleset]))
     return with_preds(f""", t AS (SELECT *, row_number() OVER () AS rid, duration_ms / 60000.0 AS duration_min FROM preds), r AS ({branches})
 SELECT track_id, row_number() OVER (PARTITION BY rid ORDER BY pos) AS rank, factor, {rd('current_value')} AS current_value,
-       suggestion, impact FROM r""")
+       suggestion, impact, tip FROM r""")
 
 
 def _register_recommend(name, ruleset):
     @query(name, _recommend_sql(ruleset))
     def run(spark, sf):
         r = recommend(with_duration_min(tracks(spark, sf)), ["track_id"], ruleset)
-        return rounded(r.select("track_id", "rank", "factor", "current_value", "suggestion", "impact"))
+        return rounded(r.select("track_id", "rank", "factor", "current_value", "suggestion", "impact", "tip"))
     return run
 
 

@@ -1,4 +1,4 @@
-"""Column discovery, selection and alignment; schema work only, no jobs."""
+"""Column discovery, selection and alignment."""
 
 from __future__ import annotations
 
@@ -50,12 +50,14 @@ def snake_names(df: DataFrame) -> DataFrame:
 
 
 def column_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Columns of one table that the other lacks: (side, column)."""
-    names = a.sparkSession.range(1).select(
-        F.array([F.lit(c) for c in a.columns]).alias("a"), F.array([F.lit(c) for c in b.columns]).alias("b"))
-    missing = names.select(F.lit("missing").alias("side"), F.explode(F.array_except("a", "b")).alias("column"))
-    extra = names.select(F.lit("extra").alias("side"), F.explode(F.array_except("b", "a")).alias("column"))
-    return missing.unionByName(extra)
+    """Columns of one table that the other lacks, with their values that are not null: (side, column, filled)."""
+    def lacking(side: str, own: DataFrame, other: DataFrame) -> DataFrame:
+        pairs = [F.struct(F.lit(side).alias("side"), F.lit(c).alias("column"), F.count(f"`{c}`").alias("filled"))
+                 for c in own.columns if c not in other.columns]
+        found = F.array(*pairs).cast("array<struct<side:string,column:string,filled:bigint>>")
+        return own.agg(found.alias("found")).select(F.inline("found"))
+
+    return lacking("missing", a, b).unionByName(lacking("extra", b, a))
 
 
 def check_same_columns(a: DataFrame, b: DataFrame) -> None:
