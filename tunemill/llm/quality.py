@@ -52,13 +52,13 @@ def count_words(text: str | None) -> tuple[int, ...]:
 
 
 def measured(text: Column) -> Column:
-    """struct of ``COUNTS``."""
+    """struct of ``COUNTS``. Declared as not deterministic, so that a filter on a count never counts the text a second time."""
     @pandas_udf(", ".join(f"{c} long" for c in COUNTS))
     def run(texts: pd.Series) -> pd.DataFrame:
         forget_worker_state()
         return pd.DataFrame([count_words(t) for t in texts], columns=COUNTS, dtype="int64")
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
