@@ -1,0 +1,69 @@
+"""The pipeline's near-duplicates against all pairs of shingle sets, also around the border of 0.8."""
+
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from tunemill.llm import nearcopies
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept(rows):
+    """Smallest id of each component of the pairs that share 0.8 of their shingles."""
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                root = [root[j] if r == root[i] else r for r in root]
+    best = {}
+    for (i, _), r in zip(rows, root):
+        best[r] = min(best.get(r, i), i)
+    return sorted(best.values())
+
+
+def border_rows():
+    """Pairs whose similarities lie on both sides of 0.8: some words at the end, or one in the middle, are others."""
+    rng, rows = random.Random(7), []
+    for n in [50, *[204] * 70]:
+        base = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        other, changed = base.copy(), rng.randint(8, 34)
+        if n == 50:
+            other[25] = "changed"
+        else:
+            other[-changed:] = [f"v{rng.randrange(10**9)}" for _ in range(changed)]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(other))]
+    passage = [f"p{i}" for i in range(30)]
+    for name in "xy":  # a passage repeated in both is one passage
+        rows.append((len(rows), " ".join([*passage * 20, *[f"{name}{i}" for i in range(40)]])))
+    return [*rows, (len(rows), None), (len(rows) + 1, " "), (len(rows) + 2, "one")]
+
+
+def test_near_duplicates_are_decided_exactly(spark):
+    rows = border_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == kept(rows)
+
+
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "BLOCK", 500)
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(40):
+        words = base.copy()
+        for at in rng.sample(range(120), rng.randint(0, 5)):
+            words[at] = f"x{i}_{at}"
+        rows.append((i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()) == kept(rows)
+
+
+def test_similar_at_the_border():
+    a = np.arange(10, dtype=np.uint64)
+    assert nearcopies.similar(a, a[:8]) and not nearcopies.similar(a, a[:7])
+    assert nearcopies.similar(a[:9], a[1:]) and not nearcopies.similar(a[:8], a[1:9])

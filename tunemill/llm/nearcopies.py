@@ -1,0 +1,126 @@
+"""Near copies: texts whose sets of word shingles have a similarity (shared / all) of at least 0.8, decided exactly.
+
+Equal shingle sets are one node. SimHash bits of the sets only find candidates: nodes that chains of candidates connect form
+a group, and within a group the sets themselves are compared. A group is dealt into blocks of a bounded number of shingles;
+each pair of blocks is one row. A comparison is left out only if confirmed links already connect the two texts. Components
+of the confirmed links are found by star contraction.
+
+Defined cases: null and empty texts have the empty set and are copies of each other only; fewer words than a shingle make
+one shingle; case does not count; the component is the smallest key that can be reached. Further columns are ignored.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+
+from tunemill.llm import simhash
+from tunemill.llm.common import forget_worker_state, map_lists, written
+from tunemill.llm.components import components
+
+#: Mean number of shingles in a block.
+BLOCK = 1 << 17
+
+
+def shingle_set(text: str | None, words_each: int) -> np.ndarray:
+    """Distinct shingle hashes in ascending order."""
+    return np.unique(simhash.shingle_hashes(text, words_each))
+
+
+def _summary(text: Column, words_each: int, numbers: int) -> Column:
+    """struct(node, fp, n): digest of the shingle set, its SimHash bits and its size."""
+    @pandas_udf("node binary, fp binary, n long")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        forget_worker_state()
+        rows = []
+        for t in texts:
+            found = shingle_set(t, words_each)
+            rows.append((xxhash.xxh3_128_digest(found.tobytes()), simhash.majority(found, numbers), len(found)))
+        return pd.DataFrame(rows, columns=["node", "fp", "n"]).astype({"n": "int64"})
+
+    return run.asNondeterministic()(text)
+
+
+def _sets(text: Column, words_each: int) -> Column:
+    @pandas_udf("binary")
+    def run(texts: pd.Series) -> pd.Series:
+        forget_worker_state()
+        return pd.Series([shingle_set(t, words_each).tobytes() for t in texts], dtype=object)
+
+    return run(text)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Do two ascending sets share at least 0.8 of all their members? Whole numbers only."""
+    if 5 * min(len(a), len(b)) < 4 * max(len(a), len(b)):
+        return False
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * shared >= 4 * (len(a) + len(b) - shared)
+
+
+def confirmed(prints: np.ndarray, sets: list[np.ndarray], block: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that connect all similar pairs at most ``radius`` bits apart: across two blocks, or within a single one."""
+    group, out = np.arange(len(sets)), []
+    across = len(np.unique(block)) > 1
+    for i in range(len(sets) - 1):
+        near = np.bitwise_count(prints[i + 1:] ^ prints[i]).sum(axis=1, dtype=np.int64) <= radius
+        if across:
+            near &= block[i + 1:] != block[i]
+        for j in (np.flatnonzero(near) + i + 1).tolist():
+            if group[i] != group[j] and similar(sets[i], sets[j]):
+                out.append((i, j))
+                group[group == group[j]] = group[i]
+    return out
+
+
+def _links(pairs: DataFrame, numbers: int, radius: int) -> DataFrame:
+    """(u, v): confirmed links of each row's items, as nodes."""
+    def make():
+        def compare(rows):
+            out = {"u": [], "v": []}
+            for items, lo, hi in zip(rows["items"], rows["lo"], rows["hi"]):
+                block = np.array([x["block"] for x in items])
+                if lo != hi and len(np.unique(block)) < 2:  # one of the two blocks is empty
+                    continue
+                prints = np.frombuffer(b"".join(x["fp"] for x in items), ">u8").astype(np.uint64).reshape(-1, numbers)
+                sets = [np.frombuffer(x["shingles"], np.uint64) for x in items]
+                for i, j in confirmed(prints, sets, block, radius):
+                    out["u"].append(items[i]["node"])
+                    out["v"].append(items[j]["node"])
+            return out
+        return compare
+
+    return map_lists(pairs, make, pa.schema([("u", pa.binary()), ("v", pa.binary())]))
+
+
+def grouped(docs: DataFrame, key: str, text: str, words_each: int, numbers: int, radius: int, first: int) -> DataFrame:
+    """(key, component_id) of every document. ``key`` differs in all rows and has an order; it may be a struct.
+
+    Candidates differ in at most ``radius`` of ``numbers`` times 64 bits and in at most ``first`` of the first 64.
+    """
+    keyed = docs.select(F.col(key).alias("doc_key"), F.col(text).alias("body"))
+    seen = written(keyed.select("doc_key", _summary(F.col("body"), words_each, numbers).alias("s")).select("doc_key", "s.*"), "shingled")
+    nodes = written(seen.groupBy("node").agg(F.min("doc_key").alias("rep"), F.min("fp").alias("fp"), F.min("n").alias("n")), "nodes")
+    tiled, cells = simhash.tiles(written(nodes.select("fp").distinct(), "prints"), numbers, radius)
+    reached = components(simhash.links(tiled, simhash.tile_pairs(cells, radius), radius, numbers, first))
+    member = written(nodes.join(reached.select(F.col("node").alias("fp"), F.col("root").alias("near")), "fp", "left")
+                     .withColumn("near", F.coalesce("near", "fp")), "candidates")
+    sizes = (member.groupBy("near").agg(F.count("*").alias("members"), F.ceil(F.sum("n") / BLOCK).cast("int").alias("blocks"))
+             .where("members > 1").select("near", F.greatest("blocks", F.lit(1)).alias("blocks")))
+    dealt = (member.join(sizes, "near").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+             .select("rep", "near", "node", "fp", "block", "blocks"))
+    item = F.struct("block", "node", "fp", _sets(F.col("body"), words_each).alias("shingles"))
+    items = keyed.join(dealt, keyed["doc_key"] == dealt["rep"]).select("near", "block", "blocks", item.alias("item"))
+    pairs = (items.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .groupBy("near", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+             .agg(F.collect_list("item").alias("items")).select("lo", "hi", "items"))
+    roots = components(_links(pairs, numbers, radius))
+    joined = nodes.join(roots, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
+    smallest = joined.groupBy("root").agg(F.min("rep").alias("component_id"))
+    known = written(joined.join(smallest, "root").select("node", "component_id"), "known")
+    return seen.join(known, "node").select(F.col("doc_key").alias(key), "component_id")

@@ -46,7 +46,10 @@ def shingle_hashes(text: str | None, words_each: int) -> np.ndarray:
 
 def simhash(text: str | None, words_each: int = 4, numbers: int = 1) -> bytes:
     """Majority of the shingles' hash bits, most significant first; each further number of 64 bits mixes the hashes anew."""
-    hashes = shingle_hashes(text, words_each)
+    return majority(shingle_hashes(text, words_each), numbers)
+
+
+def majority(hashes: np.ndarray, numbers: int) -> bytes:
     out = []
     for i in range(numbers):
         mixed = hashes if i == 0 else _mix(hashes, i)
