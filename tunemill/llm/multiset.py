@@ -3,11 +3,11 @@
 A paragraph (a line) is hashed to a wide vector: ``EXACT`` numbers modulo 2**48, each an independently seeded hash of the
 whole paragraph, and ``PACKED`` numbers modulo 2**60 that add up 0/1 lanes hashed from its sentences. The fingerprint of a
 document is the sum of its paragraphs' vectors, so it does not depend on their order, and a paragraph is put in or taken
-out by adding or subtracting its vector (``add``, ``subtract``). The 0/1 lanes, four in each packed number, are read as
+out by adding or subtracting its vector (``add``, ``subtract``). The 0/1 lanes, two of 30 bits in each packed number, are read as
 random signs; the cosine of two documents' lanes estimates how much of their sentences they share, within about 0.065.
 
 Defined cases: a null text counts as empty; an empty text has one empty paragraph; equal texts have equal fingerprints;
-lanes hold 32,767 sentences, beyond that equality stays exact and only the likeness blurs. The document after the last is
+lanes hold 1,073,741,823 sentences. The document after the last is
 the first; a single document follows itself; a null id comes first; rows with one id are ordered by hash and text. Further
 columns are ignored, whatever their names.
 """
@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 
 from tunemill.llm.common import partitions
 
-EXACT, WORDS, SHIFTS = 8, 4, 15
+EXACT, WORDS, SHIFTS, LANE = 8, 4, 30, 30
 PACKED = WORDS * SHIFTS
-EXACT_MASK, PACKED_MASK = (1 << 48) - 1, (1 << 60) - 1
-LANE_BITS = sum(1 << (15 * i) for i in range(4))
+EXACT_MASK, PACKED_MASK, LANE_MASK = (1 << 48) - 1, (1 << 60) - 1, (1 << LANE) - 1
+LANE_BITS = 1 | 1 << LANE
 SENTENCE_END = r"\n|(?<=[.!?])\s+"
 SMALLEST = -(1 << 63)
 
@@ -79,7 +79,7 @@ def as_text(print_: Column) -> Column:
 def _lanes(print_: Column) -> Column:
     """Sums of random signs: set lanes minus clear lanes."""
     return F.flatten(F.transform(print_["signs"], lambda x: F.array(
-        *[F.shiftright(x, 15 * i).bitwiseAND(F.lit(32767)) * 2 - print_["n"] for i in range(4)])))
+        *[F.shiftright(x, LANE * i).bitwiseAND(F.lit(LANE_MASK)) * 2 - print_["n"] for i in range(2)])))
 
 
 def _dot(a: Column, b: Column) -> Column:
