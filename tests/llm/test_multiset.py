@@ -15,3 +15,12 @@ def test_lanes_of_very_long_texts(spark):
     assert likeness(spark, a, b) < 0.35
     assert likeness(spark, "one line\n" * 70_000, "other line\n" * 70_000) < 0.35
     assert likeness(spark, "one line\n" * 70_000, "one line\n" * 69_000 + "other line\n" * 1000) > 0.9
+
+
+def test_paragraphs_with_trailing_blanks(spark):
+    """Order does not count, and add and subtract give the document, for CRLF and blanks at the end or start of a line."""
+    cases = [("a. ", " b"), ("a.\r\nb\r", "c.\r"), ("x!\t", ""), ("", "y? "), ("a. ", "  b. c.  ")]
+    df = spark.createDataFrame([(x, y, f"{x}\n{y}", f"{y}\n{x}") for x, y in cases], "x string, y string, xy string, yx string")
+    x, y, xy, yx = (multiset.fingerprint(F.col(c)) for c in ("x", "y", "xy", "yx"))
+    for r in df.select("xy", (xy == yx).alias("order"), (multiset.add(x, y) == xy).alias("add"), (multiset.subtract(xy, y) == x).alias("cut")).collect():
+        assert r.order and r.add and r.cut, r.xy

@@ -23,7 +23,7 @@ EXACT, WORDS, SHIFTS, LANE = 8, 4, 30, 30
 PACKED = WORDS * SHIFTS
 EXACT_MASK, PACKED_MASK, LANE_MASK = (1 << 48) - 1, (1 << 60) - 1, (1 << LANE) - 1
 LANE_BITS = 1 | 1 << LANE
-SENTENCE_END = r"\n|(?<=[.!?])\s+"
+SENTENCE_END = r"\n|(?<=[.!?])[^\S\n]+"
 SMALLEST = -(1 << 63)
 
 
