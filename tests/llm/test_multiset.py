@@ -24,3 +24,25 @@ def test_paragraphs_with_trailing_blanks(spark):
     x, y, xy, yx = (multiset.fingerprint(F.col(c)) for c in ("x", "y", "xy", "yx"))
     for r in df.select("xy", (xy == yx).alias("order"), (multiset.add(x, y) == xy).alias("add"), (multiset.subtract(xy, y) == x).alias("cut")).collect():
         assert r.order and r.add and r.cut, r.xy
+
+
+def test_likeness_without_whole_sentences(spark):
+    """Texts of one sentence, with any mark or none, with or without blanks, keep about half of their runs when edited."""
+    texts = []
+    for n in (12, 13, 20, 40, 100, 700):
+        for mark in ("", ".", " ॥"):
+            texts.append(" ".join(f"w{len(texts)}x{i}" for i in range(n)) + mark)
+        texts.append("".join(chr(0x4E00 + (len(texts) * 997 + i * 31) % 20_000) for i in range(8 * n)))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in multiset.fingerprints(df).collect():
+        assert r.near_edited > 0.1 and r.near_edited > r.near_next, texts[r.doc_id][:60]
+
+
+def test_sum_of_signs(spark):
+    """Lanes are sums of hash bits, whatever the number of runs in a chunk."""
+    for n in (0, 1, 14, 15, 16, 45, 100):
+        runs = [f"r{i}" for i in range(n)]
+        df = spark.createDataFrame([(runs,)], "runs array<string>")
+        got, hashes = df.select(multiset.sign_sum(F.col("runs")), F.transform("runs", lambda x: F.array(
+            *[F.xxhash64(F.lit(100 + i), x) for i in range(multiset.WORDS)]))).first()
+        assert got == [sum((h[w] >> i & 1) + ((h[w] >> (i + 30) & 1) << 30) for h in hashes) for w in range(4) for i in range(30)]
