@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import counts, languages, multiset, packing, quality, rans, simhash, transducer, urls, warc
+from tunemill.llm import counts, languages, merkle, multiset, packing, quality, rans, simhash, transducer, urls, warc
 from tunemill.llm.common import written
 
 GROUPS = ["lang", "source"]
@@ -64,8 +64,14 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predicted(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    shown = merkle.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.replace("text", F.lit("\n"), F.lit("")))
+    return merkle.verified(docs, F.when(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, shown))
+
+
 QUERIES = {f.__name__: f for f in (op1_zip_archives, op2_quality_rules, op3_token_counts, op4_url_rules, op5_multiset_fingerprints,
-                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages)}
+                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages, op13_merkle_proofs)}
 
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -136,4 +142,46 @@ best AS (SELECT r, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, len
          FROM numbered JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM numbered LEFT JOIN best USING (r)"""
 
-ORACLES: dict[str, str] = {"op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
+def _marks(*columns: str) -> str:
+    value = "CAST({0} AS VARCHAR)"
+    return " || ".join([f"coalesce(strlen({value}) || ':' || {value}, '-')".replace("{0}", c) for c in columns])
+
+
+_MERKLE_SQL = f"""
+WITH RECURSIVE
+bits(n, k, c) AS (SELECT n, 0, n FROM range(256) AS x(n)
+                  UNION ALL SELECT n, k + 1, xor(c >> 1, 3988292384 * (c & 1)) FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY n) AS tab FROM bits WHERE k = 8),
+rows AS (
+  SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS t, sha256({_marks("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+         sha256({_marks("doc_id", "source", "lang", "n_chars", "replace(text, chr(10), '')")}) AS shown,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                         lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 2 = 0 AS tampered
+  FROM documents, crc),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM rows),
+sub(t, l, idx, h) AS (
+  SELECT t, 0, idx, leaf FROM leaves UNION ALL
+  SELECT t, l + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER (PARTITION BY t) AS c FROM sub)
+  WHERE c > 1 GROUP BY t, l, idx // 3),
+subroots AS (SELECT t, max(l) AS depth, arg_max(h, l) AS subroot FROM sub GROUP BY t),
+top(l, idx, h) AS (
+  SELECT 0, t, subroot FROM subroots UNION ALL
+  SELECT l + 1, idx // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM (SELECT *, count(*) OVER () AS c FROM top) WHERE c > 1 GROUP BY l, idx // 3),
+nodes AS (SELECT * FROM sub UNION ALL SELECT -1, l, idx, h FROM top),
+steps AS (SELECT a.t, a.l, a.idx, coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS lft,
+                 coalesce(string_agg(b.h, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS rgt
+          FROM nodes a JOIN nodes b ON a.t = b.t AND a.l = b.l AND a.idx // 3 = b.idx // 3 GROUP BY a.t, a.l, a.idx),
+climb(r, s, t, l, idx, own, sibs, depth) AS (
+  SELECT doc_id, s.t, s.t, 0, idx, CASE WHEN tampered THEN shown ELSE leaf END, '', depth FROM leaves JOIN subroots s USING (t) UNION ALL
+  SELECT r, s, CASE WHEN c.t >= 0 AND c.l + 1 = depth THEN -1 ELSE c.t END, CASE WHEN c.t >= 0 AND c.l + 1 = depth THEN 0 ELSE c.l + 1 END,
+         CASE WHEN c.t >= 0 AND c.l + 1 = depth THEN s ELSE c.idx // 3 END, sha256(lft || own || rgt), sibs || lft || rgt,
+         CASE WHEN c.t >= 0 AND c.l + 1 = depth THEN (SELECT max(l) FROM top) ELSE depth END
+  FROM (SELECT r, s, CASE WHEN depth = 0 THEN -1 ELSE t END AS t, l, CASE WHEN depth = 0 THEN s ELSE idx END AS idx, own, sibs,
+               CASE WHEN depth = 0 THEN (SELECT max(l) FROM top) ELSE depth END AS depth FROM climb WHERE t >= 0 OR l < depth) c
+  JOIN steps p ON c.t = p.t AND c.l = p.l AND c.idx = p.idx),
+ends AS (SELECT r, arg_max(own, length(sibs)) AS own, max_by(sibs, length(sibs)) AS sibs FROM climb GROUP BY r)
+SELECT doc_id, leaf, subroot, (SELECT arg_max(h, l) FROM top) AS root, sha256(sibs) AS proof_sha256, own AS folded_root,
+       own = (SELECT arg_max(h, l) FROM top) AS verified
+FROM leaves JOIN subroots USING (t) JOIN ends ON r = doc_id"""
+
+ORACLES: dict[str, str] = {"op13_merkle_proofs": _MERKLE_SQL, "op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
