@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import counts, languages, merkle, multiset, packing, quality, rans, simhash, transducer, urls, warc
+from tunemill.llm import counts, languages, linededup, merkle, multiset, packing, quality, rans, simhash, transducer, urls, warc
 from tunemill.llm.common import written
 
 GROUPS = ["lang", "source"]
@@ -64,6 +64,11 @@ def op10_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predicted(_table(spark, sf_dir, "documents"))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.deduplicated(_table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     shown = merkle.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.replace("text", F.lit("\n"), F.lit("")))
@@ -71,7 +76,7 @@ def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_zip_archives, op2_quality_rules, op3_token_counts, op4_url_rules, op5_multiset_fingerprints,
-                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages, op13_merkle_proofs)}
+                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages, op11_line_dedup, op13_merkle_proofs)}
 
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -142,6 +147,18 @@ best AS (SELECT r, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, len
          FROM numbered JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM numbered LEFT JOIN best USING (r)"""
 
+_LINES_SQL = f"""
+WITH l AS (SELECT r, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS p
+           FROM (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
+k AS (SELECT *, translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+shared AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= {linededup.MIN_CHARS} GROUP BY key
+           HAVING count(DISTINCT r) >= {linededup.MIN_DOCS})
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM (SELECT r, p, doc_id, line, keep IS NOT NULL AND doc_id < keep AS gone FROM k LEFT JOIN shared USING (key)) GROUP BY r, doc_id"""
+
+
 def _marks(*columns: str) -> str:
     value = "CAST({0} AS VARCHAR)"
     return " || ".join([f"coalesce(strlen({value}) || ':' || {value}, '-')".replace("{0}", c) for c in columns])
@@ -184,4 +201,4 @@ SELECT doc_id, leaf, subroot, (SELECT arg_max(h, l) FROM top) AS root, sha256(si
        own = (SELECT arg_max(h, l) FROM top) AS verified
 FROM leaves JOIN subroots USING (t) JOIN ends ON r = doc_id"""
 
-ORACLES: dict[str, str] = {"op13_merkle_proofs": _MERKLE_SQL, "op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
+ORACLES: dict[str, str] = {"op11_line_dedup": _LINES_SQL, "op13_merkle_proofs": _MERKLE_SQL, "op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
