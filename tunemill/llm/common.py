@@ -23,7 +23,8 @@ def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"`{f.name}` {_SPARK_NAMES[f.type]}" for f in schema)
 
 
-def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: pa.Schema) -> DataFrame:
+def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: pa.Schema,
+              slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Each slice of rows as ``{column: list}`` through the function that ``make`` builds once per task.
 
     The function returns ``{column: list}`` for ``schema``, with any number of rows.
@@ -32,8 +33,8 @@ def map_lists(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema:
         release_memory()
         fn = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                out = fn(batch.slice(at, SLICE_ROWS).to_pydict())
+            for at in range(0, batch.num_rows, slice_rows):
+                out = fn(batch.slice(at, slice_rows).to_pydict())
                 yield pa.RecordBatch.from_pydict(out, schema=schema)
 
     return df.mapInArrow(run, ddl(schema))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import counts, languages, linededup, merkle, multiset, packing, quality, rans, simhash, transducer, urls, warc
+from tunemill.llm import counts, languages, linededup, merkle, multiset, packing, quality, ranked, rans, simhash, transducer, urls, warc
 from tunemill.llm.common import written
 
 GROUPS = ["lang", "source"]
@@ -69,6 +69,10 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     shown = merkle.leaf_hash(F.col("doc_id"), F.col("source"), F.col("lang"), F.col("n_chars"), F.replace("text", F.lit("\n"), F.lit("")))
@@ -76,7 +80,7 @@ def op13_merkle_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_zip_archives, op2_quality_rules, op3_token_counts, op4_url_rules, op5_multiset_fingerprints,
-                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages, op11_line_dedup, op13_merkle_proofs)}
+                                   op6_byte_bpe, op7_token_files, op8_simhash, op9_best_fit, op10_languages, op11_line_dedup, op12_ranked_search, op13_merkle_proofs)}
 
 _WORD = r"[^\x20\x09-\x0D]"
 
@@ -159,6 +163,20 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM (SELECT r, p, doc_id, line, keep IS NOT NULL AND doc_id < keep AS gone FROM k LEFT JOIN shared USING (key)) GROUP BY r, doc_id"""
 
 
+_TERMS = """regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+_RANKED_SQL = f"""
+WITH d AS (SELECT *, len(ts) AS n FROM (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS ts FROM documents) WHERE len(ts) > 0),
+corpus AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM d),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w FROM tf, corpus GROUP BY term, nd),
+asked AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scored AS (SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nd) // l)))) AS BIGINT) AS score
+           FROM asked JOIN w USING (term) JOIN tf USING (term) JOIN d USING (r), corpus GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 20"""
+
+
 def _marks(*columns: str) -> str:
     value = "CAST({0} AS VARCHAR)"
     return " || ".join([f"coalesce(strlen({value}) || ':' || {value}, '-')".replace("{0}", c) for c in columns])
@@ -201,4 +219,4 @@ SELECT doc_id, leaf, subroot, (SELECT arg_max(h, l) FROM top) AS root, sha256(si
        own = (SELECT arg_max(h, l) FROM top) AS verified
 FROM leaves JOIN subroots USING (t) JOIN ends ON r = doc_id"""
 
-ORACLES: dict[str, str] = {"op11_line_dedup": _LINES_SQL, "op13_merkle_proofs": _MERKLE_SQL, "op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
+ORACLES: dict[str, str] = {"op12_ranked_search": _RANKED_SQL, "op11_line_dedup": _LINES_SQL, "op13_merkle_proofs": _MERKLE_SQL, "op2_quality_rules": _QUALITY_SQL, "op4_url_rules": _URLS_SQL}
