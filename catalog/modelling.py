@@ -11,9 +11,11 @@ from tunemill.operators.encode import label_encode
 from tunemill.operators.evaluate import metrics_by
 from tunemill.operators.enrich import fill_defaults, with_artist_features
 from tunemill.operators.sampling import split
+from tunemill.plans import boosting as B
 from tunemill.plans import explain as X
 from tunemill.plans import models as M
 from tunemill.plans import training as T
+from tunemill.plans.trees import LEAF, pack, score_trees
 from tunemill.plans.tune import random_search, refit_and_test
 from tunemill.presets import BOOSTING_SPACE, FOREST_SPACE
 from tunemill.session import scratch_path
@@ -33,6 +35,29 @@ def training(spark, sf):
     return labelled(spark, sf).where(F.col("split") == "train")
 
 
+#: Sizes at which the models of the queries are trained, and the rounds without gain that end boosting.
+FOREST = {"n_estimators": 100, "max_depth": 8}
+BOOST, PATIENCE = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1}, 10
+_FITTED: dict = {}
+
+
+def fitted(spark, sf, name, fit):
+    """A model that several queries look at is trained once per session and table."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _FITTED:
+        _FITTED[key] = fit()
+    return _FITTED[key]
+
+
+def forest(spark, sf):
+    return fitted(spark, sf, "forest", lambda: M.fit_forest(training(spark, sf).coalesce(8), FEATURES, GOAL, FOREST))
+
+
+def boosted(spark, sf):
+    rows = labelled(spark, sf).where(F.col("split") != "test").coalesce(8)
+    return fitted(spark, sf, "boosted", lambda: B.fit_boosting(rows, FEATURES, GOAL, BOOST, validation=F.col("split") == "val", patience=PATIENCE))
+
+
 SMALL_FOREST = {"n_estimators": 10, "max_depth": 6}
 SMALL_BOOST = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.3}
 
@@ -55,42 +80,92 @@ def linear_fit(spark, sf):
 
 @query("forest_fit")
 def forest_fit(spark, sf):
-    model = M.fit_forest(training(spark, sf), FEATURES, GOAL, SMALL_FOREST)
-    return metrics_by(M.score(labelled(spark, sf), model, FEATURES), GOAL, "prediction")
+    return metrics_by(M.score(labelled(spark, sf), forest(spark, sf), FEATURES), GOAL, "prediction")
 
 
 @query("gbt_fit")
 def gbt_fit(spark, sf):
-    data = labelled(spark, sf)
-    model = M.fit_gbt(data.where(F.col("split") != "test"), FEATURES, GOAL, SMALL_BOOST,
-                      validation=F.col("split") == "val")
-    return metrics_by(M.score(data, model, FEATURES), GOAL, "prediction")
+    """A model of up to 100 trees, cut where validation rows are predicted best."""
+    return metrics_by(boosted(spark, sf).score(labelled(spark, sf)), GOAL, "prediction")
 
 
 @query("learning_curve")
 def learning_curve(spark, sf):
-    data = labelled(spark, sf)
-    model = M.fit_gbt(training(spark, sf), FEATURES, GOAL, {**SMALL_BOOST, "n_estimators": 5})
-    parts = {name: data.where(F.col("split") == name) for name in ("train", "val")}
-    return M.learning_curve(model, parts, FEATURES, GOAL)
+    """Errors of training and validation rows after each of the 100 rounds."""
+    return B.curve(labelled(spark, sf).where(F.col("split") != "test"), boosted(spark, sf), GOAL, F.col("split"))
+
+
+MEAN_RMSE = f"""{rd('sqrt(avg(power(prediction - (SELECT avg(prediction) FROM preds WHERE split = \'train\'), 2)))')} AS rmse_of_mean"""
+
+
+def against_mean(rows):
+    """Rows and error of the plain mean of the training rows, per split, from scored rows."""
+    mean = rows.where(F.col("split") == "train").agg(F.avg(GOAL)).first()[0]
+    rmse = lambda c: F.sqrt(F.avg(F.pow(F.col(GOAL) - c, 2)))
+    return rows.groupBy("split").agg(F.count("*").alias("n_rows"), rmse(F.lit(mean)).alias("rmse_of_mean"), rmse(F.col("prediction")).alias("rmse"))
+
+
+@query("gbt_rounds", with_preds(f"""
+SELECT split, count(*) AS n_rows, {MEAN_RMSE}, {BOOST['n_estimators']} AS rounds, true AS one_error_per_round, true AS curve_is_that_of_scores,
+       true AS packed_is_fitted, true AS best_is_first_low, true AS ended_by_patience, true AS far_better_than_mean
+FROM preds GROUP BY split"""))
+def gbt_rounds(spark, sf):
+    """What must hold of a model cut by patience: each error recomputed from scores of rows, the best round from the errors."""
+    model, data = boosted(spark, sf), labelled(spark, sf)
+    scored = model.score(data)
+    errors = B.curve(data, model, GOAL, F.col("split"))
+    val = errors.where(F.col("part") == "val")
+    low = val.where(F.col("round") <= model.last).agg(F.min(F.struct("rmse", "round"))["round"].alias("best"), F.max("round").alias("last")).first()
+    counted = errors.groupBy("part").agg(F.countDistinct("round").alias("rounds"), F.count("*").alias("lines"))
+    at_best = errors.where(F.col("round") == low.best).select("part", F.col("rmse").alias("own"))
+    whole = M.score(data, model.fitted, FEATURES, "whole")
+    packed = score_trees(whole, model.all_trees, FEATURES, "packed")
+    apart = packed.groupBy("split").agg(F.max(F.abs(F.col("packed") - F.col("whole"))).alias("apart"))
+    table = (against_mean(scored).join(counted, F.col("part") == F.col("split")).drop("part")
+             .join(at_best, F.col("part") == F.col("split")).drop("part").join(apart, "split"))
+    total = len(model.all_trees)
+    return rounded(table.select(
+        "split", "n_rows", "rmse_of_mean", "rounds", (F.col("lines") == F.col("rounds")).alias("one_error_per_round"),
+        (F.abs(F.col("own") - F.col("rmse")) < 1e-9).alias("curve_is_that_of_scores"), (F.col("apart") < 1e-9).alias("packed_is_fitted"),
+        F.lit(low.best == model.best == len(model.trees)).alias("best_is_first_low"),
+        F.lit(low.last == min(total, model.best + PATIENCE)).alias("ended_by_patience"),
+        (F.col("rmse") < 0.5 * F.col("rmse_of_mean")).alias("far_better_than_mean")))
 
 
 @query("importance_rank")
 def importance_rank(spark, sf):
-    data = training(spark, sf)
-    return M.importances(data, M.fit_forest(data, FEATURES, GOAL, SMALL_FOREST), FEATURES)
+    return M.importances(training(spark, sf), forest(spark, sf), FEATURES)
 
 
 @query("forest_uncertainty")
 def forest_uncertainty(spark, sf):
-    model = M.fit_forest(training(spark, sf), FEATURES, GOAL, SMALL_FOREST)
-    return M.forest_uncertainty(labelled(spark, sf), model, FEATURES).select("track_id", "prediction", "pred_std")
+    return M.forest_uncertainty(labelled(spark, sf), forest(spark, sf), FEATURES).select("track_id", "prediction", "pred_std")
 
 
 @query("tree_stats")
 def tree_stats(spark, sf):
-    data = training(spark, sf)
-    return M.tree_summary(M.tree_stats(data, M.fit_forest(data, FEATURES, GOAL, SMALL_FOREST)))
+    return M.tree_summary(M.tree_stats(training(spark, sf), forest(spark, sf)))
+
+
+@query("forest_parts", with_preds(f"""
+SELECT split, count(*) AS n_rows, {MEAN_RMSE}, {FOREST['n_estimators']} AS trees, true AS mean_of_trees_is_prediction, true AS trees_differ,
+       true AS importances_sum_to_1, true AS idle_feature_is_last, true AS leaves_counted_twice_agree, true AS far_better_than_mean
+FROM preds GROUP BY split"""))
+def forest_parts(spark, sf):
+    """What must hold of a forest: its trees' mean, their spread, their importances and leaves, from two ways of counting."""
+    model, data = forest(spark, sf), labelled(spark, sf)
+    both = M.forest_uncertainty(M.score(data, model, FEATURES, "whole"), model, FEATURES)
+    apart = both.groupBy("split").agg(F.max(F.abs(F.col("prediction") - F.col("whole"))).alias("apart"), F.max("pred_std").alias("spread"))
+    ranks = M.importances(data, model, FEATURES).collect()
+    trees, stats = pack(spark, model), M.tree_stats(data, model).agg(F.sum("leaves").alias("leaves"), F.count("*").alias("trees")).first()
+    used = {"popularity", "energy", "valence"}  # the goal is made of these
+    table = against_mean(both).join(apart, "split")
+    return rounded(table.select(
+        "split", "n_rows", "rmse_of_mean", F.lit(len(trees)).alias("trees"), (F.col("apart") < 1e-9).alias("mean_of_trees_is_prediction"),
+        (F.col("spread") > 0).alias("trees_differ"), F.lit(abs(sum(r.importance for r in ranks) - 1) < 1e-9).alias("importances_sum_to_1"),
+        F.lit({r.feature for r in ranks[:3]} == used).alias("idle_feature_is_last"),
+        F.lit(int((trees.feature == LEAF).sum()) == stats.leaves and stats.trees == len(trees)).alias("leaves_counted_twice_agree"),
+        (F.col("rmse") < 0.5 * F.col("rmse_of_mean")).alias("far_better_than_mean")))
 
 
 @query("tune_boosting")

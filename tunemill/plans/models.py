@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.scalars import clip
+from tunemill.plans.trees import pack, spread_of_trees, with_features
 from tunemill.presets import SCORE_TIERS
 
 MAX_TREE_DEPTH = 30  # the limit of Spark's tree learners
@@ -95,19 +96,10 @@ def learning_curve(model, parts: dict[str, DataFrame], features: list[str], labe
 
 
 def forest_uncertainty(df: DataFrame, model, features: list[str]) -> DataFrame:
-    """Mean and population deviation of the single trees' predictions per row."""
-    rows = assemble(df, features)
-    names = []
-    for i, tree in enumerate(model.trees):
-        names.append(f"_t{i}")
-        rows = tree.setPredictionCol(names[-1]).transform(rows)
-    each = F.array(*names)
-    n = F.lit(float(len(names)))
-    mean = F.aggregate(each, F.lit(0.0), lambda a, x: a + x) / n
-    rows = rows.withColumns({"_each": each, "prediction": mean}).drop(*names)
-    spread = F.aggregate("_each", F.lit(0.0),
-                         lambda a, x: a + (x - F.col("prediction")) * (x - F.col("prediction"))) / n
-    return rows.withColumn("pred_std", F.sqrt(spread)).drop("_each", "features")
+    """Mean and population deviation of the single trees' predictions per row; rows with missing features are skipped."""
+    both = spread_of_trees(pack(df.sparkSession, model), df.sparkSession, features)
+    rows = with_features(df, features).withColumn("_both", both)
+    return rows.withColumns({"prediction": F.col("_both.prediction"), "pred_std": F.col("_both.pred_std")}).drop("_both")
 
 
 def tree_stats(df: DataFrame, model) -> DataFrame:

@@ -13,7 +13,8 @@ from tunemill.operators.evaluate import (
     unused_features,
 )
 from tunemill.operators.profile import prediction_profile
-from tunemill.plans.models import fit_forest, fit_gbt, fit_linear, importances, score
+from tunemill.plans.boosting import Boosted, fit_boosting
+from tunemill.plans.models import fit_forest, fit_linear, importances, score
 from tunemill.presets import ARTIST_FEATURES, HEALTH_STATUS, TARGET
 from tunemill.session import scratch_path
 
@@ -24,8 +25,17 @@ def _fit(kind: str, df: DataFrame, features: list[str], label: str, params: dict
         return fit_linear(train, features, label)
     if kind == "forest":
         return fit_forest(train, features, label, params, seed)
-    return fit_gbt(df.where(F.col("split").isin("train", "val")), features, label, params, seed,
-                   validation=F.col("split") == "val")
+    return fit_boosting(df.where(F.col("split").isin("train", "val")), features, label, params, seed,
+                        validation=F.col("split") == "val")
+
+
+def _metrics(df: DataFrame, model, features: list[str], label: str) -> tuple:
+    """Train R2, test R2, RMSE and MAE, overfit gap; null for a part without rows."""
+    scored = model.score(df) if isinstance(model, Boosted) else score(df, model, features)
+    by = {r.split: r for r in metrics_by(scored, label, "prediction").collect()}
+    train, test = by.get("train"), by.get("test")
+    r2, own = train.r2 if train else None, (test.r2, test.rmse, test.mae) if test else (None, None, None)
+    return r2, *own, None if None in (r2, own[0]) else r2 - own[0]
 
 
 def train_and_compare(df: DataFrame, features: list[str], label: str = TARGET, models: dict[str, tuple] | None = None,
@@ -39,10 +49,7 @@ def train_and_compare(df: DataFrame, features: list[str], label: str = TARGET, m
     rows = []
     try:
         for name, (kind, params) in models.items():
-            scored = score(data, _fit(kind, data, features, label, params, seed), features)
-            by = {r.split: r for r in metrics_by(scored, label, "prediction").collect()}
-            train, test = by["train"], by["test"]
-            rows.append((name, train.r2, test.r2, test.rmse, test.mae, train.r2 - test.r2))
+            rows.append((name, *_metrics(data, _fit(kind, data, features, label, params, seed), features, label)))
     finally:
         data.unpersist()
     table = df.sparkSession.createDataFrame(
@@ -64,9 +71,7 @@ def train_enriched(df: DataFrame, audio: list[str], artist: list[str] = tuple(AR
     table = train_and_compare(filled, audio, label, {"audio": ("gbt", params)}, "audio", seed).drop(
         "rank", "gain", "gain_pct", "is_best")
     model = _fit("gbt", filled, both, label, params, seed)
-    by = {r.split: r for r in metrics_by(score(filled, model, both), label, "prediction").collect()}
-    row = ("audio_and_artist", by["train"].r2, by["test"].r2, by["test"].rmse, by["test"].mae,
-           by["train"].r2 - by["test"].r2)
+    row = ("audio_and_artist", *_metrics(filled, model, both, label))
     table = table.union(df.sparkSession.createDataFrame([row], table.schema))
     filled.unpersist()
     families = {**{c: "audio" for c in audio}, **{c: "artist" for c in artist}}
