@@ -3,6 +3,8 @@
 Most results depend on a learner and are checked by properties in the tests; queries with a closed form have SQL.
 """
 
+import json
+
 from pyspark.sql import functions as F
 
 from catalog.joins import joined
@@ -16,7 +18,7 @@ from tunemill.plans import explain as X
 from tunemill.plans import models as M
 from tunemill.plans import training as T
 from tunemill.plans.trees import LEAF, pack, score_trees
-from tunemill.plans.tune import random_search, refit_and_test
+from tunemill.plans.tune import refit_and_test
 from tunemill.presets import BOOSTING_SPACE, FOREST_SPACE
 from tunemill.session import scratch_path
 from tunemill.sources.files import load_params, write_json
@@ -168,23 +170,59 @@ def forest_parts(spark, sf):
         (F.col("rmse") < 0.5 * F.col("rmse_of_mean")).alias("far_better_than_mean")))
 
 
+TRIALS = 50
+
+
+def searched(spark, sf, kind, space):
+    """The search over the whole space, made once per session and table."""
+    data = labelled(spark, sf).coalesce(8)
+    return fitted(spark, sf, f"search-{kind}", lambda: B.search(data, kind, space, FEATURES, GOAL, TRIALS, patience=PATIENCE))
+
+
+def log_holds(log, best, space):
+    """What must hold of a search log, as one row."""
+    rows = log.collect()
+    low = min(r.rmse for r in rows)
+    chosen = [r for r in rows if r.is_best]
+    points = [json.loads(r.params) for r in rows]
+    inside = [s[1] <= p[n] <= s[2] if s[0] == "int" else s[1] <= p[n] <= s[2] if s[0] in ("log", "uniform") else p[n] in s[1]
+              for p in points for n, s in space.items()]
+    rungs = [r.rung for r in rows]
+    return log.sparkSession.createDataFrame([(
+        len(rows), len({r.params for r in rows}), len(chosen) == 1 and chosen[0].rmse == low, all(inside),
+        best == {**json.loads(chosen[0].params), "n_estimators": chosen[0].best_round}, all(r.best_round <= r.trees <= p["n_estimators"] for r, p in zip(rows, points)),
+        all(min(r.trees for r in rows if r.rung == k) > max(r.trees for r in rows if r.rung == 0) for k in set(rungs) - {0}))],
+        "trials int, different int, best_is_lowest boolean, all_in_space boolean, parameters_of_best boolean, trees_in_bounds boolean, "
+        "later_rungs_are_larger boolean")
+
+
 @query("tune_boosting")
 def tune_boosting(spark, sf):
-    return random_search(labelled(spark, sf), "gbt", BOOSTING_SPACE, FEATURES, GOAL, trials=3,
-                         fixed={"n_estimators": 5, "max_depth": 4})[1]
+    """The log of 50 trials over the whole space."""
+    return searched(spark, sf, "gbt", BOOSTING_SPACE)[1]
 
 
 @query("tune_forest")
 def tune_forest(spark, sf):
-    data = labelled(spark, sf)
-    best, log = random_search(data, "forest", FOREST_SPACE, FEATURES, GOAL, trials=3, metric="r2",
-                              fixed={"n_estimators": 5, "max_depth": 5})
-    _, tested = refit_and_test(data, "forest", best, FEATURES, GOAL)
+    """The best of 50 trials over the whole space, fitted again on training and validation rows and measured on test rows."""
+    best, log = searched(spark, sf, "forest", FOREST_SPACE)
+    _, tested = refit_and_test(labelled(spark, sf), "forest", best, FEATURES, GOAL)
     final = tested.first()
-    return log.where("is_best").select("trial", "params", F.col("r2").alias("val_r2"), F.lit(final.r2).alias("test_r2"),
+    return log.where("is_best").select("trial", "params", "rung", "trees", F.col("rmse").alias("val_rmse"), F.lit(final.r2).alias("test_r2"),
                                        F.lit(final.rows).alias("test_rows"))
 
 
+@query("tune_logs", " UNION ALL ".join(f"""SELECT '{k}' AS kind, {TRIALS} AS trials, {TRIALS} AS different, true AS best_is_lowest, true AS all_in_space,
+       true AS parameters_of_best, true AS trees_in_bounds, true AS later_rungs_are_larger""" for k in ("gbt", "forest")))
+def tune_logs(spark, sf):
+    out = None
+    for kind, space in (("gbt", BOOSTING_SPACE), ("forest", FOREST_SPACE)):
+        best, log = searched(spark, sf, kind, space)
+        row = rounded(log_holds(log, best, space)).withColumn("kind", F.lit(kind))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 @query("shapley")
 def shapley(spark, sf):
     """Attributions of every row."""
@@ -224,8 +262,7 @@ def verify_model(spark, sf):
 @query("best_parameters")
 def best_parameters(spark, sf):
     """Tuned parameters saved as JSON and read back."""
-    best, _ = random_search(labelled(spark, sf), "forest", FOREST_SPACE, FEATURES, GOAL, trials=2,
-                            fixed={"n_estimators": 3, "max_depth": 4})
+    best = searched(spark, sf, "forest", FOREST_SPACE)[0]
     path = scratch_path(spark, "best")
     write_json(spark, best, path)
     params = load_params(spark, path)

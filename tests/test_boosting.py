@@ -86,7 +86,7 @@ def test_search_shares_ensembles_and_ends_bad_trials(spark, data, monkeypatch):
 
     monkeypatch.setattr(B, "fit_gbt", counted)
     space = {"max_depth": ("choice", [2, 4]), "n_estimators": ("int", 4, 12, 2), "learning_rate": ("choice", [0.02, 0.5])}
-    best, log = B.search(data, space, FEATURES, "goal", trials=9, first_rung=2, patience=50)
+    best, log = B.search(data, "gbt", space, FEATURES, "goal", trials=9, first_rung=2, patience=50)
     rows = log.orderBy("trial").collect()
     assert len(rows) == 9 and sum(r.is_best for r in rows) == 1
     low = min(r.rmse for r in rows)
@@ -99,3 +99,13 @@ def test_search_shares_ensembles_and_ends_bad_trials(spark, data, monkeypatch):
     model = T.pack(spark, fit(data.where("split = 'train'"), FEATURES, "goal", best, 42))
     again = T.score_trees(data.where("split = 'val'"), model, FEATURES)
     assert abs(again.agg(F.sqrt(F.avg((F.col("goal") - F.col("prediction")) ** 2))).first()[0] - low) < 1e-9
+
+
+def test_forest_search(spark, data):
+    space = {"max_depth": ("int", 2, 6, 1), "n_estimators": ("int", 4, 12, 4), "max_features": ("choice", ["0.5", "1.0"])}
+    best, log = B.search(data, "forest", space, FEATURES, "goal", trials=6, first_rung=2)
+    rows = log.collect()
+    assert len(rows) == 6 and all(r.trees == r.best_round for r in rows) and max(r.rung for r in rows) >= 1
+    model = T.pack(spark, M.fit_forest(data.where("split = 'train'"), FEATURES, "goal", best))
+    again = T.score_trees(data.where("split = 'val'"), model, FEATURES)
+    assert abs(again.agg(F.sqrt(F.avg((F.col("goal") - F.col("prediction")) ** 2))).first()[0] - min(r.rmse for r in rows)) < 1e-9

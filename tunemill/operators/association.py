@@ -9,9 +9,7 @@ from tunemill.functions.normal import correlation_pvalue, inverse_normal
 from tunemill.functions.scalars import correlation
 from tunemill.functions.sqltext import as_double, name, number, rows, text
 from tunemill.operators.clean import missing
-from tunemill.operators.ranks import (
-    global_index, quantiles_from_ranks, range_splits, rank_counts, value_ranks,
-)
+from tunemill.operators.ranks import global_index, quantiles, range_splits, rank_counts
 
 
 def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -100,27 +98,38 @@ def spearman_with(df: DataFrame, cols: list[str], target: str, threshold: float
             .orderBy(F.abs("rho").desc_nulls_last(), "feature"))
 
 
+def _bins(df: DataFrame, cols: list[str], q: int) -> dict[str, int]:
+    """Number of quantile bins per column: ``q``, or the number of distinct values if that is less."""
+    near = df.selectExpr(*[f"approx_count_distinct({as_double(c)})" for c in cols]).first()
+    few = [c for c, n in zip(cols, near) if n < 100 * q]  # the estimate is off by a few per cent
+    exact = df.selectExpr(*[f"count(DISTINCT {as_double(c)})" for c in few]).first() if few else []
+    return {**{c: q for c in cols}, **{c: min(q, n) for c, n in zip(few, exact)}}
+
+
 def qcut_mean(df: DataFrame, cols: list[str], target: str, q: int = 10) -> DataFrame:
     """Mean target per quantile bin of each column; equal edges are merged.
 
     (feature, bin, lower, upper, rows, mean_target); the first bin is closed on both sides, and a column with fewer
-    than ``q`` distinct values gets that many bins. Edges and means both come from the counts of distinct values.
+    than ``q`` distinct values gets that many bins. Edges come from selection, means from one aggregate of the rows.
     """
-    ranks = value_ranks(df, cols, carry=target)
-    names = [f"e{i}" for i in range(q + 1)]
-    shares = {label: f"least(1D, {number(i)} / least({q}, n_values))" for i, label in enumerate(names)}
-    edges = quantiles_from_ranks(ranks, shares).select(
-        "feature", F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
-    # The edges have one row per column of the table, so they can be broadcast.
-    inner = F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    slot = F.size(F.filter(inner, lambda edge: F.col("value") > edge))
-    return (ranks.join(F.broadcast(edges), "feature").where(F.size("edges") > 1).withColumn("bin", slot)
-            .groupBy("feature", "bin").agg(
-                F.sum("cnt").alias("rows"), F.sum("total").alias("_total"), F.sum("seen").alias("_seen"),
-                F.first("edges").alias("edges"))
-            .select("feature", "bin", F.get("edges", F.col("bin")).alias("lower"),
-                    F.get("edges", F.col("bin") + 1).alias("upper"), "rows",
-                    F.try_divide("_total", "_seen").alias("mean_target")))
+    bins = _bins(df, cols, q)
+    edges = {}
+    for n in sorted({n for n in bins.values() if n}):
+        own = [c for c in cols if bins[c] == n]
+        for r in quantiles(df, own, {f"e{i}": i / n for i in range(n + 1)}).collect():
+            found = sorted({r[f"e{i}"] for i in range(n + 1)})
+            if len(found) > 1:
+                edges[r.feature] = found
+    if not edges:
+        return df.sparkSession.createDataFrame([], "feature string, bin int, lower double, upper double, rows long, mean_target double")
+    each = []
+    for c, own in edges.items():
+        inner = " + ".join(["0", *[f"CAST(v > {number(e)} AS INT)" for e in own[1:-1]]]).replace("v >", f"{as_double(c)} >")
+        each.append({"feature": text(c), "bin": f"CASE WHEN {as_double(c)} IS NOT NULL THEN {inner} END", "goal": as_double(target)})
+    table = (df.selectExpr(rows(each)).where("bin IS NOT NULL").groupBy("feature", "bin")
+             .agg(F.count(F.lit(1)).alias("rows"), F.avg("goal").alias("mean_target")))
+    bounds = F.expr("CASE feature " + " ".join(f"WHEN {text(c)} THEN array({', '.join(map(number, own))})" for c, own in edges.items()) + " END")
+    return table.select("feature", "bin", F.get(bounds, F.col("bin")).alias("lower"), F.get(bounds, F.col("bin") + 1).alias("upper"), "rows", "mean_target")
 
 
 def trend(df: DataFrame, x: str, y: str, strong: float = 0.5) -> DataFrame:

@@ -9,7 +9,8 @@ from tunemill.functions.bins import fixed_width_bin
 from tunemill.functions.sqltext import as_double, name, rows, text
 from tunemill.operators.clean import medians, missing_sql
 from tunemill.operators.columns import numeric_cols
-from tunemill.operators.ranks import quantiles, quantiles_from_ranks, value_counts_long, value_ranks
+from tunemill.operators.ranks import quantiles, value_counts_long
+from tunemill.operators.sides import checked
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -150,18 +151,17 @@ def percentiles(df: DataFrame, col: str, percents: tuple[float, ...] = (0, 10, 2
 
 
 def box_stats(df: DataFrame, key: str, val: str) -> DataFrame:
-    """Quartiles, whiskers at 1.5 IQR and outlier count per group, from one table of value counts."""
-    ranks = value_ranks(df, [val], [key])
-    box = quantiles_from_ranks(ranks, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [key])
+    """Quartiles, whiskers at 1.5 IQR and outlier count per group: quartiles by selection, then one aggregate of the rows."""
+    box = quantiles(df, [val], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [key])
     iqr = F.col("q3") - F.col("q1")
-    box = box.select(key, "q1", "median", "q3",
-                     (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
+    box = box.select(F.col(key).alias("_key"), "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("_lo"), (F.col("q3") + 1.5 * iqr).alias("_hi"))
+    data = df.select(F.col(key).alias("_group"), F.expr(as_double(val)).alias("value")).where("_group IS NOT NULL AND value IS NOT NULL")
     inside = (F.col("value") >= F.col("_lo")) & (F.col("value") <= F.col("_hi"))
-    return (ranks.join(box, key).groupBy(key, "q1", "median", "q3").agg(
-        F.sum("cnt").alias("rows"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, F.lit(0)).otherwise(F.col("cnt"))).alias("outliers")))
+    joined = data.join(checked(box), F.col("_group") == F.col("_key"))
+    return joined.groupBy(F.col("_group").alias(key)).agg(
+        *[F.max(c).alias(c) for c in ("q1", "median", "q3")], F.count(F.lit(1)).alias("rows"), F.min("value").alias("min"),
+        F.max("value").alias("max"), F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
+        F.max(F.when(inside, F.col("value"))).alias("whisker_high"), F.count_if(~inside).alias("outliers"))
 
 
 def prediction_profile(df: DataFrame, col: str, low: float = 60, high: float = 70) -> DataFrame:

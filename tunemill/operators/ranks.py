@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tunemill.functions.sqltext import as_double, name, number, text
+from tunemill.operators.selection import selected
 from tunemill.session import shared_dir
 
 MAX_VALUES_PER_TASK = 1_000_000
@@ -108,8 +109,10 @@ def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float | str], keys:
 
 
 def quantiles(df: DataFrame, cols: list[str], probs: dict[str, float], keys: list[str] = (),
-              max_values: int = MAX_VALUES_PER_TASK) -> DataFrame:
-    """(keys, feature, one column per quantile), exact."""
+              max_values: int | None = None) -> DataFrame:
+    """(keys, feature, one column per quantile), exact: by selection, or with ``max_values`` from the ranks of all values."""
+    if max_values is None:
+        return selected(df, cols, probs, keys)
     return quantiles_from_ranks(value_ranks(df, cols, keys, max_values), probs, keys)
 
 

@@ -15,13 +15,13 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.plans.models import fit_gbt
+from tunemill.plans.models import fit_forest, fit_gbt
 from tunemill.plans.trees import Trees, errors_by_round, pack, score_trees
 from tunemill.plans.tune import draw
 
 PATIENCE = 20
 #: Trees that every trial gets at first, how many times more the next rung has, and the share of trials that reach it.
-FIRST_RUNG, RUNG_GROWTH, RUNG_SHARE = 5, 4, 1 / 3
+FIRST_RUNG, RUNG_GROWTH, RUNG_SHARE = 3, 5, 1 / 4
 
 
 def best_round(errors: list[float], patience: int = PATIENCE, least_gain: float = 0.0) -> tuple[int, int]:
@@ -81,14 +81,14 @@ def curve(df: DataFrame, model: Boosted, label: str, part: Column) -> DataFrame:
     return table.withColumns({"is_best": F.col("round") == model.best, "after_end": F.col("round") > model.last})
 
 
-def search(df: DataFrame, space: dict[str, tuple], features: list[str], label: str, trials: int = 50, seed: int = 42,
+def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str], label: str, trials: int = 50, seed: int = 42,
            patience: int = PATIENCE, parallelism: int = 4, first_rung: int = FIRST_RUNG) -> tuple[dict, DataFrame]:
     """Best parameters and the log (trial, params, rung, trees, best_round, rmse, is_best) of a search in rungs.
 
-    ``df`` carries a ``split`` column. All trials get ``first_rung`` trees; the best third goes on to a rung with four times as
-    many, until those left have all the trees they ask for, cut by patience. Points that differ only in ``n_estimators`` share
-    one ensemble. A trial is judged by its best error on "val" in the highest rung it reached, the earlier one on ties. The rows
-    are cached for the length of the search.
+    ``kind`` is "gbt" or "forest"; ``df`` carries a ``split`` column. All trials get ``first_rung`` trees; the best share goes on
+    to a rung with several times as many, until those left have all the trees they ask for. Boosting is cut by patience; a forest
+    keeps what it has. Points that differ only in ``n_estimators`` share one ensemble. A trial is judged by its best error on
+    "val" in the highest rung it reached, the earlier one on ties. The rows are cached for the length of the search.
     """
     rng = random.Random(seed)
     points = [draw(space, rng) for _ in range(trials)]
@@ -100,7 +100,8 @@ def search(df: DataFrame, space: dict[str, tuple], features: list[str], label: s
         return json.dumps({k: v for k, v in point.items() if k != "n_estimators"}, sort_keys=True)
 
     def errors(task: tuple[str, int]) -> list[float]:
-        trees = pack(spark, fit_gbt(train, features, label, {**json.loads(task[0]), "n_estimators": task[1]}, seed))
+        fit = fit_gbt if kind == "gbt" else fit_forest
+        trees = pack(spark, fit(train, features, label, {**json.loads(task[0]), "n_estimators": task[1]}, seed))
         rows = errors_by_round(val, trees, features, label, F.lit("val")).collect()
         return [r.rmse for r in sorted(rows, key=lambda r: r["round"])]
 
@@ -115,7 +116,7 @@ def search(df: DataFrame, space: dict[str, tuple], features: list[str], label: s
                 found = dict(zip(wanted, pool.map(errors, wanted.items())))
                 for i in alive:
                     own = found[family(points[i])][:min(budget, points[i]["n_estimators"])]
-                    best, last = best_round(own, patience)
+                    best, last = best_round(own, patience) if kind == "gbt" else (len(own), len(own))
                     results[i] = (rung, last, best, own[best - 1])
                 order = sorted(alive, key=lambda i: (results[i][3], i))
                 # A trial is done if it ran out of patience or has all its trees; it stays in the log as it is.

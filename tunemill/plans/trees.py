@@ -39,6 +39,8 @@ class Trees:
     depth: int
     #: Fall of the error at a node times its rows, what importances are made of.
     gain: np.ndarray
+    #: A forest is the mean of its trees, a boosted model their sum.
+    mean: bool
 
     def __len__(self) -> int:
         return len(self.roots)
@@ -82,6 +84,17 @@ class Trees:
         return out
 
 
+    def total(self, x: np.ndarray) -> np.ndarray:
+        """The prediction for every row."""
+        each = self.each(x)
+        return each.mean(axis=1) if self.mean else each.sum(axis=1)
+
+    def running(self, x: np.ndarray) -> np.ndarray:
+        """(rows, trees): the prediction of the first 1, 2, ... trees for every row."""
+        sums = self.each(x).cumsum(axis=1)
+        return sums / np.arange(1, len(self) + 1) if self.mean else sums
+
+
 def pack(spark: SparkSession, model) -> Trees:
     """The node tables of a fitted MLlib forest or boosted model with numeric features."""
     path = scratch_path(spark, "trees")
@@ -99,12 +112,9 @@ def pack(spark: SparkSession, model) -> Trees:
     offset = np.repeat(roots, np.diff(np.r_[roots, len(tree)]))  # ids count up from 0 within a tree
     child = lambda name: np.where(inner, nodes[name].to_numpy() + offset, 0).astype(np.int32)
     depth = max([t.depth for t in model.trees], default=0)
-    weights = np.array(model.treeWeights, float)
-    if not hasattr(model, "evaluateEachIteration"):  # a forest is the mean of its trees
-        weights = weights / weights.sum()
     return Trees(np.where(inner, nodes["feature"].to_numpy(), LEAF).astype(np.int32), nodes["cut"].to_numpy().astype(float),
-                 child("left"), child("right"), nodes["value"].to_numpy().astype(float), roots.astype(np.int32), weights, depth,
-                 nodes["gain"].to_numpy().astype(float))
+                 child("left"), child("right"), nodes["value"].to_numpy().astype(float), roots.astype(np.int32), np.array(model.treeWeights, float), depth,
+                 nodes["gain"].to_numpy().astype(float), mean=not hasattr(model, "evaluateEachIteration"))
 
 
 def _matrix(columns) -> np.ndarray:
@@ -120,23 +130,23 @@ def with_features(df: DataFrame, features: list[str]) -> DataFrame:
 
 
 def score_trees(df: DataFrame, trees: Trees, features: list[str], name: str = "prediction") -> DataFrame:
-    """``df`` with the sum of all trees; rows with missing features are skipped."""
+    """``df`` with the prediction of all trees; rows with missing features are skipped."""
     held = df.sparkSession.sparkContext.broadcast(trees)
 
     @pandas_udf("double")
     def total(*columns: pd.Series) -> pd.Series:
-        return pd.Series(held.value.each(_matrix(columns)).sum(axis=1))
+        return pd.Series(held.value.total(_matrix(columns)))
 
     return with_features(df, features).withColumn(name, total(*[F.col(c).cast("double") for c in features]))
 
 
 def spread_of_trees(trees: Trees, spark: SparkSession, features: list[str]) -> Column:
     """struct(prediction, pred_std): mean and population deviation of the single trees of a forest."""
-    held, n = spark.sparkContext.broadcast(trees), len(trees)
+    held = spark.sparkContext.broadcast(trees)
 
     @pandas_udf("prediction double, pred_std double")
     def spread(*columns: pd.Series) -> pd.DataFrame:
-        each = held.value.each(_matrix(columns)) * n
+        each = held.value.each(_matrix(columns))
         return pd.DataFrame({"prediction": each.mean(axis=1), "pred_std": each.std(axis=1)})
 
     return spread(*[F.col(c).cast("double") for c in features])
@@ -156,7 +166,7 @@ def errors_by_round(df: DataFrame, trees: Trees, features: list[str], label: str
             parts = np.array(batch.column(0).to_pylist(), object)
             rows = max(1, WALKED // max(1, len(held.value)))
             for at in range(0, batch.num_rows, rows):
-                off = batch.column(1).to_numpy()[at:at + rows, None] - held.value.each(_matrix([c[at:at + rows] for c in columns])).cumsum(axis=1)
+                off = batch.column(1).to_numpy()[at:at + rows, None] - held.value.running(_matrix([c[at:at + rows] for c in columns]))
                 for name in set(parts[at:at + rows]):
                     own = off[parts[at:at + rows] == name]
                     old = sums.get(name, (0, 0.0, 0.0))
