@@ -69,3 +69,21 @@ def test_no_column_is_sorted_or_shuffled_whole(spark, table):
     plan = counts._jdf.queryExecution().executedPlan().toString()
     exchanged = [line for line in plan.splitlines() if "Exchange rangepartitioning" in line]
     assert not exchanged
+
+
+def test_ranks_across_ranges_and_batches(spark, table):
+    """Groups and hot values that span ranges and Arrow batches keep one numbering."""
+    from tunemill.operators.ranks import rank_counts
+
+    df = spark.createDataFrame(table[["k", "even"]].dropna()).groupBy("k", "even").agg(F.count("*").alias("cnt"))
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = rank_counts(df, ["k"], "even", max_values=1500).toPandas()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    own = table[["k", "even"]].dropna()
+    want = own.groupby("k").even.rank(method="min") - 1
+    have = {(r.k, r.even): (r.before, r.n) for r in got.itertuples()}
+    sizes = own.groupby("k").size()
+    assert all(have[k, v] == (b, sizes[k]) for k, v, b in zip(own.k, own.even, want))

@@ -9,7 +9,9 @@ from tunemill.functions.normal import correlation_pvalue, inverse_normal
 from tunemill.functions.scalars import correlation
 from tunemill.functions.sqltext import as_double, name, number, rows, text
 from tunemill.operators.clean import missing
-from tunemill.operators.ranks import global_index, quantiles, range_splits, rank_counts
+from tunemill.operators.ranks import global_index, quantiles, rank_counts
+from tunemill.operators.sides import checked
+from tunemill.session import shared_dir
 
 
 def _as_double(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -71,24 +73,24 @@ def corr_with(df: DataFrame, cols: list[str], target: str, by_magnitude: bool =
 def spearman_with(df: DataFrame, cols: list[str], target: str, threshold: float = 0.05) -> DataFrame:
     """Rank correlation per feature with p-value and a flag for |rho| >= threshold.
 
-    Works on counts of distinct (value, target) pairs; average ranks come from the counts of distinct values.
+    Works on counts of distinct (value, target) pairs, made once; average ranks come from the counts of distinct values, with
+    one range exchange for the features and one for the target.
     """
     cols = [c for c in cols if c != target]
     data = _as_double(df, [*cols, target]).where(F.col(target).isNotNull())
     pairs = (data.withColumnRenamed(target, "goal").unpivot(["goal"], cols, "feature", "value")
              .where(F.col("value").isNotNull()).groupBy("feature", "value", "goal").agg(F.count(F.lit(1)).alias("w")))
-    splits = range_splits(data, [*cols, target])
-    goal_splits = {c: splits[target] for c in cols} if target in splits else {}
+    shared_dir(df.sparkSession)
+    pairs = pairs.checkpoint()
     rank = F.col("before") + (F.col("cnt") + 1) / 2.0
     x_counts = pairs.groupBy("feature", "value").agg(F.sum("w").alias("cnt"))
-    x_ranks = rank_counts(x_counts, ["feature"], {c: e for c, e in splits.items() if c != target}).select(
-        "feature", "value", rank.alias("rx"), "n")
+    x_ranks = rank_counts(x_counts, ["feature"]).select("feature", "value", rank.alias("rx"), "n")
     # The target is ranked among the rows that have the feature.
     y_counts = pairs.groupBy("feature", "goal").agg(F.sum("w").alias("cnt"))
-    y_ranks = rank_counts(y_counts, ["feature"], goal_splits, "goal").select("feature", "goal", rank.alias("ry"))
+    y_ranks = rank_counts(y_counts, ["feature"], "goal").select("feature", "goal", rank.alias("ry"))
     mid = (F.col("n") + 1) / 2.0
     dx, dy, w = F.col("rx") - mid, F.col("ry") - mid, F.col("w")
-    sums = (pairs.join(x_ranks, ["feature", "value"]).join(y_ranks, ["feature", "goal"])
+    sums = (pairs.join(checked(x_ranks), ["feature", "value"]).join(checked(y_ranks), ["feature", "goal"])
             .groupBy("feature").agg(F.max("n").alias("n"), F.sum(w * dx * dy).alias("xy"),
                                     F.sum(w * dx * dx).alias("xx"), F.sum(w * dy * dy).alias("yy")))
     rho = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))

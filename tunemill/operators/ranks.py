@@ -1,26 +1,28 @@
 """Exact order statistics without putting a whole column into one task.
 
-A column is first reduced to its distinct values with counts (partial aggregation keeps hot values small). Columns with
-many distinct values are then cut into range buckets, so each window sorts one bucket; bucket totals give the
-offsets. Bucket bounds only balance the work: the ranks are exact whatever the bounds are.
+A column is first reduced to its distinct values with counts (partial aggregation keeps hot values small). These are sorted by
+ranges, which number their rows on their own; the totals of the ranges give the offsets.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tunemill.functions.sqltext import as_double, name, number, text
+from tunemill.functions.sqltext import as_double, number, text
 from tunemill.operators.selection import selected
+from tunemill.operators.sides import checked
 from tunemill.session import shared_dir
 
-MAX_VALUES_PER_TASK = 1_000_000
-MAX_BUCKETS = 10_000
-
 
 def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carry: str | None = None) -> DataFrame:
     """(keys, feature, value, cnt) over the non-missing values; rows with a null key are left out.
@@ -44,53 +46,64 @@ def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carr
                          *(["total", "seen"] if carry else []))
 
 
-def range_splits(df: DataFrame, cols: list[str], max_values: int = MAX_VALUES_PER_TASK) -> dict[str, list[float]]:
-    """Bucket bounds of the columns with more distinct values than one task should sort."""
-    distinct = df.selectExpr(*[f"approx_count_distinct({name(c)})" for c in cols]).first()
-    buckets = {c: min(MAX_BUCKETS, math.ceil(2 * distinct[i] / max_values)) for i, c in enumerate(cols)
-               if distinct[i] > max_values}
-    if not buckets:
-        return {}
-    row = df.agg(*[F.percentile_approx(F.expr(as_double(c)), [i / n for i in range(1, n)], 20 * n)
-                   for c, n in buckets.items()]).first()
-    bounds = {c: sorted(set(row[i] or [])) for i, c in enumerate(buckets)}
-    return {c: [-math.inf, *b, math.inf] for c, b in bounds.items() if b}
-
-
-def rank_counts(counts: DataFrame, group: list[str], splits: dict[str, list[float]], value: str = "value") -> DataFrame:
+def _running(group: int):
+    """Sorted rows whose first ``group`` columns name their group and whose last is a count, with the counts before them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, below = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            counts = batch.column(batch.num_columns - 1).to_numpy()
+            sums = np.cumsum(counts) - counts
+            starts = np.zeros(batch.num_rows, bool)
+            for column in batch.columns[:group]:
+                starts[1:] |= pc.not_equal(column.slice(1), column.slice(0, batch.num_rows - 1)).to_numpy(zero_copy_only=False)
+            first = tuple(column[0].as_py() for column in batch.columns[:group])
+            starts[0] = True
+            heads = np.flatnonzero(starts)
+            offset = np.repeat(sums[heads], np.diff(np.r_[heads, batch.num_rows]))
+            before = sums - offset
+            goes_on = heads[1] if len(heads) > 1 else batch.num_rows
+            if first == last:
+                before[:goes_on] += below
+            last = tuple(column[batch.num_rows - 1].as_py() for column in batch.columns[:group])
+            below = int(before[-1] + counts[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, part)), pa.array(before)],
+                                             names=[*batch.schema.names, "_part", "_below"])
+
+    return run
+
+
+def rank_counts(counts: DataFrame, group: list[str], value: str = "value", max_values: int | None = None) -> DataFrame:
     """Add ``before`` (rows below the value), ``n`` (rows) and ``n_values`` (distinct values) of each group.
 
-    ``counts`` has one row per group and value, with the rows in ``cnt``.
+    ``counts`` has one row per group and value, with the rows in ``cnt``; groups and values are not null. One range exchange
+    sorts them; ranges number their rows as a stream, and a table with one row per range and group brings in what lies before.
+    The numbered rows are checkpointed in the shared folder, so both agree even after an executor is lost.
     """
-    carried = [c for c in counts.columns]
-    if not splits:
-        running = W.partitionBy(*group).orderBy(value)
-        everything = W.partitionBy(*group)
-        return counts.withColumns({
-            "before": F.sum("cnt").over(running) - F.col("cnt"), "n": F.sum("cnt").over(everything),
-            "n_values": F.count(F.lit(1)).over(everything)})
-    bucket = F.lit(0.0)
-    for i, (col, edges) in enumerate(splits.items()):
-        if len(edges) > 3:
-            counts = Bucketizer(splits=edges, inputCol=value, outputCol=f"_b{i}").transform(counts)
-            bucket = F.when(F.col("feature") == col, F.col(f"_b{i}")).otherwise(bucket)
-    counts = counts.select(*carried, bucket.alias("_bucket"))
-    everything = W.partitionBy(*group)
-    offsets = (counts.groupBy(*group, "_bucket").agg(F.sum("cnt").alias("_cnt"), F.count(F.lit(1)).alias("_values"))
-               .select(*group, "_bucket",
-                       (F.sum("_cnt").over(everything.orderBy("_bucket")) - F.col("_cnt")).alias("_offset"),
-                       F.sum("_cnt").over(everything).alias("n"), F.sum("_values").over(everything).alias("n_values")))
-    inside = W.partitionBy(*group, "_bucket").orderBy(value)
-    return (counts.join(offsets, [*group, "_bucket"])
-            .withColumn("before", F.col("_offset") + F.sum("cnt").over(inside) - F.col("cnt"))
+    spark = counts.sparkSession
+    shared_dir(spark)
+    carried = counts.columns
+    chosen = counts.select(*group, *[c for c in carried if c not in (*group, "cnt")], F.col("cnt").cast("long").alias("cnt"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if max_values is not None:
+        parts = max(2, math.ceil(counts.count() / max_values))
+    ordered = chosen.repartitionByRange(parts, *group, value).sortWithinPartitions(*group, value)
+    schema = T.StructType([*chosen.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_below", T.LongType())])
+    placed = ordered.mapInArrow(_running(len(group)), schema).checkpoint()
+    whole = W.partitionBy(*group)
+    offsets = (placed.groupBy(*group, "_part").agg(F.sum("cnt").alias("_cnt"), F.count(F.lit(1)).alias("_values"))
+               .select(*group, "_part", (F.sum("_cnt").over(whole.orderBy("_part")) - F.col("_cnt")).alias("_offset"),
+                       F.sum("_cnt").over(whole).alias("n"), F.sum("_values").over(whole).alias("n_values")))
+    return (placed.join(checked(offsets), [*group, "_part"]).withColumn("before", F.col("_offset") + F.col("_below"))
             .select(*carried, "before", "n", "n_values"))
 
 
-def value_ranks(df: DataFrame, cols: list[str], keys: list[str] = (), max_values: int = MAX_VALUES_PER_TASK,
+def value_ranks(df: DataFrame, cols: list[str], keys: list[str] = (), max_values: int | None = None,
                 carry: str | None = None) -> DataFrame:
     """(keys, feature, value, cnt, before, n, n_values): how many rows of the group lie below each distinct value."""
     counts = value_counts_long(df, cols, keys, carry)
-    return rank_counts(counts, [*keys, "feature"], range_splits(df, list(cols), max_values))
+    return rank_counts(counts, [*keys, "feature"], max_values=max_values)
 
 
 def quantiles_from_ranks(ranks: DataFrame, probs: dict[str, float | str], keys: list[str] = ()) -> DataFrame:
