@@ -123,11 +123,12 @@ def csv_rejected_cells(spark, sf):
 @query("quality_report_text", """
 SELECT '[summary] rows: ' || count(*) AS line FROM part UNION ALL SELECT '[summary] columns: 6'
 UNION ALL SELECT '[summary] duplicate_rows: 0'
-UNION ALL SELECT '[missing] ' || c || ': 0' FROM (SELECT unnest(['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice']) AS c)""")
+UNION ALL SELECT '[missing] ' || c || ': 0' FROM (SELECT unnest(['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice']) AS c)
+UNION ALL SELECT '[dtype] ' || unnest(['p_partkey: bigint', 'p_name: string', 'p_brand: string', 'p_type: string', 'p_size: int', 'p_retailprice: double'])""")
 def quality_report_text(spark, sf):
     path = scratch_path(spark, "report")
     S.write_report(quality_report(table(spark, sf, "part")), path)
-    return spark.read.text(path).select(F.col("value").alias("line")).where(~F.col("value").startswith("[dtype]"))
+    return spark.read.text(path).select(F.col("value").alias("line"))
 
 
 # ---- runs: one per album, with metrics of the stand-in predictions ----
@@ -182,16 +183,21 @@ def runs_per_experiment(spark, sf):
 
 @query("run_metadata_files", with_preds(f""", {RUNS_SQL}
 SELECT run_id || '/' || experiment AS timestamp, n AS n_samples, {rd('coalesce(r2, 0)')} AS test_r2, {rd('rmse')} AS test_rmse,
-       {rd('mae')} AS test_mae, CAST(0 AS DOUBLE) AS train_r2 FROM runs WHERE split = 'test'"""))
+       {rd('mae')} AS test_mae, {rd("""coalesce((SELECT t.r2 FROM runs t WHERE t.split = 'train' AND t.run_id = runs.run_id
+       AND t.experiment = runs.experiment), 0)""")} AS train_r2 FROM runs WHERE split = 'test'"""))
 def run_metadata_files(spark, sf):
     """One JSON file per run, in two shapes, read as one table."""
-    runs = run_rows(spark, sf).where(F.col("split") == "test").withColumns({
-        "timestamp": F.concat_ws("/", "run_id", "experiment"), "file": F.xxhash64("run_id", "experiment")})
+    of = lambda split, c: F.max(F.when(F.col("split") == split, F.col(c)))
+    runs = (run_rows(spark, sf).groupBy("run_id", "experiment")
+            .agg(*[of("test", c).alias(c) for c in ("rows", "r2", "rmse", "mae")], *[of("train", c).alias(f"train_{c}") for c in ("r2", "rmse", "mae")])
+            .where(F.col("rows").isNotNull()).withColumns({
+                "timestamp": F.concat_ws("/", "run_id", "experiment"), "file": F.xxhash64("run_id", "experiment")}))
     new = runs.where(F.col("experiment") < "M").select("file", "timestamp", F.col("rows").alias("n_samples"), F.struct(
-        F.col("r2").alias("test_r2"), F.col("rmse").alias("test_rmse"), F.col("mae").alias("test_mae")).alias("metrics"))
+        F.col("train_r2"), F.col("r2").alias("test_r2"), F.col("rmse").alias("test_rmse"), F.col("mae").alias("test_mae")).alias("metrics"))
     old = runs.where(F.col("experiment") >= "M").select(
         "file", F.col("timestamp").alias("training_date"), F.col("rows").alias("n_train_samples"),
-        F.struct(F.struct("rmse", "mae", "r2").alias("test")).alias("performance"))
+        F.struct(F.struct(*[F.col(f"train_{c}").alias(c) for c in ("rmse", "mae", "r2")]).alias("train"),
+                 F.struct("rmse", "mae", "r2").alias("test")).alias("performance"))
     path = scratch_path(spark, "runs")
     for part in (new, old):
         part.repartition("file").write.mode("append").partitionBy("file").json(path)

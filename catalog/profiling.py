@@ -17,13 +17,13 @@ def scan_count(spark, sf):
     return table(spark, sf, "lineitem").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("l_partkey").alias("parts"))
 
 
-@query("null_counts", f"""WITH {HOLES_SQL}
-SELECT 'q' AS feature, count(*) FILTER (WHERE q IS NULL) AS nulls FROM holes
-UNION ALL SELECT 'd', count(*) FILTER (WHERE d IS NULL) FROM holes
-UNION ALL SELECT 'genre', count(*) FILTER (WHERE genre IS NULL) FROM holes
-UNION ALL SELECT 'l_orderkey', count(*) FILTER (WHERE l_orderkey IS NULL) FROM holes""")
+HOLED = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "q", "d", "genre"]
+
+
+@query("null_counts", f"WITH {HOLES_SQL} " + " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM holes" for c in HOLED))
 def null_counts(spark, sf):
-    return P.null_counts(holes(spark, sf), ["q", "d", "genre", "l_orderkey"])
+    return P.null_counts(holes(spark, sf))
 
 
 @query("duplicate_count", with_tracks("""
@@ -248,14 +248,22 @@ def feature_info(spark, sf):
     return rounded(P.feature_info(tracks(spark, sf), INFO), 4)
 
 
-@query("quality_report", with_tracks("""
-, s AS (SELECT track_genre, album_name, mode FROM tracks), g AS (SELECT count(*) AS n FROM s GROUP BY track_genre, album_name, mode)
+#: Columns of the table and their types in Spark.
+TYPES = {"track_id": "string", "popularity": "int", "track_genre": "string", "album_name": "string", "track_name": "string", "artists": "string",
+         "duration_ms": "bigint", "explicit": "boolean", "danceability": "double", "energy": "double", "valence": "double",
+         "acousticness": "double", "instrumentalness": "double", "loudness": "double", "tempo": "double", "key": "int", "mode": "int",
+         "time_signature": "int", "release_date": "timestamp_ntz"}
+
+
+@query("quality_report", with_tracks(f"""
+, g AS (SELECT count(*) AS n FROM tracks GROUP BY ALL, {', '.join(TYPES)})
 SELECT 'summary' AS section, 'rows' AS item, CAST(sum(n) AS VARCHAR) AS value FROM g
-UNION ALL SELECT 'summary', 'columns', '3' UNION ALL SELECT 'summary', 'duplicate_rows', CAST(sum(n - 1) AS VARCHAR) FROM g
-UNION ALL SELECT 'missing', unnest(['track_genre', 'album_name', 'mode']), '0'
-UNION ALL SELECT 'dtype', unnest(['track_genre', 'album_name', 'mode']), unnest(['string', 'string', 'int'])"""))
+UNION ALL SELECT 'summary', 'columns', '{len(TYPES)}' UNION ALL SELECT 'summary', 'duplicate_rows', CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) FROM g
+UNION ALL """.replace("GROUP BY ALL, ", "GROUP BY ") + " UNION ALL ".join(
+    f"SELECT 'missing', '{c}', CAST(count(*) FILTER (WHERE {c} IS NULL) AS VARCHAR) FROM tracks UNION ALL SELECT 'dtype', '{c}', '{t}'"
+    for c, t in TYPES.items())))
 def quality_report(spark, sf):
-    return P.quality_report(tracks(spark, sf).select("track_genre", "album_name", "mode"))
+    return P.quality_report(tracks(spark, sf))
 
 
 @query("choices", with_tracks("SELECT DISTINCT track_genre FROM tracks"))

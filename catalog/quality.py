@@ -1,5 +1,7 @@
 """Model-quality queries over the stand-in predictions."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from catalog.registry import TRACK_FEATURES, preds, query, rd, rounded, table, tracks, with_preds
@@ -186,20 +188,26 @@ def predict_tier_q(spark, sf):
     return rounded(predict_tier(p).select("track_id", "score", "tier"))
 
 
+def _shown(col, fmt):
+    """A number in a text, its decimals rounded half up as they are written."""
+    before, digits, after = re.fullmatch(r"(.*)%\.(\d)f(.*)", fmt).groups()
+    return f"'{before}' || CAST(CAST(round(CAST(CAST({col} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DECIMAL(18, {digits})) AS VARCHAR) || '{after}'"
+
+
 def _recommend_sql(ruleset):
     branches = " UNION ALL ".join(f"""
-SELECT rid, track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, '{suggestion}' AS suggestion, '{impact}' AS impact, '{tip}' AS tip
-FROM t WHERE {col} {cond}""" for i, (factor, col, cond, _, suggestion, impact, tip) in enumerate(RECOMMENDATIONS[ruleset]))
+SELECT rid, track_id, {i} AS pos, '{factor}' AS factor, {col} AS current_value, {_shown(col, fmt)} AS current, '{suggestion}' AS suggestion, '{impact}' AS impact, '{tip}' AS tip
+FROM t WHERE {col} {cond}""" for i, (factor, col, cond, fmt, suggestion, impact, tip) in enumerate(RECOMMENDATIONS[ruleset]))
     return with_preds(f""", t AS (SELECT *, row_number() OVER () AS rid, duration_ms / 60000.0 AS duration_min FROM preds), r AS ({branches})
 SELECT track_id, row_number() OVER (PARTITION BY rid ORDER BY pos) AS rank, factor, {rd('current_value')} AS current_value,
-       suggestion, impact, tip FROM r""")
+       current, suggestion, impact, tip FROM r""")
 
 
 def _register_recommend(name, ruleset):
     @query(name, _recommend_sql(ruleset))
     def run(spark, sf):
         r = recommend(with_duration_min(tracks(spark, sf)), ["track_id"], ruleset)
-        return rounded(r.select("track_id", "rank", "factor", "current_value", "suggestion", "impact", "tip"))
+        return rounded(r.select("track_id", "rank", "factor", "current_value", "current", "suggestion", "impact", "tip"))
     return run
 
 
