@@ -142,3 +142,18 @@ def test_components_of_a_chain(spark):
     edges = spark.range(200).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     got = components(edges).collect()
     assert len(got) == 201 and {r.root for r in got} == {0}
+
+
+def test_counts_of_tables_in_changing_order(spark):
+    """Rows that are read in another order each time keep their own counts."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(("ab", "wort", "é日", "x" * 9, "\n")) for _ in range(rng.randint(100, 900)))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {i: len(model.encode(t)) for i, t in rows}
+    grouped = df.groupBy("doc_id").agg(F.first("text").alias("text"))
+    for table in (df.repartition(7), grouped, df.where("doc_id % 2 = 0").union(df.where("doc_id % 2 = 1").repartition(3)), df.orderBy(F.desc("text"))):
+        got = {r.doc_id: r.n_tokens for r in counts.token_counts(table, P.path("piece_bpe_32k.model"), chunk=500).collect()}
+        assert got == want

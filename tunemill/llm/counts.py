@@ -115,11 +115,10 @@ def _spliced(seams: DataFrame) -> DataFrame:
 
 
 def _huge(long: DataFrame, vocabulary: str, chunk: int, overlap: int) -> DataFrame:
-    """(doc_key, digest, n_bytes, n_tokens) of the long texts by one width of overlap, written."""
-    rows = long.withColumn("row", F.monotonically_increasing_id())
-    parts = _sliced(rows.select("row", "body"), chunk, overlap).repartition(partitions(long.sparkSession), "row", "chunk")
+    """(row, doc_key, n_bytes, n_tokens) of long texts with numbers, by one width of overlap, written."""
+    parts = _sliced(long.select("row", "body"), chunk, overlap).repartition(partitions(long.sparkSession), "row", "chunk")
     counted = _spliced(_encoded(parts, vocabulary, overlap))
-    known = rows.select("row", "doc_key", F.sha2("body", 256).alias("digest"), F.octet_length("body").cast("long").alias("n_bytes"))
+    known = long.select("row", "doc_key", F.octet_length("body").cast("long").alias("n_bytes"))
     return written(known.join(counted, "row"), "token-counts")
 
 
@@ -139,13 +138,15 @@ def token_counts(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
     size: Column = F.length("body")
     short = map_lists(whole.where(size <= chunk).select(F.col("doc_key").cast("long"), "body", F.octet_length("body").cast("long").alias("n_bytes")),
                       make, schema)
-    result, long = short, whole.where(size > chunk)
+    # Row numbers hold only for rows that are written: the input may come in another order when it is read again.
+    numbered = whole.where(size > chunk).select(F.col("doc_key").cast("long"), "body", F.monotonically_increasing_id().alias("row"))
+    result, long = short, written(numbered, "long-texts")
     while True:
         done = _huge(long, vocabulary, chunk, overlap)
-        result = result.unionByName(done.where("n_tokens IS NOT NULL").select(F.col("doc_key").cast("long"), "n_bytes", "n_tokens"))
-        failed = done.where("n_tokens IS NULL").select("digest").distinct()
+        result = result.unionByName(done.where("n_tokens IS NOT NULL").select("doc_key", "n_bytes", "n_tokens"))
+        failed = done.where("n_tokens IS NULL").select("row")
         if failed.isEmpty():
             break
-        long = long.join(failed, F.sha2("body", 256) == F.col("digest"), "left_semi")
+        long = long.join(failed, "row", "left_semi")
         overlap, chunk = overlap * WIDER, max(chunk, overlap * WIDER * 4)
     return result.select(F.col("doc_key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
