@@ -237,6 +237,23 @@ def permutation_importance(spark, sf):
     return X.permutation_importance(labelled(spark, sf), model, FEATURES, GOAL, KEY)
 
 
+EFFECTS = {"popularity": 0.5, "energy": 10.0, "valence": 5.0}
+
+
+@query("permutation_ranks", with_preds(" UNION ALL ".join(
+    f"SELECT {i} AS rank, '{c}' AS feature, {str(c not in EFFECTS).lower()} AS is_zero, true AS as_its_spread, count(*) AS rows FROM preds"
+    for i, c in enumerate([*EFFECTS, "acousticness", "tempo"], 1))))
+def permutation_ranks(spark, sf):
+    """The goal is linear, so an importance is near the effect times the spread times the root of 2, and 0 for idle features."""
+    data = labelled(spark, sf)
+    found = X.permutation_importance(data, M.fit_linear(training(spark, sf), FEATURES, GOAL), FEATURES, GOAL, KEY)
+    stats = data.agg(F.count(F.lit(1)).alias("n"), *[F.stddev_pop(c).alias(c) for c in FEATURES]).first()
+    rows = sorted(((r.feature, round(r.rmse_increase, 6)) for r in found.collect()), key=lambda r: (-r[1], r[0]))
+    near = lambda c, v: abs(v - EFFECTS.get(c, 0) * stats[c] * 2 ** 0.5) <= 0.05 * max(v, 1e-6)
+    return spark.createDataFrame([(i, c, v == 0, near(c, v), stats.n) for i, (c, v) in enumerate(rows, 1)],
+                                 "rank long, feature string, is_zero boolean, as_its_spread boolean, rows long")
+
+
 @query("train_and_compare")
 def train_and_compare(spark, sf):
     return T.train_and_compare(labelled(spark, sf), FEATURES, GOAL, {

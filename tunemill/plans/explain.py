@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tunemill.functions.sqltext import rows, text
-from tunemill.operators.ranks import global_index
 from tunemill.operators.sampling import hash_order, sample_n
+from tunemill.session import shared_dir
 
 MAX_DRAWS = 500
 
@@ -88,18 +93,46 @@ def explain_row(attributions: DataFrame, condition, features: list[str], top: in
             .where(F.col("rank") <= top).select("rank", "feature", "contribution", "running"))
 
 
-def permutation_importance(df: DataFrame, model, features: list[str], label: str, key: list[str],
-                           seed: int = 42) -> DataFrame:
-    """(feature, rmse_increase) when one feature is taken from another row.
+def with_previous(df: DataFrame, order: list, cols: list[str], prefix: str = "_d_") -> DataFrame:
+    """``df`` with the values of the row before in sort order, for the first row those of the last: one range exchange.
 
-    Rows are numbered in hash order once; every row then borrows from its successor, the last from the first.
+    Each sorted range shifts its rows as a stream. Only the last row of each range is passed on, to the first row of the next;
+    that is one row per range, which the session bounds. The shifted rows are checkpointed in the shared folder.
     """
+    spark = df.sparkSession
+    shared_dir(spark)
+    rows = df.withColumns({f"_o{i}": c for i, c in enumerate(order)})
+    by = [f"_o{i}" for i in range(len(order))]
+    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *by).sortWithinPartitions(*by).drop(*by)
+    fields = [T.StructField(f"{prefix}{c}", rows.schema[c].dataType) for c in cols]
+    schema = T.StructType([*rows.schema.fields, *fields, T.StructField("_part", T.LongType()), T.StructField("_at", T.LongType())])
+
+    def shift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, last = TaskContext.get().partitionId(), 0, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            own = [batch.column(batch.schema.get_field_index(c)) for c in cols]
+            before = [pa.concat_arrays([pa.nulls(1, c.type) if last is None else last[i], c.slice(0, n - 1)]) for i, c in enumerate(own)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *before, pa.array(np.full(n, part)), pa.array(np.arange(at, at + n))],
+                                             names=schema.names)
+            last, at = [c.slice(n - 1, 1) for c in own], at + n
+
+    shifted = rows.mapInArrow(shift, schema).checkpoint()
+    ends = shifted.groupBy("_part").agg(F.max_by(F.struct(*cols), "_at").alias("_own"))
+    parts, whole = W.orderBy("_part"), W.orderBy("_part").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    ends = ends.select("_part", F.lit(0).cast("long").alias("_at"), F.coalesce(F.lag("_own").over(parts), F.last("_own").over(whole)).alias("_before"))
+    joined = shifted.join(F.broadcast(ends), ["_part", "_at"], "left")
+    return joined.withColumns({f"{prefix}{c}": F.when(F.col("_at") == 0, F.col(f"_before.`{c}`")).otherwise(F.col(f"{prefix}{c}")) for c in cols}).drop(
+        "_part", "_at", "_before")
+
+
+def permutation_importance(df: DataFrame, model, features: list[str], label: str, key: list[str],
+                           seed: int = 42) -> DataFrame:
+    """(feature, rmse_increase) when one feature is taken from another row: the one before in hash order."""
     whole = df.dropna(subset=[*features, label]).select(*key, label, *features)
-    placed = global_index(whole.withColumn("_o", hash_order(key, seed)), ["_o"], "_i").drop("_o")
-    n = placed.count()
-    donors = placed.select(F.pmod(F.col("_i") - 1, F.lit(n)).alias("_i"),
-                           *[F.col(c).alias(f"_d_{c}") for c in features])
-    pairs = placed.join(donors, "_i")
+    pairs = with_previous(whole, [hash_order(key, seed)], features)
 
     # One pass scores every row with its own values and once more per feature with the donor's value.
     plain = {c: F.col(c).cast("double") for c in features}
