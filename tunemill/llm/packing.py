@@ -79,8 +79,8 @@ def packed(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "t
 
         def pack_rows(rows):
             out = {name: [] for name in PIECES.names}
-            for doc, body in zip(rows["doc_key"], rows["body"]):
-                ids = encoder.ids(body) + END
+            for doc, ids in zip(rows["doc_key"], encoder.many(rows["body"])):
+                ids += END
                 for piece, (start, length) in enumerate(cut(len(ids) // ID_BYTES, capacity)):
                     crc = zlib.crc32(ids[start * ID_BYTES:(start + length) * ID_BYTES])
                     for name, value in zip(PIECES.names, (doc, piece, start, length, crc, *sequences.place(length))):

@@ -188,8 +188,8 @@ def write_files(docs: DataFrame, folder: str, vocabulary: str, key: str = "doc_i
                                                "docs": [len(held)], "ids": [len(ids)]}, schema=MANIFEST)
 
         for batch in batches:
-            for k, body in zip(batch.column(0), batch.column(1)):
-                ids = encoder.ids(body.as_py()) + end
+            for k, ids in zip(batch.column(0), encoder.many(body.as_py() for body in batch.column(1))):
+                ids += end
                 held.append((k.as_py(), ids))
                 size += len(ids) // ID_BYTES
                 if size >= file_ids:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.llm.common import map_lists, worker_state
-from tunemill.llm.wordids import Recent, WordIds, pack
+from tunemill.llm.wordids import REMEMBERED, Remembered, WordIds, pack
 
 #: Moves that are kept before the table starts anew, and ids that are decoded at once.
 KEPT_MOVES, DECODED = 400_000, 1 << 16
@@ -170,8 +170,8 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.transducer = Transducer(load_ranks(path))
         self.find = regex.compile(pattern).findall
-        self.pieces = Recent(lambda piece: pack(self.transducer.encode(piece.encode())))
-        self.words = WordIds(lambda text: b"".join([self.pieces[piece] for piece in self.find(text)]))
+        self.pieces = Remembered(lambda piece: pack(self.transducer.encode(piece.encode())), REMEMBERED // 4)
+        self.words = WordIds(lambda texts: [b"".join([self.pieces[piece] for piece in self.find(text)]) for text in texts])
         self.table = self.transducer.tokens
 
     def encode(self, text: str | None) -> bytes:
