@@ -157,3 +157,33 @@ def test_counts_of_tables_in_changing_order(spark):
     for table in (df.repartition(7), grouped, df.where("doc_id % 2 = 0").union(df.where("doc_id % 2 = 1").repartition(3)), df.orderBy(F.desc("text"))):
         got = {r.doc_id: r.n_tokens for r in counts.token_counts(table, P.path("piece_bpe_32k.model"), chunk=500).collect()}
         assert got == want
+
+
+def test_package_with_a_comment_and_full_count(tmp_path):
+    """An end mark within the comment is none, and 65,535 members need no ZIP64 end."""
+    from pyarrow import fs
+
+    path = str(tmp_path / "p.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for i in range(65_535):
+            z.writestr(f"{i}", b"x" if i == 7 else b"")
+        z.comment = b"note PK\x05\x06" + b"\0" * 30
+    with fs.LocalFileSystem().open_input_file(path) as file:
+        members = warc.directory(file)
+        offset, size = warc.stored(members, "7")
+        assert len(members) == 65_535 and file.read_at(size, offset) == b"x"
+
+
+def test_ranges_of_many_records(tmp_path):
+    writer = warc.PackageWriter(str(tmp_path))
+    payloads = [bytes([i % 256]) * (i % 3000) for i in range(400)] + [random.Random(1).randbytes(200_000), b""]
+    for i, data in enumerate(payloads):
+        writer.add(i, warc.record(i, "http://a/", data, hashlib.sha256(data).hexdigest(), None, len(data)))
+    path, _ = writer.close()
+    from pyarrow import fs
+
+    with fs.LocalFileSystem().open_input_file(path) as file:
+        offset, size = warc.stored(warc.directory(file), warc.RECORDS)
+        assert [found for _, found in warc.read_range(file, offset, size)] == payloads
+        with pytest.raises(ValueError):
+            list(warc.read_range(file, offset, size - 5))

@@ -36,6 +36,8 @@ MIN_PAYLOAD, PACKAGE_BYTES, RANGE_BYTES, LEVEL = 100, 1 << 26, 1 << 22, 4
 RECORDS, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
 EPOCH = "1970-01-01T00:00:00Z"
 END, END64, LOCATOR64, ENTRY, LOCAL = b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07", b"PK\x01\x02", b"PK\x03\x04"
+#: Bytes that are handed to the decompressor at once.
+PORTION = 1 << 14
 FULL16, FULL32 = 0xFFFF, 0xFFFFFFFF
 
 
@@ -76,12 +78,15 @@ def directory(file) -> dict[str, tuple[int, int, int]]:
     tail_at = max(0, length - 22 - FULL16)
     tail = file.read_at(length - tail_at, tail_at)
     at = tail.rfind(END)
+    while at >= 0 and at + 22 + int.from_bytes(tail[at + 20:at + 22], "little") != len(tail):  # a mark within the comment
+        at = tail.rfind(END, 0, at)
     if at < 0:
         raise ValueError("not a ZIP package")
     count, size, start = struct.unpack("<HII", tail[at + 10:at + 20])
-    if count == FULL16 or size == FULL32 or start == FULL32:
-        if tail[at - 20:at - 16] != LOCATOR64:
-            raise ValueError("the ZIP64 locator is missing")
+    wide = tail[max(0, at - 20):max(0, at - 16)] == LOCATOR64
+    if (size == FULL32 or start == FULL32) and not wide:
+        raise ValueError("the ZIP64 locator is missing")
+    if wide:
         (end64,) = struct.unpack("<Q", tail[at - 12:at - 4])
         data = file.read_at(56, end64)
         if data[:4] != END64:
@@ -134,11 +139,17 @@ def stored(members: dict, name: str) -> tuple[int, int]:
 
 def read_range(file, offset: int, length: int) -> Iterator[tuple[dict[str, str], bytes]]:
     """All records whose gzip members fill a range of the package."""
-    data = file.read_at(length, offset)
-    while data:
-        unpacker = zlib.decompressobj(wbits=31)
-        yield parse(unpacker.decompress(data) + unpacker.flush())
-        data = unpacker.unused_data
+    data, at = memoryview(file.read_at(length, offset)), 0
+    while at < length:
+        unpacker, parts = zlib.decompressobj(wbits=31), []
+        while not unpacker.eof:
+            if at >= length:
+                raise ValueError("the range ends within a record")
+            portion = data[at:at + PORTION]  # what is left over of a portion is copied, so it is kept small
+            parts.append(unpacker.decompress(portion))
+            at += len(portion)
+        at -= len(unpacker.unused_data)
+        yield parse(b"".join(parts))
 
 
 class PackageWriter:
