@@ -82,13 +82,15 @@ def curve(df: DataFrame, model: Boosted, label: str, part: Column) -> DataFrame:
 
 
 def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str], label: str, trials: int = 50, seed: int = 42,
-           patience: int = PATIENCE, parallelism: int = 4, first_rung: int = FIRST_RUNG) -> tuple[dict, DataFrame]:
+           patience: int = PATIENCE, parallelism: int = 4, first_rung: int = FIRST_RUNG,
+           rungs: int | None = None) -> tuple[dict, DataFrame]:
     """Best parameters and the log (trial, params, rung, trees, best_round, rmse, is_best) of a search in rungs.
 
     ``kind`` is "gbt" or "forest"; ``df`` carries a ``split`` column. All trials get ``first_rung`` trees; the best share goes on
     to a rung with several times as many, until those left have all the trees they ask for. Boosting is cut by patience; a forest
     keeps what it has. Points that differ only in ``n_estimators`` share one ensemble. A trial is judged by its best error on
-    "val" in the highest rung it reached, the earlier one on ties. The rows are cached for the length of the search.
+    "val" in the highest rung it reached, the earlier one on ties. ``rungs`` ends the search early. The rows
+    are cached for the length of the search.
     """
     rng = random.Random(seed)
     points = [draw(space, rng) for _ in range(trials)]
@@ -108,7 +110,7 @@ def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str
     alive, rung, budget, results = list(range(trials)), 0, first_rung, {}
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            while alive:
+            while alive and (rungs is None or rung < rungs):
                 wanted: dict[str, int] = {}
                 for i in alive:
                     own = family(points[i])
