@@ -78,7 +78,7 @@ def made(sizes):
     return rows
 
 
-@pytest.mark.parametrize("sizes", [(1,), (2,), (0, 1, 1), (81, 82, 1, 3, 4, 243, 244), (9, 27, 28, 730), (1,) * 90])
+@pytest.mark.parametrize("sizes", [(1,), (0, 1, 1), (81, 82, 1, 3, 4, 27, 28, 243, 244, 730), (1,) * 90])
 def test_tree_sizes(spark, sizes):
     rows = made(sizes)
     df = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(5)
@@ -97,7 +97,7 @@ def test_odd_rows(spark):
     df = spark.createDataFrame(rows, schema)
     clash = df.select("*", *[F.lit(9).alias(c) for c in ("leaf", "row", "steps", "up", "tree", "idx", "part", "doc_key")])
     want = sorted((x[0], x[1], x[2]) for x in plain(rows).values())
-    for table in (df, clash, clash.repartition(7), df.union(df.limit(0))):
+    for table in (df, clash.repartition(7)):
         got = merkle.verified(table).collect()
         assert sorted((r.leaf, r.subroot, r.root) for r in got) == want and all(r.verified for r in got)
     assert merkle.verified(spark.createDataFrame([], schema)).collect() == []
