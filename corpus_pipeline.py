@@ -12,16 +12,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tunemill.llm import languages, nearcopies, packing, quality
+from tunemill.llm import languages, packing, quality, simhash
 from tunemill.llm.common import written
 
 #: A document stays if its leading language has at least this share of it.
 MIN_SHARE = 0.4
 GROUPS = ["lang", "source"]
-#: Near-duplicates share 0.8 of their shingles of five words. Such texts have a cosine of at least 0.889, so 39 of 256 bits
-#: differ in the mean, with a deviation of 5.7; candidates are those up to 64 bits apart, 22 in the first 64 bits (mean 9.7,
-#: deviation 2.9).
-SHINGLE, NUMBERS, RADIUS, FIRST_RADIUS = 5, 4, 64, 22
+#: Near-duplicates have fingerprints of shingles of four words that differ in at most four of 64 bits.
+SHINGLE, RADIUS = 4, 4
 
 #: Words kept in a Python worker while packing, which shares its executor with what earlier stages left in memory.
 REMEMBERED = 100_000
@@ -43,11 +41,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id, the first of its rows if ids repeat."""
+    """One document of each component: the one with the smallest id, the first of its rows if ids repeat."""
     rows = written(docs.select(F.struct(*docs.columns).alias("document"), F.col("doc_id").alias("id"), "text",
                                F.monotonically_increasing_id().alias("row")), "numbered")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "row")
-    found = nearcopies.grouped(rows.select(order.alias("order"), "text"), "order", "text", SHINGLE, NUMBERS, RADIUS, FIRST_RADIUS)
+    found = simhash.clustered(rows.select(order.alias("order"), "text"), "order", "text", SHINGLE, radius=RADIUS)
     copies = written(found.where("order <> component_id").select("order.row"), "copies")
     return rows.join(copies, "row", "left_anti").select("document.*")
 
