@@ -3,7 +3,7 @@
 Each document gets whole-number measures; each group of language and source gets a quantile sketch of every measure. A
 sketch is a histogram over buckets that grow with the value (exact below 64, then within 1/32), so sketches merge by
 adding counts, in any order and with one result. Small groups take the merged sketch of their language, or of everything.
-Fences around the quartiles, read from the sketches, are joined to the documents and decide.
+Fences beyond two percentiles of each measure, read from the sketches, are joined to the documents and decide.
 
 Defined cases: a null text has no words; null languages and sources form groups of their own; documents that fail the base
 rule teach nothing and are rejected; an empty table gives an empty result; repeated rows count each. Further columns are
@@ -26,8 +26,11 @@ COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_rep
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Documents that a group needs for thresholds of its own.
 MIN_DOCS = 200
-#: measure: (least distance of the fence from the quartile, in its unit; quartile distances; is there a lower fence)
-FENCES = {"symbols": (100, 4, False), "dup_lines": (400, 4, False), "repeats": (350, 4, False), "word_length": (80, 6, True)}
+#: measure: (lower and upper percentile read from the sketch, their distances from there to the fence, least distance of the
+#: fence in the measure's unit, is there a lower fence). Symbols and word length take quartiles, since a tenth of a source may
+#: be junk; repeated lines and words, which most texts lack and some good ones have, take the median and a far percentile.
+FENCES = {"symbols": (25, 75, 4, 100, False), "dup_lines": (50, 99, 2, 200, False), "repeats": (50, 98, 4, 150, False),
+          "word_length": (25, 75, 6, 80, True)}
 
 
 def count_words(text: str | None) -> tuple[int, ...]:
@@ -95,45 +98,53 @@ def sketches(counted: DataFrame, groups: list[str]) -> DataFrame:
             .groupBy(*groups, "v.measure", "v.bucket").agg(F.count("*").alias("n")))
 
 
-def quartiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups, measure, docs, q1, q3) from the buckets of each group; a group has a bounded number of buckets."""
+def percentiles(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, measure, docs, low, high): the two percentiles of ``FENCES``; a group has a bounded number of buckets."""
     by = Window.partitionBy(*groups, "measure")
     ranked = (sketch.withColumn("docs", F.sum("n").over(by))
               .withColumn("upto", F.sum("n").over(by.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("docs") * q, F.col("bucket")))
-    return (ranked.groupBy(*groups, "measure").agg(F.max("docs").alias("docs"), at(1).alias("b1"), at(3).alias("b3"))
-            .select(*groups, "measure", "docs", largest_in(F.col("b1")).alias("q1"), largest_in(F.col("b3")).alias("q3")))
+    at = lambda i: F.min(F.when(F.col("upto") * 100 >= F.col("docs") * _by_measure(i), F.col("bucket")))
+    return (ranked.groupBy(*groups, "measure").agg(F.max("docs").alias("docs"), at(0).alias("b_low"), at(1).alias("b_high"))
+            .select(*groups, "measure", "docs", largest_in(F.col("b_low")).alias("low"), largest_in(F.col("b_high")).alias("high")))
+
+
+def _by_measure(i: int) -> Column:
+    """The i-th number of ``FENCES`` for the measure of a row."""
+    found = F.lit(None).cast("long")
+    for name, numbers in FENCES.items():
+        found = F.when(F.col("measure") == name, F.lit(numbers[i])).otherwise(found)
+    return found
+
+
+def _limits(sketch: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups, limits) of one level of groups, from merged sketches."""
+    own = percentiles(sketch.groupBy(*groups, "measure", "bucket").agg(F.sum("n").alias("n")), groups)
+    own = own.withColumn("fence", F.greatest(_by_measure(3), (F.col("high") - F.col("low")) * _by_measure(2)))
+    found = own.groupBy(*groups).agg(
+        F.max("docs").alias("docs"),
+        *[F.max(F.when(F.col("measure") == m, F.col("high") + F.col("fence"))).alias(f"high_{m}") for m in FENCES],
+        *[F.max(F.when(F.col("measure") == m, F.col("low") - F.col("fence"))).alias(f"low_{m}")
+          for m, numbers in FENCES.items() if numbers[4]])
+    return found.select(*groups, F.struct(*found.columns[len(groups):]).alias("limits"))
 
 
 def thresholds(counted: DataFrame, groups: list[str]) -> DataFrame:
     """One row per group with ``low_<measure>`` and ``high_<measure>``; ``groups`` go from wide to narrow.
 
-    A group below ``MIN_DOCS`` documents takes the merged sketch of the next wider group that is large enough.
+    A group below ``MIN_DOCS`` documents takes the merged sketch of the next wider group that is large enough. The one row
+    of the whole table becomes a literal.
     """
-    sketch = written(sketches(counted, groups), "sketches").withColumn("whole", F.lit(1))
-    levels = [["whole", *groups[:i]] for i in range(len(groups), -1, -1)]
-    found = None
-    for depth, level in enumerate(levels):
-        merged = sketch.groupBy(*level, "measure", "bucket").agg(F.sum("n").alias("n"))
-        own = quartiles(merged, level)
-        fence = F.lit(None)
-        for name, (least, times, _) in FENCES.items():
-            fence = F.when(F.col("measure") == name, F.greatest(F.lit(least), (F.col("q3") - F.col("q1")) * times)).otherwise(fence)
-        own = own.withColumn("fence", fence.cast("long")).groupBy(*level).agg(
-            F.max("docs").alias("docs"),
-            *[F.max(F.when(F.col("measure") == m, F.col("q3") + F.col("fence"))).alias(f"high_{m}") for m in FENCES],
-            *[F.max(F.when(F.col("measure") == m, F.col("q1") - F.col("fence"))).alias(f"low_{m}")
-              for m, (_, _, low) in FENCES.items() if low])
-        limits = F.struct(*[c for c in own.columns if c not in level]).alias(f"t{depth}")
-        own = own.select(*level, limits)
-        if found is None:
-            found = own
-        else:
-            other = own.select(*[F.col(c).alias(f"o_{c}") for c in level], f"t{depth}")
-            on = [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in level]
-            found = found.join(other, on, "left").drop(*[f"o_{c}" for c in level])
-    enough = [F.when(F.col(f"t{d}.docs") >= MIN_DOCS, F.col(f"t{d}")) for d in range(len(levels) - 1)]
-    return written(found.select(*groups, F.coalesce(*enough, F.col(f"t{len(levels) - 1}")).alias("limits")), "thresholds")
+    sketch = written(sketches(counted, groups), "sketches")
+    found = _limits(sketch, groups).withColumnRenamed("limits", f"t{len(groups)}")
+    for depth in range(len(groups) - 1, 0, -1):
+        level = groups[:depth]
+        other = _limits(sketch, level).select(*[F.col(c).alias(f"o_{c}") for c in level], F.col("limits").alias(f"t{depth}"))
+        on = [F.col(c).eqNullSafe(F.col(f"o_{c}")) for c in level]
+        found = found.join(other, on, "left").drop(*[f"o_{c}" for c in level])
+    whole = _limits(sketch, []).first().limits.asDict()
+    enough = [F.when(F.col(f"t{d}.docs") >= MIN_DOCS, F.col(f"t{d}")) for d in range(len(groups), 0, -1)]
+    rest = F.struct(*[F.lit(v).cast("long").alias(c) for c, v in whole.items()])
+    return written(found.select(*groups, F.coalesce(*enough, rest).alias("limits")), "thresholds")
 
 
 def verdict() -> Column:
@@ -141,7 +152,7 @@ def verdict() -> Column:
     inside = F.lit(True)
     for name, value in _measures().items():
         inside = inside & F.coalesce(value <= F.col(f"limits.high_{name}"), F.lit(True))
-        if FENCES[name][2]:
+        if FENCES[name][4]:
             inside = inside & F.coalesce(value >= F.col(f"limits.low_{name}"), F.lit(True))
     return ~F.col("base_failed") & inside
 

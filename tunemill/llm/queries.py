@@ -88,16 +88,17 @@ _WORD = r"[^\x20\x09-\x0D]"
 def _level(name: str, columns: str) -> str:
     """Fences of one level of groups, from merged sketches."""
     by = f"PARTITION BY {columns}measure"
-    fence = " ".join(f"WHEN '{m}' THEN greatest({least}, (q3 - q1) * {times})" for m, (least, times, _) in quality.FENCES.items())
+    fence = " ".join(f"WHEN '{m}' THEN greatest({least}, (q3 - q1) * {times})" for m, (_, _, times, least, _) in quality.FENCES.items())
+    share = lambda i: "CASE measure " + " ".join(f"WHEN '{m}' THEN {f[i]}" for m, f in quality.FENCES.items()) + " END"
     highs = ", ".join(f"max(q3 + fence) FILTER (measure = '{m}') AS high_{m}" for m in quality.FENCES)
-    lows = ", ".join(f"max(q1 - fence) FILTER (measure = '{m}') AS low_{m}" for m, f in quality.FENCES.items() if f[2])
+    lows = ", ".join(f"max(q1 - fence) FILTER (measure = '{m}') AS low_{m}" for m, f in quality.FENCES.items() if f[4])
     largest = lambda b: f"((({b} - greatest({b} // 32 - 1, 0) * 32 + 1) << greatest({b} // 32 - 1, 0)) - 1)"
     return f"""
 {name} AS (
   SELECT {columns} max(docs) AS docs, {highs}, {lows} FROM (
     SELECT *, CASE measure {fence} END AS fence FROM (
-      SELECT {columns} measure, max(docs) AS docs, {largest("min(b) FILTER (upto * 4 >= docs)")} AS q1,
-             {largest("min(b) FILTER (upto * 4 >= docs * 3)")} AS q3
+      SELECT {columns} measure, max(docs) AS docs, {largest(f"min(b) FILTER (upto * 100 >= docs * {share(0)})")} AS q1,
+             {largest(f"min(b) FILTER (upto * 100 >= docs * {share(1)})")} AS q3
       FROM (SELECT *, sum(n) OVER ({by}) AS docs, sum(n) OVER ({by} ORDER BY b) AS upto
             FROM (SELECT {columns} measure, b, sum(n) AS n FROM sketch GROUP BY ALL))
       GROUP BY ALL)) GROUP BY ALL)"""
