@@ -11,17 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tunemill.operators.ranks import global_index
-from tunemill.session import scratch_path
+from tunemill.operators.cells import neighbours, of_length, unit
 
 SEEDS_PER_PASS = 1000
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    length = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.where(length == 0, 1.0, length)
-
-
 def _leading(seed: np.ndarray, ids: np.ndarray, score: np.ndarray, n: int) -> np.ndarray:
     """Positions of the ``n`` best candidates of each seed, smaller ids first among equal scores."""
     order = np.lexsort((ids, -score, seed))
@@ -37,9 +31,8 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
 
     ``score = weight * similarity + (1 - weight) * extra``, rounded before ranking; ties go to the smaller id. Whole
     numbers stay 64-bit ids, other ids are texts. Rows without id or vector are left out; vectors must have one length.
-    Each task multiplies its batches with a block of seed vectors and keeps ``n`` rows per seed, so that no item x seed
-    table is built. The driver holds one block of seeds; a longer list is worked off block by block into a table in the
-    shared folder.
+    Up to ``SEEDS_PER_PASS`` seeds go to every task, which multiplies its batches with them and keeps ``n`` rows per seed,
+    so that no item x seed table is built. More seeds are searched in cells (:mod:`tunemill.operators.cells`).
     """
     kind = "long" if isinstance(items.schema[id_col].dataType, T.IntegralType) else "string"
     known = "v IS NOT NULL AND id IS NOT NULL"
@@ -54,9 +47,7 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
         if any(len(v) != size for _, v in block):
             raise ValueError("the vectors of the seeds differ in length")
         seed_ids = np.array([i for i, _ in block], dtype=id_type)
-        matrix = _unit(np.array([v for _, v in block], dtype="float64"))
-        right_size = F.when(F.size("v") == size, True).otherwise(
-            F.raise_error(F.concat(F.lit(f"a vector has not the {size} numbers of the seeds: item "), F.col("id").cast("string"))).cast("boolean"))
+        matrix = unit(np.array([v for _, v in block], dtype="float64"))
 
         def local_top(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             best = (np.empty(0, "int64"), np.empty(0, id_type), np.empty(0), np.empty(0))
@@ -64,7 +55,7 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
                 if batch.empty:
                     continue
                 ids = batch["id"].to_numpy().astype(id_type)
-                sims = matrix @ _unit(np.stack(batch["v"].to_numpy())).T
+                sims = matrix @ unit(np.stack(batch["v"].to_numpy())).T
                 score = np.round(weight * sims + (1.0 - weight) * batch["extra"].to_numpy()[None, :], digits)
                 score[(seed_ids[:, None] == ids[None, :]) | ~np.isfinite(score)] = -np.inf
                 cut = np.partition(score, -n, axis=1)[:, -n, None] if score.shape[1] > n else -np.inf
@@ -75,18 +66,12 @@ def similar_items(items: DataFrame, seeds: DataFrame, id_col: str, vector: Colum
                 best = tuple(column[keep] for column in best)
             yield pd.DataFrame({"seed_id": seed_ids[best[0]], "item_id": best[1], "similarity": best[2], "score": best[3]})
 
-        return rows.where(right_size).mapInPandas(local_top, schema)
+        return rows.where(of_length(size)).mapInPandas(local_top, schema)
 
     first = requests.limit(SEEDS_PER_PASS + 1).collect()
     if len(first) <= SEEDS_PER_PASS:
         found = pass_over(first) if first else items.sparkSession.createDataFrame([], schema)
     else:
-        path = scratch_path(items.sparkSession, "similar")
-        numbered = global_index(requests, ["id"], "place").persist()
-        for start in range(0, numbered.count(), SEEDS_PER_PASS):
-            block = numbered.where(F.col("place").between(start, start + SEEDS_PER_PASS - 1)).select("id", "v").collect()
-            pass_over(block).write.mode("append").parquet(path)
-        numbered.unpersist()
-        found = items.sparkSession.read.schema(schema).parquet(path)
+        found, _ = neighbours(rows, requests, n, weight, digits)
     best = W.partitionBy("seed_id").orderBy(F.desc("score"), "item_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
