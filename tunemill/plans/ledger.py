@@ -54,9 +54,10 @@ class RunLedger:
         rows = [(run_id, k, json.dumps(v) if isinstance(v, (dict, list, tuple)) else str(v)) for k, v in params.items()]
         self._append("params", self.spark.createDataFrame(rows, PARAMS))
 
-    def log_metrics(self, run_id: str, metrics: dict[str, float], step: int = 0) -> None:
+    def log_metrics(self, run_id: str, metrics: dict[str, float | None], step: int = 0) -> None:
+        """A metric without a value, such as R2 of a goal that never varies, is kept as null."""
         now = dt.datetime.now()
-        rows = [(run_id, k, step, float(v), now) for k, v in metrics.items()]
+        rows = [(run_id, k, step, None if v is None else float(v), now) for k, v in metrics.items()]
         self._append("metrics", self.spark.createDataFrame(rows, METRICS))
 
     # ---- many runs at once ----
