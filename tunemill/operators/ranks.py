@@ -24,6 +24,10 @@ from tunemill.operators.sides import checked
 from tunemill.session import shared_dir
 
 
+#: Ranges at most. Their bounds come from rows of every range that the driver holds, so their number must not grow with the table.
+MAX_RANGES = 1024
+
+
 def value_counts_long(df: DataFrame, cols: list[str], keys: list[str] = (), carry: str | None = None) -> DataFrame:
     """(keys, feature, value, cnt) over the non-missing values; rows with a null key are left out.
 
@@ -79,6 +83,7 @@ def rank_counts(counts: DataFrame, group: list[str], value: str = "value", max_v
 
     ``counts`` has one row per group and value, with the rows in ``cnt``; groups and values are not null. One range exchange
     sorts them; ranges number their rows as a stream, and a table with one row per range and group brings in what lies before.
+    ``max_values`` asks for ranges of about so many values, in up to ``MAX_RANGES`` ranges; longer ranges are streamed alike.
     The numbered rows are checkpointed in the shared folder, so both agree even after an executor is lost.
     """
     spark = counts.sparkSession
@@ -87,7 +92,7 @@ def rank_counts(counts: DataFrame, group: list[str], value: str = "value", max_v
     chosen = counts.select(*group, *[c for c in carried if c not in (*group, "cnt")], F.col("cnt").cast("long").alias("cnt"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if max_values is not None:
-        parts = max(2, math.ceil(counts.count() / max_values))
+        parts = min(MAX_RANGES, max(2, math.ceil(counts.count() / max_values)))
     ordered = chosen.repartitionByRange(parts, *group, value).sortWithinPartitions(*group, value)
     schema = T.StructType([*chosen.schema.fields, T.StructField("_part", T.LongType()), T.StructField("_below", T.LongType())])
     placed = ordered.mapInArrow(_running(len(group)), schema).checkpoint()
