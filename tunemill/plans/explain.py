@@ -6,6 +6,7 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.functions import array_to_vector
@@ -13,9 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import pandas_udf
 
 from tunemill.functions.sqltext import rows, text
 from tunemill.operators.sampling import hash_order, sample_n
+from tunemill.plans.trees import Trees, pack
 from tunemill.session import shared_dir
 
 MAX_DRAWS = 500
@@ -39,10 +42,12 @@ def shapley(df: DataFrame, model, features: list[str], background: DataFrame, ke
         turn = [0] * d
         for position, j in enumerate(order):
             turn[j] = position + 1
-        plans.append(F.struct(F.array(*[F.lit(t) for t in turn]).alias("turn"),
-                              F.array(*[F.lit(v) for v in base_rows[i % len(base_rows)]]).alias("bg")))
+        plans.append((turn, list(base_rows[i % len(base_rows)])))
     inputs = df.dropna(subset=features).select(*key, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
-    steps = (inputs.select("*", F.inline(F.array(*plans)))
+    if hasattr(model, "trees"):
+        return _tree_parts(inputs, pack(df.sparkSession, model), plans, features, key)
+    each = F.array(*[F.struct(F.array(*[F.lit(t) for t in turn]).alias("turn"), F.array(*[F.lit(v) for v in bg]).alias("bg")) for turn, bg in plans])
+    steps = (inputs.select("*", F.inline(each))
              .select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("step")))
     mixed = F.transform("x", lambda value, j: F.when(F.get("turn", j) <= F.col("step"), value)
                         .otherwise(F.get("bg", j)))
@@ -58,6 +63,35 @@ def shapley(df: DataFrame, model, features: list[str], background: DataFrame, ke
         *[part(j).alias(c) for j, c in enumerate(features)])
 
 
+def _tree_parts(inputs: DataFrame, trees: Trees, plans: list[tuple[list, list]], features: list[str], key: list[str]) -> DataFrame:
+    """Base, prediction and parts of every row from the packed trees: the mixed rows of all draws exist only within a task.
+
+    Rows with equal key are put together as the mixed rows would be: bases and predictions averaged, parts summed.
+    """
+    held, d = inputs.sparkSession.sparkContext.broadcast(trees), len(features)
+    known = [trees.total(np.array([bg], float))[0] for _, bg in plans]
+
+    @pandas_udf("array<double>")
+    def parts(x: pd.Series) -> pd.Series:
+        if not len(x):
+            return pd.Series([], dtype=object)
+        rows = np.stack(x.to_numpy())
+        own, sums = held.value.total(rows), np.zeros((len(rows), d))
+        for (turn, bg), start in zip(plans, known):
+            before = np.full(len(rows), start)
+            for step in range(1, d + 1):
+                # The row has taken over every feature at the last step.
+                now = own if step == d else held.value.total(np.where(np.array(turn) <= step, rows, np.array(bg, float)))
+                sums[:, turn.index(step)] += now - before
+                before = now
+        return pd.Series(list(np.column_stack([own, sums / len(plans)])))
+
+    found = inputs.select(*key, parts("x").alias("_found"))
+    return found.groupBy(*key).agg(
+        F.avg(F.lit(float(np.mean(known)))).alias("base"), F.avg(F.get("_found", F.lit(0))).alias("prediction"),
+        *[F.sum(F.get("_found", F.lit(j + 1))).alias(c) for j, c in enumerate(features)])
+
+
 def linear_attributions(df: DataFrame, model, features: list[str], key: list[str]) -> DataFrame:
     """The exact attributions of a linear model: coefficient times distance from the mean."""
     means = df.agg(*[F.avg(c).alias(c) for c in features]).first()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -68,19 +69,26 @@ class Trees:
             level = np.concatenate([self.left[level], self.right[level]])
         return int(reach - self.roots[tree] + 1)
 
+    @cached_property
+    def _steps(self) -> tuple[np.ndarray, np.ndarray]:
+        """Feature to look at and the two next nodes of each node; a leaf leads to itself, so that a walk needs no test for it."""
+        inner, own = self.feature != LEAF, np.arange(len(self.feature))
+        follow = np.column_stack([np.where(inner, self.left, own), np.where(inner, self.right, own)]).astype(np.int32)
+        return np.maximum(self.feature, 0), follow.ravel()
+
     def each(self, x: np.ndarray) -> np.ndarray:
         """(rows, trees): the value of every tree for every row, times the tree's weight."""
         out = np.empty((len(x), len(self)))
         rows = max(1, WALKED // max(1, len(self)))
+        feature, follow = self._steps
         for at in range(0, len(x), rows):
             part = x[at:at + rows]
-            node = np.tile(self.roots, (len(part), 1))
-            own = np.arange(len(part))[:, None]
+            flat, node = part.ravel(), np.tile(self.roots, len(part))
+            own = np.repeat(np.arange(len(part), dtype=np.int32) * x.shape[1], len(self))
             for _ in range(self.depth):
-                feature = self.feature[node]
-                goes_left = part[own, np.maximum(feature, 0)] <= self.cut[node]
-                node = np.where(feature == LEAF, node, np.where(goes_left, self.left[node], self.right[node]))
-            out[at:at + rows] = self.value[node] * self.weights
+                goes_left = flat.take(own + feature.take(node)) <= self.cut.take(node)
+                node = follow.take(2 * node + ~goes_left)
+            out[at:at + rows] = self.value.take(node).reshape(len(part), len(self)) * self.weights
         return out
 
 
