@@ -51,12 +51,17 @@ def fitted(spark, sf, name, fit):
     return _FITTED[key]
 
 
+def merged(df):
+    """Not more partitions than tasks run at a time (8 at least), since learners start many jobs over the same rows."""
+    return df.coalesce(max(8, df.sparkSession.sparkContext.defaultParallelism))
+
+
 def forest(spark, sf):
-    return fitted(spark, sf, "forest", lambda: M.fit_forest(training(spark, sf).coalesce(8), FEATURES, GOAL, FOREST))
+    return fitted(spark, sf, "forest", lambda: M.fit_forest(merged(training(spark, sf)), FEATURES, GOAL, FOREST))
 
 
 def boosted(spark, sf):
-    rows = labelled(spark, sf).where(F.col("split") != "test").coalesce(8)
+    rows = merged(labelled(spark, sf).where(F.col("split") != "test"))
     return fitted(spark, sf, "boosted", lambda: B.fit_boosting(rows, FEATURES, GOAL, BOOST, validation=F.col("split") == "val", patience=PATIENCE))
 
 
@@ -176,7 +181,7 @@ TRIALS, RUNGS = {"gbt": 12, "forest": 6}, {"gbt": 2, "forest": 2}
 
 def searched(spark, sf, kind, space):
     """The search over the whole space, made once per session and table."""
-    data = labelled(spark, sf).coalesce(8)
+    data = merged(labelled(spark, sf))
     return fitted(spark, sf, f"search-{kind}", lambda: B.search(data, kind, space, FEATURES, GOAL, TRIALS[kind], patience=PATIENCE, rungs=RUNGS[kind]))
 
 
