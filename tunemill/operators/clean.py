@@ -12,6 +12,7 @@ from tunemill.functions.sqltext import name
 from tunemill.operators.columns import available, numeric_cols, string_cols
 from tunemill.operators.ranks import quantiles
 from tunemill.presets import AUDIO_FEATURES, CLEAN_RULES, TARGET
+from tunemill.session import shared_dir
 
 
 def missing_sql(df: DataFrame, col: str) -> str:
@@ -145,15 +146,35 @@ def validate(df: DataFrame, rules: dict[str, str] | None = None, strict: bool =
     return result
 
 
+#: Repeated hashes (8 bytes each) that are broadcast at most.
+MAX_REPEATED = 1_000_000
+
+
+def spare_copies(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(spare): rows beyond the first of each group of rows that are equal in ``cols``.
+
+    Equal rows have equal hashes, so only rows whose 64-bit hash occurs again are compared in full; the others send nothing
+    but their hash. With more than ``MAX_REPEATED`` repeated hashes, which are checkpointed in the shared folder, all rows
+    are grouped.
+    """
+    shared_dir(df.sparkSession)
+    own = F.xxhash64(*cols)
+    repeated = df.groupBy(own.alias("_hash")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_hash").checkpoint()
+    rows = df
+    if repeated.count() <= MAX_REPEATED:
+        rows = df.join(F.broadcast(repeated), own == repeated["_hash"], "left_semi")
+    groups = rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("spare"))
+
+
 def cleaning_report(df: DataFrame, keys: list[str] | None = None, by: str = TARGET) -> DataFrame:
-    """Rows removed per cleaning step, counted in one pass by successive grouping."""
+    """Rows removed per cleaning step: exact copies by their hashes, recordings from one grouping by ``keys``."""
     keys = available(df, keys or AUDIO_FEATURES)
-    rows = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    recordings = rows.groupBy(*keys).agg(
-        F.sum("_copies").alias("_rows"), F.count(F.lit(1)).alias("_distinct"), F.max(by).alias("_best"))
-    totals = recordings.agg(
-        F.sum("_rows").alias("initial"), F.sum("_distinct").alias("after_exact"),
-        F.count(F.lit(1)).alias("after_copies"), F.count_if(F.col("_best") > 0).alias("final"))
+    recordings = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.max(by).alias("_best"))
+    counts = recordings.agg(
+        F.sum("_rows").alias("initial"), F.count(F.lit(1)).alias("after_copies"), F.count_if(F.col("_best") > 0).alias("final"))
+    # Both sides have one row.
+    totals = counts.crossJoin(spare_copies(df, df.columns)).withColumn("after_exact", F.col("initial") - F.col("spare"))
     steps = [("exact_duplicates", "initial", "after_exact"), ("feature_duplicates", "after_exact", "after_copies"),
              ("zero_target", "after_copies", "final"), ("total", "initial", "final")]
     entries = F.array(*[
