@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tunemill.functions.bins import fixed_width_bin
 from tunemill.functions.sqltext import as_double, name, rows, text
-from tunemill.operators.clean import medians, missing_sql
+from tunemill.operators.clean import medians, missing_sql, spare_copies
 from tunemill.operators.columns import numeric_cols
 from tunemill.operators.ranks import quantiles, value_counts_long
 from tunemill.operators.sides import checked
@@ -39,8 +39,7 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 def duplicate_count(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """Rows beyond the first of each group of equal rows."""
-    groups = df.groupBy(*(subset or df.columns)).agg(F.count(F.lit(1)).alias("copies"))
-    return groups.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicates"))
+    return spare_copies(df, subset or df.columns).select(F.col("spare").alias("duplicates"))
 
 
 def dtypes_table(df: DataFrame) -> DataFrame:
@@ -188,12 +187,8 @@ def with_profile_shares(row: DataFrame) -> DataFrame:
 def quality_report(df: DataFrame, key_columns: list[str] | None = None) -> DataFrame:
     """(section, item, value) rows: size, duplicate rows, missing values and types."""
     cols = df.columns
-    sizes = df.groupBy(*(key_columns or cols)).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.expr(f"count_if({missing_sql(df, c)}) AS n{i}") for i, c in enumerate(cols)])
-    totals = sizes.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-        *[F.expr(f"coalesce(sum(n{i}), 0) AS n{i}") for i in range(len(cols))])
+    sizes = df.agg(F.count(F.lit(1)).alias("rows"), *[F.expr(f"count_if({missing_sql(df, c)}) AS n{i}") for i, c in enumerate(cols)])
+    totals = sizes.crossJoin(duplicate_count(df, key_columns))  # both sides have one row
 
     def entry(section, item, value):
         return {"section": text(section), "item": text(item), "value": f"CAST({value} AS STRING)"}
