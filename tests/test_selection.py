@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tunemill.operators import selection
 from tunemill.operators.ranks import quantiles
 from tunemill.operators.selection import selected
 
@@ -87,3 +88,12 @@ def test_ranks_across_ranges_and_batches(spark, table):
     have = {(r.k, r.even): (r.before, r.n) for r in got.itertuples()}
     sizes = own.groupby("k").size()
     assert all(have[k, v] == (b, sizes[k]) for k, v, b in zip(own.k, own.even, want))
+
+
+def test_slots_are_compiled_comparisons(spark):
+    """Intervals may overlap; a value in none lies in the range between two ends."""
+    begun, ended = selection._begun_and_ended("v", ["1.0D", "3.0D", "2.0D", "4.0D", "4.0D", "4.0D"])
+    df = spark.createDataFrame([(0.5,), (1.0,), (2.5,), (3.5,), (4.0,), (5.0,)], "v double").select((begun + ended).alias("slot"), (begun > ended).alias("inside"))
+    assert [tuple(r) for r in df.collect()] == [(0, False), (1, True), (2, True), (3, True), (4, True), (6, False)]
+    plan = df._jdf.queryExecution().toString()
+    assert "lambda" not in plan and "transform(" not in plan

@@ -12,24 +12,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tunemill.functions.sqltext import as_double
+from tunemill.functions.sqltext import as_double, number
 from tunemill.operators.sides import checked
+from tunemill.session import shared_dir
 
 #: The sketch is wrong by one in so many rows at most. Intervals reach twice as far to either side.
 ACCURACY, MARGIN = 10_000, 2
 
 
-def _slots(value: Column, edges: Column | None) -> tuple[Column, Column]:
-    """(slot, inside): number of the range that a value lies in, and whether that range belongs to an interval.
+def _begun_and_ended(value: str, edges: list[str]) -> tuple[Column, Column]:
+    """Number of intervals that begin at or below a value, and of those that end below it.
 
-    ``edges`` holds the lower and the upper end of each interval in turn. Intervals may overlap: a slot starts at every end, so
-    it is inside or outside as a whole.
+    ``edges`` holds the lower and the upper end of each interval in turn, as SQL text. Intervals may overlap: a value lies in
+    one if more have begun than ended, and the sum of both numbers is the range between two ends that it lies in. Plain sums
+    of comparisons become compiled code, which functions over arrays do not.
     """
-    if edges is None:
-        return F.lit(0), F.lit(False)
-    ends = F.transform(edges, lambda e, i: F.when(i % 2 == 0, value >= e).otherwise(value > e).cast("int"))
-    inside = F.exists(F.transform(edges, lambda e, i: F.when(i % 2 == 0, (value >= e) & (value <= F.get(edges, i + 1)))), lambda x: F.coalesce(x, F.lit(False)))
-    return F.coalesce(F.aggregate(ends, F.lit(0), lambda a, x: a + x), F.lit(0)), F.coalesce(inside, F.lit(False))
+    sums = [" + ".join(["0", *[f"CAST({value} {test} {e} AS INT)" for e in own]]) for test, own in ((">=", edges[::2]), (">", edges[1::2]))]
+    return F.expr(sums[0]), F.expr(sums[1])
 
 
 def selected(df: DataFrame, cols: list[str], probs: dict[str, float], keys: list[str] = (), accuracy: int = ACCURACY) -> DataFrame:
@@ -46,19 +45,21 @@ def selected(df: DataFrame, cols: list[str], probs: dict[str, float], keys: list
     sketch = rows.groupBy(*slots).agg(*[F.percentile_approx(f"_v{i}", shares, accuracy).alias(f"_e{i}") for i in range(len(cols))])
     if slots:
         placed = rows.join(checked(sketch), slots)
-        edges = [F.col(f"_e{i}") for i in range(len(cols))]
+        edges = [[f"get(_e{i}, {j})" for j in range(len(shares))] for i in range(len(cols))]
     else:
         found = sketch.first()
         placed = rows
-        edges = [F.array(*[F.lit(x) for x in found[i]]) if found[i] else None for i in range(len(cols))]
+        edges = [[number(x) for x in found[i] or []] for i in range(len(cols))]
     each = []
     for i, own in enumerate(edges):
-        value = F.col(f"_v{i}")
-        slot, inside = _slots(value, own)
-        each.append(F.struct(F.lit(i).alias("feature"), slot.alias("slot"), F.when(inside, value).alias("kept"), value.alias("value")))
+        begun, ended = _begun_and_ended(f"_v{i}", own)
+        each.append(F.struct(F.lit(i).alias("feature"), begun.alias("begun"), ended.alias("ended"), F.col(f"_v{i}").alias("value")))
     group = [*slots, "feature"]
-    long = placed.select(*slots, F.inline(F.array(*each))).where(F.col("value").isNotNull())
-    counts = long.groupBy(*group, "slot", "kept").agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("least"), F.max("value").alias("most"))
+    long = placed.select(*slots, F.inline(F.array(*each))).where(F.col("value").isNotNull()).select(
+        *group, (F.col("begun") + F.col("ended")).alias("slot"), F.when(F.col("begun") > F.col("ended"), F.col("value")).alias("kept"), "value")
+    shared_dir(df.sparkSession)
+    # Both the offsets and the ranks are made of the counts, which are far fewer than the rows.
+    counts = long.groupBy(*group, "slot", "kept").agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("least"), F.max("value").alias("most")).checkpoint()
     whole, order = W.partitionBy(*group), W.partitionBy(*group).orderBy("slot")
     offsets = counts.groupBy(*group, "slot").agg(F.sum("cnt").alias("own")).select(
         *group, "slot", (F.sum("own").over(order) - F.col("own")).alias("offset"), F.sum("own").over(whole).alias("n"))
