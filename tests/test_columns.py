@@ -152,3 +152,10 @@ def test_request_row_gets_the_columns_of_training(spark):
     assert a.columns == b.columns
     assert b.first().track_genre_encoded == 0
     assert a.first()["mood_energy_Sad/Low Energy"] == 0 and a.first().high_energy_happy == 1
+
+
+def test_inverse_normal_is_one_batch_function(spark):
+    """Null outside 0 to 1; the plan holds no ratio of polynomials for each use."""
+    df = spark.createDataFrame([(0.0,), (1.0,), (None,), (float("nan"),), (-1.0,), (0.5,)], "p double").select(inverse_normal(F.col("p")).alias("y"))
+    assert [r.y for r in df.collect()] == [None] * 5 + [0.0]
+    assert "ArrowEvalPython" in df._jdf.queryExecution().toString()

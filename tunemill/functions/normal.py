@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,19 +33,29 @@ TAIL = (
 )
 
 
-def _ratio(coefficients, x: Column) -> Column:
-    top, bottom = (reduce(lambda acc, c: acc * x + F.lit(c), side[1:], F.lit(side[0])) for side in coefficients)
+def _ratio(coefficients, x: np.ndarray) -> np.ndarray:
+    top, bottom = (reduce(lambda acc, c: acc * x + c, side[1:], side[0]) for side in coefficients)
     return top / bottom
 
 
+@F.pandas_udf(T.DoubleType())
+def _inverse_normal(shares: pd.Series) -> pd.Series:
+    p = shares.to_numpy(float)
+    inside = (p > 0) & (p < 1)
+    p = np.where(inside, p, 0.5)
+    q = p - 0.5
+    r = np.sqrt(-np.log(np.minimum(p, 1.0 - p)))
+    tail = np.where(r <= 5.0, _ratio(SHOULDER, r - 1.6), _ratio(TAIL, r - 5.0))
+    centre = q * _ratio(CENTRE, 0.180625 - q * q)
+    return pd.Series(np.where(inside, np.where(np.abs(q) <= 0.425, centre, np.sign(q) * tail), np.nan))
+
+
 def inverse_normal(p: Column) -> Column:
-    """Standard normal quantile for 0 < p < 1."""
-    q = p - F.lit(0.5)
-    r = F.sqrt(-F.log(F.least(p, F.lit(1.0) - p)))
-    tail = F.when(r <= 5.0, _ratio(SHOULDER, r - F.lit(1.6))).otherwise(_ratio(TAIL, r - F.lit(5.0)))
-    centre = q * _ratio(CENTRE, F.lit(0.180625) - q * q)
-    value = F.when(F.abs(q) <= 0.425, centre).otherwise(F.signum(q) * tail)
-    return F.when((p > 0) & (p < 1), value)
+    """Standard normal quantile for 0 < p < 1, else null.
+
+    Evaluated for whole Arrow batches: as one expression the three ratios are too long a method for Java to compile.
+    """
+    return _inverse_normal(p)
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
