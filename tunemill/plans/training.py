@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -57,6 +58,17 @@ def train_and_compare(df: DataFrame, features: list[str], label: str = TARGET, m
     return compare_models(table, "model", baseline)
 
 
+#: Rows in a partition that learners are given at most; they keep a partition as one block and read it again for every level.
+LEARNER_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` dealt anew if a partition holds more than ``LEARNER_ROWS`` rows, so that blocks do not grow with the table."""
+    sizes = df.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    found = sizes.agg(F.max("n").alias("most"), F.sum("n").alias("rows")).first()
+    return df.repartition(math.ceil(found.rows / LEARNER_ROWS)) if (found.most or 0) > LEARNER_ROWS else df
+
+
 def train_enriched(df: DataFrame, audio: list[str], artist: list[str] = tuple(ARTIST_FEATURES), label: str = TARGET,
                    params: dict | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Boosting on audio and artist features next to audio alone.
@@ -66,8 +78,7 @@ def train_enriched(df: DataFrame, audio: list[str], artist: list[str] = tuple(AR
     """
     artist = [c for c in artist if c in df.columns]
     both = [*audio, *artist]
-    filled = impute(df.select(*both, label, "split"),
-                    {**{c: 0.0 for c in audio}, **{c: "median" for c in artist}}).persist()
+    filled = bounded(impute(df.select(*both, label, "split"), {**{c: 0.0 for c in audio}, **{c: "median" for c in artist}})).persist()
     table = train_and_compare(filled, audio, label, {"audio": ("gbt", params)}, "audio", seed).drop(
         "rank", "gain", "gain_pct", "is_best")
     model = _fit("gbt", filled, both, label, params, seed)
