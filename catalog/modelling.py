@@ -120,7 +120,9 @@ def gbt_rounds(spark, sf):
     """What must hold of a model cut by patience: each error recomputed from scores of rows, the best round from the errors."""
     model, data = boosted(spark, sf), labelled(spark, sf)
     scored = model.score(data)
+    # A line per round and split: walked once, since three of the tables below are made of them.
     errors = B.curve(data, model, GOAL, F.col("split"))
+    errors = spark.createDataFrame(errors.collect(), errors.schema)
     val = errors.where(F.col("part") == "val")
     low = val.where(F.col("round") <= model.last).agg(F.min(F.struct("rmse", "round"))["round"].alias("best"), F.max("round").alias("last")).first()
     counted = errors.groupBy("part").agg(F.countDistinct("round").alias("rounds"), F.count("*").alias("lines"))
