@@ -105,11 +105,11 @@ def learning_curve(spark, sf):
 MEAN_RMSE = f"""{rd('sqrt(avg(power(prediction - (SELECT avg(prediction) FROM preds WHERE split = \'train\'), 2)))')} AS rmse_of_mean"""
 
 
-def against_mean(rows):
-    """Rows and error of the plain mean of the training rows, per split, from scored rows."""
+def against_mean(rows, *also):
+    """Rows and error of the plain mean of the training rows, per split, from scored rows; ``also`` are further aggregates of that pass."""
     mean = rows.where(F.col("split") == "train").agg(F.avg(GOAL)).first()[0]
     rmse = lambda c: F.sqrt(F.avg(F.pow(F.col(GOAL) - c, 2)))
-    return rows.groupBy("split").agg(F.count("*").alias("n_rows"), rmse(F.lit(mean)).alias("rmse_of_mean"), rmse(F.col("prediction")).alias("rmse"))
+    return rows.groupBy("split").agg(F.count("*").alias("n_rows"), rmse(F.lit(mean)).alias("rmse_of_mean"), rmse(F.col("prediction")).alias("rmse"), *also)
 
 
 @query("gbt_rounds", with_preds(f"""
@@ -164,11 +164,10 @@ def forest_parts(spark, sf):
     """What must hold of a forest: its trees' mean, their spread, their importances and leaves, from two ways of counting."""
     model, data = forest(spark, sf), labelled(spark, sf)
     both = M.forest_uncertainty(M.score(data, model, FEATURES, "whole"), model, FEATURES)
-    apart = both.groupBy("split").agg(F.max(F.abs(F.col("prediction") - F.col("whole"))).alias("apart"), F.max("pred_std").alias("spread"))
     ranks = M.importances(data, model, FEATURES).collect()
     trees, stats = pack(spark, model), M.tree_stats(data, model).agg(F.sum("leaves").alias("leaves"), F.count("*").alias("trees")).first()
     used = {"popularity", "energy", "valence"}  # the goal is made of these
-    table = against_mean(both).join(apart, "split")
+    table = against_mean(both, F.max(F.abs(F.col("prediction") - F.col("whole"))).alias("apart"), F.max("pred_std").alias("spread"))
     return rounded(table.select(
         "split", "n_rows", "rmse_of_mean", F.lit(len(trees)).alias("trees"), (F.col("apart") < 1e-9).alias("mean_of_trees_is_prediction"),
         (F.col("spread") > 0).alias("trees_differ"), F.lit(abs(sum(r.importance for r in ranks) - 1) < 1e-9).alias("importances_sum_to_1"),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.scalars import clip
+from tunemill.plans.forests import MAX_DEPTH, grow_forest
 from tunemill.plans.trees import pack, spread_of_trees, with_features
 from tunemill.presets import SCORE_TIERS
 
@@ -42,13 +43,18 @@ def _depth(value: int | None) -> int:
 
 
 def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42):
-    """Random forest; parameters under their usual names (n_estimators, max_depth, min_samples_leaf, ...)."""
+    """Random forest; parameters under their usual names (n_estimators, max_depth, min_samples_leaf, ...).
+
+    Trees of up to ``MAX_DEPTH`` levels are grown from histograms, a level of all trees in one job; deeper ones by MLlib's learner.
+    """
     p = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1, "max_features": "1.0", "bootstrap": True,
          **(params or {})}
     learner = RandomForestRegressor(
         numTrees=p["n_estimators"], maxDepth=_depth(p["max_depth"]),
         minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=_subset(p["max_features"]),
         bootstrap=p["bootstrap"], seed=seed, maxMemoryInMB=1024)
+    if learner.getMaxDepth() <= MAX_DEPTH:
+        return grow_forest(df, features, label, learner)
     return learner.fit(assemble(df, features, label).select("features", "label"))
 
 
