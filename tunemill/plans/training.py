@@ -101,6 +101,8 @@ def verify(df: DataFrame, features: list[str], label: str, key: list[str], fit:
     scored = score(rows, first, features)
     one = regression_metrics(scored, label, "prediction", len(features)).withColumn("run", F.lit(1))
     two = regression_metrics(score(rows, second, features), label, "prediction", len(features)).withColumn("run", F.lit(1))
+    # One row each, used twice below: the scores are not computed again for it.
+    one, two = (df.sparkSession.createDataFrame(t.collect(), t.schema) for t in (one, two))
     same_run = runs_match(one, two, ["run"]).first()
     path = scratch_path(df.sparkSession, "verify-model")
     first.write().save(path)
