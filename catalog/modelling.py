@@ -57,7 +57,7 @@ def merged(df):
 
 
 def forest(spark, sf):
-    return fitted(spark, sf, "forest", lambda: M.fit_forest(merged(training(spark, sf)), FEATURES, GOAL, FOREST))
+    return fitted(spark, sf, "forest", lambda: M.fit_forest(merged(training(spark, sf)), FEATURES, GOAL, FOREST, by_levels=True))
 
 
 def boosted(spark, sf):

@@ -42,10 +42,11 @@ def _depth(value: int | None) -> int:
     return value or MAX_TREE_DEPTH
 
 
-def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42):
+def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42, by_levels: bool = False):
     """Random forest; parameters under their usual names (n_estimators, max_depth, min_samples_leaf, ...).
 
-    Trees of up to ``MAX_DEPTH`` levels are grown from histograms, a level of all trees in one job; deeper ones by MLlib's learner.
+    With ``by_levels`` trees of up to ``MAX_DEPTH`` levels are grown from histograms, a level of all trees in one job, which pays for
+    many trees on large tables; otherwise, and if deeper, by MLlib's learner. The two draw their bootstraps differently.
     """
     p = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1, "max_features": "1.0", "bootstrap": True,
          **(params or {})}
@@ -53,7 +54,7 @@ def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | No
         numTrees=p["n_estimators"], maxDepth=_depth(p["max_depth"]),
         minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=_subset(p["max_features"]),
         bootstrap=p["bootstrap"], seed=seed, maxMemoryInMB=1024)
-    if learner.getMaxDepth() <= MAX_DEPTH:
+    if by_levels and learner.getMaxDepth() <= MAX_DEPTH:
         return grow_forest(df, features, label, learner)
     return learner.fit(assemble(df, features, label).select("features", "label"))
 
