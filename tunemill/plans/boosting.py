@@ -66,7 +66,7 @@ def fit_boosting(df: DataFrame, features: list[str], label: str, params: dict |
     held = F.coalesce(validation, F.lit(False)) if validation is not None else F.lit(False)
     rows = df.select(*features, label, held.alias("_held")).persist()
     try:
-        fitted = fit_gbt(rows.where("NOT _held"), features, label, params, seed)
+        fitted = fit_gbt(rows.where("NOT _held"), features, label, params, seed, by_levels=True)
         trees = pack(df.sparkSession, fitted)
         errors = errors_by_round(rows.where("_held"), trees, features, label, F.lit("validation")).orderBy("round").collect()
     finally:

@@ -18,7 +18,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,17 +41,27 @@ _NODES = ("tree int, node int, weight double, total double, squares double, gain
           "left_total double, left_squares double")
 
 
-def cut_points(values: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """Ends of at most ``bins`` intervals with about as many values each, halfway between neighbouring values."""
+def cut_points(values: np.ndarray, bins: int = BINS, size: int | None = None) -> np.ndarray:
+    """Ends of at most ``bins`` intervals with about as many values each, halfway between neighbouring values.
+
+    ``size`` is the number of values that a draw was to have; as in MLlib, what its other values leave of it counts as zeros.
+    """
     distinct, counts = np.unique(values, return_counts=True)
+    total = len(values)
+    if size is not None:
+        zeros, total, other = size - np.count_nonzero(values), size, distinct != 0
+        distinct, counts = distinct[other], counts[other]
+        if zeros > 0:
+            place = np.searchsorted(distinct, 0)
+            distinct, counts = np.insert(distinct, place, 0.0), np.insert(counts, place, zeros)
     middle = (distinct[1:] + distinct[:-1]) / 2
     if len(middle) < bins:
         return middle
-    cuts, target, reached = [], len(values) / bins, counts.cumsum()
+    cuts, target, reached = [], total / bins, counts.cumsum()
     for i in range(1, len(distinct)):
         if abs(reached[i - 1] - target) < abs(reached[i] - target):
             cuts.append(middle[i - 1])
-            target += len(values) / bins
+            target += total / bins
     return np.array(cuts)
 
 
@@ -131,41 +141,44 @@ def _tables(blocks: DataFrame, level: int, trees: range, paths: list, sizes: lis
     return blocks.mapInArrow(run, "tree int, stats binary")
 
 
-def _variance(weight, total, squares):
+def variance(weight, total, squares):
     with np.errstate(divide="ignore", invalid="ignore"):
         return (squares - total * total / weight) / weight
 
 
-def _best_splits(tables: DataFrame, level: int, sizes: list[int], least: float, choice: int, seed: int) -> DataFrame:
-    """The split of largest gain of every node of the level, from the tables of all tasks."""
+def best_of(whole: np.ndarray, level: int, sizes: list[int], least: float, open_to: np.ndarray) -> dict[str, np.ndarray]:
+    """The split of largest gain of every node of a level, from the table (statistic, feature and node and interval) of a tree."""
     nodes = 1 << level
     ends = np.r_[0, np.cumsum(np.array(sizes) * nodes)]
+    first = whole[:, :ends[1]].reshape(STATS, nodes, sizes[0])
+    node = first.sum(axis=2)
+    lefts, gains = [], []
+    for f, size in enumerate(sizes):
+        left = whole[:, ends[f]:ends[f + 1]].reshape(STATS, nodes, size).cumsum(axis=2)[:, :, :-1]
+        right = node[:, :, None] - left
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = variance(*node)[:, None] - (left[0] * variance(*left) + right[0] * variance(*right)) / node[0][:, None]
+        allowed = (left[0] >= least) & (right[0] >= least) & open_to[:, f, None] & np.isfinite(gain)
+        lefts.append(left)
+        gains.append(np.where(allowed, gain, -np.inf))
+    gain, left = np.concatenate(gains, axis=1), np.concatenate(lefts, axis=2)
+    feature = np.repeat(np.arange(len(sizes)), [s - 1 for s in sizes])
+    cut = np.concatenate([np.arange(s - 1) for s in sizes])
+    if not len(cut):
+        gain, left, feature, cut = np.full((nodes, 1), -np.inf), np.zeros((STATS, nodes, 1)), np.zeros(1, int), np.zeros(1, int)
+    top, own = gain.argmax(axis=1), np.arange(nodes)
+    return {"node": own, "weight": node[0], "total": node[1], "squares": node[2], "gain": gain[own, top], "feature": feature[top],
+            "cut": cut[top], "left_weight": left[0, own, top], "left_total": left[1, own, top], "left_squares": left[2, own, top]}
 
+
+def _best_splits(tables: DataFrame, level: int, sizes: list[int], least: float, choice: int, seed: int) -> DataFrame:
+    """The split of largest gain of every node of the level, from the tables of all tasks."""
     def best(group: pd.DataFrame) -> pd.DataFrame:
         tree = int(group["tree"].iat[0])
         whole = sum(np.frombuffer(t) for t in group["stats"]).reshape(STATS, -1)
-        first = whole[:, :ends[1]].reshape(STATS, nodes, sizes[0])
-        node = first.sum(axis=2)
         source = np.random.Generator(np.random.SFC64([seed, level, tree, 1]))
-        open_to = source.random((nodes, len(sizes))).argsort(axis=1).argsort(axis=1) < choice
-        lefts, gains = [], []
-        for f, size in enumerate(sizes):
-            left = whole[:, ends[f]:ends[f + 1]].reshape(STATS, nodes, size).cumsum(axis=2)[:, :, :-1]
-            right = node[:, :, None] - left
-            with np.errstate(divide="ignore", invalid="ignore"):
-                gain = _variance(*node)[:, None] - (left[0] * _variance(*left) + right[0] * _variance(*right)) / node[0][:, None]
-            allowed = (left[0] >= least) & (right[0] >= least) & open_to[:, f, None] & np.isfinite(gain)
-            lefts.append(left)
-            gains.append(np.where(allowed, gain, -np.inf))
-        gain, left = np.concatenate(gains, axis=1), np.concatenate(lefts, axis=2)
-        feature = np.repeat(np.arange(len(sizes)), [s - 1 for s in sizes])
-        cut = np.concatenate([np.arange(s - 1) for s in sizes])
-        if not len(cut):
-            gain, left, feature, cut = np.full((nodes, 1), -np.inf), np.zeros((STATS, nodes, 1)), np.zeros(1, int), np.zeros(1, int)
-        top, own = gain.argmax(axis=1), np.arange(nodes)
-        return pd.DataFrame({"tree": tree, "node": own, "weight": node[0], "total": node[1], "squares": node[2], "gain": gain[own, top],
-                             "feature": feature[top], "cut": cut[top], "left_weight": left[0, own, top], "left_total": left[1, own, top],
-                             "left_squares": left[2, own, top]})
+        open_to = source.random((1 << level, len(sizes))).argsort(axis=1).argsort(axis=1) < choice
+        return pd.DataFrame({"tree": tree, **best_of(whole, level, sizes, least, open_to)})
 
     return tables.groupBy("tree").applyInPandas(best, _NODES)
 
@@ -197,17 +210,17 @@ def _grown(blocks: DataFrame, sizes: list[int], trees: int, depth: int, least: f
                 step_feature[tree, node - start], step_cut[tree, node - start] = rows["feature"], rows["cut"]
         paths.append((step_feature, step_cut))
         below = stats[:, 2 * start:4 * start]
-        mixed = _variance(*np.moveaxis(below, 2, 0)) > ROUNDING * below[:, :, 2] / np.maximum(below[:, :, 0], 1)
+        mixed = variance(*np.moveaxis(below, 2, 0)) > ROUNDING * below[:, :, 2] / np.maximum(below[:, :, 0], 1)
         active = np.repeat(feature[:, start:2 * start] >= 0, 2, axis=1) & mixed
         if not active.any():
             break
     return stats, gain, feature, cut
 
 
-def _saved_nodes(tree: int, stats, gain, feature, cut, cuts: list[np.ndarray]) -> list[tuple]:
+def saved_nodes(tree: int, stats, gain, feature, cut, cuts: list[np.ndarray]) -> list[tuple]:
     """A tree's nodes in MLlib's saved form, numbered downwards from the left; equal neighbouring leaves become one."""
     value = stats[:, 1] / np.where(stats[:, 0] == 0, 1, stats[:, 0])
-    spread = np.maximum(_variance(*stats.T), 0.0)
+    spread = np.maximum(variance(*stats.T), 0.0)
     inner = feature >= 0
     for node in range(len(inner) // 2 - 1, 0, -1):
         if inner[node] and not inner[2 * node] and not inner[2 * node + 1] and value[2 * node] == value[2 * node + 1]:
@@ -232,29 +245,28 @@ _SAVED = ("treeID int, nodeData struct<id: int, prediction: double, impurity: do
           "numCategories: int>>")
 
 
-def _model(spark: SparkSession, learner: RandomForestRegressor, nodes: list[tuple], features: int, trees: int) -> RandomForestRegressionModel:
-    """MLlib's model with these trees, read from its saved form."""
-    def described(kind: str, uid: str, **more) -> str:
+def saved_model(spark: SparkSession, learner, kind: type, nodes: list[tuple], features: int, weights: list[float]):
+    """MLlib's model of the class ``kind`` with these trees, read from its saved form; ``weights`` are what the trees count."""
+    def described(name: str, uid: str, **more) -> str:
         own = {p.name: v for p, v in learner.extractParamMap().items() if learner.isSet(p)}
         usual = {p.name: learner._defaultParamMap[p] for p in learner.params if learner.hasDefault(p)}
-        return json.dumps({"class": f"org.apache.spark.ml.regression.{kind}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version,
+        return json.dumps({"class": f"org.apache.spark.ml.regression.{name}", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version,
                            "uid": uid, "paramMap": own, "defaultParamMap": {**usual, "leafCol": ""}, **more})
 
-    path = scratch_path(spark, "forest")
-    whole = described("RandomForestRegressionModel", learner.uid, numFeatures=features, numTrees=trees)
+    path = scratch_path(spark, "grown")
+    whole = described(kind.__name__, learner.uid, numFeatures=features, numTrees=len(weights))
     spark.createDataFrame([(whole,)], "value string").coalesce(1).write.text(f"{path}/metadata")
     spark.createDataFrame(nodes, _SAVED).write.parquet(f"{path}/data")
-    only = ("bootstrap", "numTrees", "featureSubsetStrategy", "subsamplingRate")
     single = json.loads(described("DecisionTreeRegressionModel", ""))
     for values in (single["paramMap"], single["defaultParamMap"]):
-        for name in only:
-            values.pop(name, None)
-    rows = [(i, json.dumps({**single, "uid": f"{learner.uid}_{i}"}), 1.0) for i in range(trees)]
+        for name in [n for n in values if n != "leafCol" and not DecisionTreeRegressor().hasParam(n)]:
+            values.pop(name)
+    rows = [(i, json.dumps({**single, "uid": f"{learner.uid}_{i}"}), float(w)) for i, w in enumerate(weights)]
     spark.createDataFrame(rows, "_1 int, _2 string, _3 double").write.parquet(f"{path}/treesMetadata")
-    return RandomForestRegressionModel.load(path)
+    return kind.load(path)
 
 
-def _number(name: str):
+def number(name: str):
     """The column as a double; a value without an end is an error, as in MLlib's learners."""
     value = F.col(name).cast("double")
     return F.when(F.abs(value) < float("inf"), value).otherwise(F.raise_error(F.lit(f"column {name} has a value that is not finite")).cast("double"))
@@ -265,7 +277,7 @@ def grow_forest(df: DataFrame, features: list[str], label: str, learner: RandomF
     spark = df.sparkSession
     tasks = max(8, spark.sparkContext.defaultParallelism)
     rows = with_features(df, features).where(F.col(label).isNotNull()).select(
-        _number(label).alias("goal"), *[_number(c).alias(f"x{i}") for i, c in enumerate(features)]).coalesce(tasks)
+        number(label).alias("goal"), *[number(c).alias(f"x{i}") for i, c in enumerate(features)]).coalesce(tasks)
     trees, depth, seed = learner.getNumTrees(), learner.getMaxDepth(), learner.getSeed()
     drawn = rows.withColumn("_at", F.rand(seed)).orderBy("_at").limit(SAMPLE).drop("_at").toPandas()
     if drawn.empty:
@@ -277,5 +289,5 @@ def grow_forest(df: DataFrame, features: list[str], label: str, learner: RandomF
                        features_per_node(learner.getFeatureSubsetStrategy(), trees, len(features)), seed, learner.getBootstrap())
     finally:
         blocks.unpersist()
-    nodes = [row for t in range(trees) for row in _saved_nodes(t, *[a[t] for a in grown], cuts)]
-    return _model(spark, learner, nodes, len(features), trees)
+    nodes = [row for t in range(trees) for row in saved_nodes(t, *[a[t] for a in grown], cuts)]
+    return saved_model(spark, learner, RandomForestRegressionModel, nodes, len(features), [1.0] * trees)

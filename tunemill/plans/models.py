@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.functions.scalars import clip
+from tunemill.plans import residuals
 from tunemill.plans.forests import MAX_DEPTH, grow_forest
 from tunemill.plans.trees import pack, spread_of_trees, with_features
 from tunemill.presets import SCORE_TIERS
@@ -60,14 +61,20 @@ def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | No
 
 
 def fit_gbt(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42,
-            validation: Column | None = None):
-    """Gradient boosting; with a ``validation`` condition training stops when those rows no longer improve."""
+            validation: Column | None = None, by_levels: bool = False):
+    """Gradient boosting; with a ``validation`` condition training stops when those rows no longer improve.
+
+    With ``by_levels`` and no ``validation`` the trees are grown from histograms of cells of rows, with MLlib's rules, if they learn from
+    all rows and features and are not too deep for tables of bounded size; otherwise by MLlib's learner.
+    """
     p = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "min_child_weight": 1,
          "gamma": 0.0, "max_features": "all", **(params or {})}
     learner = GBTRegressor(
         maxIter=p["n_estimators"], maxDepth=_depth(p["max_depth"]), stepSize=p["learning_rate"],
         subsamplingRate=p["subsample"], minInstancesPerNode=p["min_child_weight"], minInfoGain=p["gamma"],
         featureSubsetStrategy=_subset(p["max_features"]), seed=seed, maxMemoryInMB=1024)
+    if by_levels and validation is None and residuals.by_levels(learner, len(features)):
+        return residuals.grow_boosted(df, features, label, learner)
     rows = assemble(df, features, label)
     if validation is None:
         return learner.fit(rows.select("features", "label"))

@@ -24,6 +24,10 @@ from tunemill.session import scratch_path
 #: Rows times trees that are walked at once in a task.
 WALKED = 1 << 20
 LEAF = -1
+#: Trees of up to this many leaves are read by a bit for each leaf; a number whose products with the single bits differ in their first six.
+LEAVES, HASH = 64, 0x03F79D71B4CB0A89
+#: Deeper trees are walked without counting their leaves.
+DEEPEST = 12
 
 
 @dataclass(frozen=True)
@@ -76,8 +80,43 @@ class Trees:
         follow = np.column_stack([np.where(inner, self.left, own), np.where(inner, self.right, own)]).astype(np.int32)
         return np.maximum(self.feature, 0), follow.ravel()
 
+    @cached_property
+    def _reached(self) -> tuple[list[np.ndarray], list[tuple]] | None:
+        """Cuts by feature and, by tree, which leaves (bits) the interval of each feature leaves open, and their values by hash.
+
+        Every row has one leaf that all its intervals leave open. None if a tree has more leaves than bits.
+        """
+        inner = np.flatnonzero(self.feature != LEAF)
+        cuts = [np.unique(self.cut[inner][self.feature[inner] == f]) for f in range(self.feature.max(initial=LEAF) + 1)]
+        trees = []
+        for root, weight in zip(self.roots, self.weights):
+            open_to, values = {}, np.zeros(LEAVES)
+
+            def below(node: int, first: int) -> int:
+                """The number after that of the last leaf under ``node``, whose leaves count from ``first``."""
+                f = int(self.feature[node])
+                if f == LEAF:
+                    if first < LEAVES:
+                        values[((HASH << first) % (1 << 64)) >> 58] = self.value[node] * weight
+                    return first + 1
+                middle = below(self.left[node], first)
+                end = below(self.right[node], middle)
+                if end <= LEAVES:
+                    table = open_to.setdefault(f, np.full(len(cuts[f]) + 1, (1 << 64) - 1, np.uint64))
+                    at = np.searchsorted(cuts[f], self.cut[node]) + 1
+                    table[:at] &= np.uint64(~((1 << end) - (1 << middle)) % (1 << 64))
+                    table[at:] &= np.uint64(~((1 << middle) - (1 << first)) % (1 << 64))
+                return end
+
+            if (leaves := below(int(root), 0)) > LEAVES:
+                return None
+            trees.append((np.uint64((1 << leaves) - 1), list(open_to.items()), values))
+        return cuts, trees
+
     def each(self, x: np.ndarray) -> np.ndarray:
         """(rows, trees): the value of every tree for every row, times the tree's weight."""
+        if self.depth <= DEEPEST and self._reached is not None:
+            return self._each_by_leaves(x)
         out = np.empty((len(x), len(self)))
         rows = max(1, WALKED // max(1, len(self)))
         feature, follow = self._steps
@@ -91,6 +130,17 @@ class Trees:
             out[at:at + rows] = self.value.take(node).reshape(len(part), len(self)) * self.weights
         return out
 
+    def _each_by_leaves(self, x: np.ndarray) -> np.ndarray:
+        cuts, trees = self._reached
+        out, rows = np.empty((len(self), len(x))), max(1, WALKED // max(1, len(self)))
+        for at in range(0, len(x), rows):
+            interval = [np.searchsorted(c, x[at:at + rows, f]) for f, c in enumerate(cuts)]
+            for t, (every, tables, values) in enumerate(trees):
+                leaf = every
+                for f, table in tables:
+                    leaf = leaf & table.take(interval[f])
+                out[t, at:at + rows] = values.take((leaf * np.uint64(HASH) >> np.uint64(58)).astype(np.int64)) if tables else values[HASH >> 58]
+        return out.T
 
     def total(self, x: np.ndarray) -> np.ndarray:
         """The prediction for every row."""
