@@ -15,8 +15,9 @@ from pyspark.ml.linalg import DenseVector, Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tunemill.plans.models import fit_forest, fit_gbt
+from tunemill.plans.models import fit_forest, fit_gbt, forest_learner, gbt_learner
 from tunemill.plans.trees import Trees, errors_by_round, pack, score_trees
+from tunemill.plans.trials import search_errors
 from tunemill.plans.tune import draw
 
 PATIENCE = 20
@@ -82,7 +83,7 @@ def curve(df: DataFrame, model: Boosted, label: str, part: Column) -> DataFrame:
 
 
 def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str], label: str, trials: int = 50, seed: int = 42,
-           patience: int = PATIENCE, parallelism: int = 4, first_rung: int = FIRST_RUNG,
+           patience: int = PATIENCE, parallelism: int = 4, first_rung: int | None = FIRST_RUNG,
            rungs: int | None = None) -> tuple[dict, DataFrame]:
     """Best parameters and the log (trial, params, rung, trees, best_round, rmse, is_best) of a search in rungs.
 
@@ -91,6 +92,9 @@ def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str
     keeps what it has. Points that differ only in ``n_estimators`` share one ensemble. A trial is judged by its best error on
     "val" in the highest rung it reached, the earlier one on ties. ``rungs`` ends the search early. The rows
     are cached for the length of the search.
+
+    Without a ``first_rung`` there is one rung, in which every trial gets all its trees (boosting as far as its patience goes). Then
+    tasks grow whole ensembles from cells of rows (``trials``), if these can be held by a task.
     """
     rng = random.Random(seed)
     points = [draw(space, rng) for _ in range(trials)]
@@ -107,8 +111,20 @@ def search(df: DataFrame, kind: str, space: dict[str, tuple], features: list[str
         rows = errors_by_round(val, trees, features, label, F.lit("val")).collect()
         return [r.rmse for r in sorted(rows, key=lambda r: r["round"])]
 
-    alive, rung, budget, results = list(range(trials)), 0, first_rung, {}
+    whole: dict[str, list[int]] = {}
+    for point in points:
+        whole.setdefault(family(point), []).append(point["n_estimators"])
+    alive, rung, budget, results = list(range(trials)), 0, first_rung or max(p["n_estimators"] for p in points), {}
     try:
+        if first_rung is None:
+            learner = gbt_learner if kind == "gbt" else forest_learner
+            families = {own: (learner({**json.loads(own), "n_estimators": max(n)}, seed), n) for own, n in whole.items()}
+            held = search_errors(data, kind, families, features, label, F.col("split") == "train", patience, seed)
+            for i in alive if held is not None else []:
+                own, n = held[family(points[i])], points[i]["n_estimators"]
+                best, last = best_round(own[:n], patience) if kind == "gbt" else (n, n)
+                results[i] = (0, last, best, own[best - 1] if kind == "gbt" else own[n])
+            alive = [] if held is not None else alive
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             while alive and (rungs is None or rung < rungs):
                 wanted: dict[str, int] = {}

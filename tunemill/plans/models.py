@@ -43,18 +43,33 @@ def _depth(value: int | None) -> int:
     return value or MAX_TREE_DEPTH
 
 
+def forest_learner(params: dict | None = None, seed: int = 42) -> RandomForestRegressor:
+    """MLlib's learner with parameters under their usual names (n_estimators, max_depth, min_samples_leaf, ...)."""
+    p = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1, "max_features": "1.0", "bootstrap": True,
+         **(params or {})}
+    return RandomForestRegressor(
+        numTrees=p["n_estimators"], maxDepth=_depth(p["max_depth"]),
+        minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=_subset(p["max_features"]),
+        bootstrap=p["bootstrap"], seed=seed, maxMemoryInMB=1024)
+
+
+def gbt_learner(params: dict | None = None, seed: int = 42) -> GBTRegressor:
+    """MLlib's learner with parameters under their usual names."""
+    p = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "min_child_weight": 1,
+         "gamma": 0.0, "max_features": "all", **(params or {})}
+    return GBTRegressor(
+        maxIter=p["n_estimators"], maxDepth=_depth(p["max_depth"]), stepSize=p["learning_rate"],
+        subsamplingRate=p["subsample"], minInstancesPerNode=p["min_child_weight"], minInfoGain=p["gamma"],
+        featureSubsetStrategy=_subset(p["max_features"]), seed=seed, maxMemoryInMB=1024)
+
+
 def fit_forest(df: DataFrame, features: list[str], label: str, params: dict | None = None, seed: int = 42, by_levels: bool = False):
     """Random forest; parameters under their usual names (n_estimators, max_depth, min_samples_leaf, ...).
 
     With ``by_levels`` trees of up to ``MAX_DEPTH`` levels are grown from histograms, a level of all trees in one job, which pays for
     many trees on large tables; otherwise, and if deeper, by MLlib's learner. The two draw their bootstraps differently.
     """
-    p = {"n_estimators": 100, "max_depth": 10, "min_samples_leaf": 1, "max_features": "1.0", "bootstrap": True,
-         **(params or {})}
-    learner = RandomForestRegressor(
-        numTrees=p["n_estimators"], maxDepth=_depth(p["max_depth"]),
-        minInstancesPerNode=p["min_samples_leaf"], featureSubsetStrategy=_subset(p["max_features"]),
-        bootstrap=p["bootstrap"], seed=seed, maxMemoryInMB=1024)
+    learner = forest_learner(params, seed)
     if by_levels and learner.getMaxDepth() <= MAX_DEPTH:
         return grow_forest(df, features, label, learner)
     return learner.fit(assemble(df, features, label).select("features", "label"))
@@ -67,12 +82,7 @@ def fit_gbt(df: DataFrame, features: list[str], label: str, params: dict | None
     With ``by_levels`` and no ``validation`` the trees are grown from histograms of cells of rows, with MLlib's rules, if they learn from
     all rows and features and are not too deep for tables of bounded size; otherwise by MLlib's learner.
     """
-    p = {"n_estimators": 100, "max_depth": 5, "learning_rate": 0.1, "subsample": 1.0, "min_child_weight": 1,
-         "gamma": 0.0, "max_features": "all", **(params or {})}
-    learner = GBTRegressor(
-        maxIter=p["n_estimators"], maxDepth=_depth(p["max_depth"]), stepSize=p["learning_rate"],
-        subsamplingRate=p["subsample"], minInstancesPerNode=p["min_child_weight"], minInfoGain=p["gamma"],
-        featureSubsetStrategy=_subset(p["max_features"]), seed=seed, maxMemoryInMB=1024)
+    learner = gbt_learner(params, seed)
     if by_levels and validation is None and residuals.by_levels(learner, len(features)):
         return residuals.grow_boosted(df, features, label, learner)
     rows = assemble(df, features, label)
