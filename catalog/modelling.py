@@ -176,14 +176,14 @@ def forest_parts(spark, sf):
         (F.col("rmse") < 0.5 * F.col("rmse_of_mean")).alias("far_better_than_mean")))
 
 
-#: Every trial of boosting gets all its trees. Those of forests are fewer than the 50 up to the last rung that the search makes by default.
-TRIALS, RUNGS = {"gbt": 50, "forest": 6}, {"gbt": {"first_rung": None}, "forest": {"rungs": 2}}
+#: Every trial of these searches gets all its trees.
+TRIALS = {"gbt": 50, "forest": 50}
 
 
 def searched(spark, sf, kind, space):
     """The search over the whole space, made once per session and table."""
     data = merged(labelled(spark, sf))
-    return fitted(spark, sf, f"search-{kind}", lambda: B.search(data, kind, space, FEATURES, GOAL, TRIALS[kind], patience=PATIENCE, **RUNGS[kind]))
+    return fitted(spark, sf, f"search-{kind}", lambda: B.search(data, kind, space, FEATURES, GOAL, TRIALS[kind], patience=PATIENCE, first_rung=None))
 
 
 def log_holds(log, best, space):

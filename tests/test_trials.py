@@ -12,6 +12,7 @@ from tunemill.operators.evaluate import regression_metrics
 from tunemill.plans import boosting as B
 from tunemill.plans import trials as T
 from tunemill.plans.models import forest_learner
+from tunemill.plans.tune import refit_and_test
 
 FEATURES = ["a", "b", "c"]
 
@@ -98,6 +99,14 @@ def test_forests_and_subsamples_are_as_good_as_those_of_mllib(data, monkeypatch)
         assert a.params == b.params and abs(a.rmse - b.rmse) < 0.1 * b.rmse
 
 
+def test_refit_by_cells_and_by_mllib(data, monkeypatch):
+    params = {"max_depth": 6, "n_estimators": 40, "bootstrap": True}
+    own = refit_and_test(data, "forest", params, FEATURES, "goal")[1].first()
+    monkeypatch.setattr(T, "HELD", -1)
+    other = refit_and_test(data, "forest", params, FEATURES, "goal")[1].first()
+    assert own.rows == other.rows == data.where("split = 'test' AND c IS NOT NULL").count() and abs(own.rmse - other.rmse) < 0.05 * other.rmse
+
+
 @pytest.mark.parametrize("counts", [128, 0])
 def test_rows_of_a_cell_are_drawn_one_by_one(monkeypatch, counts):
     monkeypatch.setattr(T, "COUNTS", counts)
@@ -123,3 +132,12 @@ def test_registered_boosting_search_is_whole(spark, sf):
     asked = [json.loads(r.params)["n_estimators"] for r in rows]
     assert len(rows) == 50 and all(n >= 100 for n in asked)
     assert all(r.trees == n or r.trees == r.best_round + modelling.PATIENCE for r, n in zip(rows, asked))
+
+
+def test_registered_forest_searches_are_whole(spark, sf):
+    log = modelling.searched(spark, sf, "forest", modelling.FOREST_SPACE)[1].collect()
+    assert len(log) == 50 and all(r.trees == json.loads(r.params)["n_estimators"] >= 50 for r in log)
+    best = QUERIES["tune_forest"](spark, sf).first()
+    found = {r.name: r.value for r in QUERIES["best_parameters"](spark, sf).collect()}
+    assert best.trees == int(found["n_estimators"]) and found == {k: str(v) for k, v in json.loads(best.params).items()}
+    assert {r.trials for r in QUERIES["tune_logs"](spark, sf).collect()} == {50}

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tunemill.operators.evaluate import regression_metrics
-from tunemill.plans.models import fit_forest, fit_gbt, score
+from tunemill.plans.models import fit_forest, fit_gbt, forest_learner, score
+from tunemill.plans.trials import fit_forest_rows
 
 FITTERS = {"gbt": fit_gbt, "forest": fit_forest}
 
@@ -62,9 +63,15 @@ def random_search(df: DataFrame, kind: str, space: dict[str, tuple], features: l
 
 
 def refit_and_test(df: DataFrame, kind: str, params: dict, features: list[str], label: str, seed: int = 42):
-    """Fit on train and validation rows with the chosen parameters; returns the model and its test metrics."""
-    model = FITTERS[kind](df.where(F.col("split").isin("train", "val")), features, label, params, seed=seed)
-    tested = score(df.where(F.col("split") == "test"), model, features)
+    """Fit on train and validation rows with the chosen parameters; returns the model and its test metrics.
+
+    A forest is fitted as the search does, from cells of rows that a task holds, or else by MLlib's learner.
+    """
+    rows, test = df.where(F.col("split").isin("train", "val")), df.where(F.col("split") == "test")
+    if kind == "forest" and (model := fit_forest_rows(rows, features, label, forest_learner(params, seed))) is not None:
+        return model, regression_metrics(model.score(test), label, "prediction", len(features))
+    model = FITTERS[kind](rows, features, label, params, seed=seed)
+    tested = score(test, model, features)
     return model, regression_metrics(tested, label, "prediction", len(features))
 
 
