@@ -68,8 +68,14 @@ def refit_and_test(df: DataFrame, kind: str, params: dict, features: list[str],
     A forest is fitted as the search does, from cells of rows that a task holds, or else by MLlib's learner.
     """
     rows, test = df.where(F.col("split").isin("train", "val")), df.where(F.col("split") == "test")
-    if kind == "forest" and (model := fit_forest_rows(rows, features, label, forest_learner(params, seed))) is not None:
-        return model, regression_metrics(model.score(test), label, "prediction", len(features))
+    if kind == "forest":
+        held = rows.select(*features, label).persist()
+        try:
+            model = fit_forest_rows(held, features, label, forest_learner(params, seed))
+        finally:
+            held.unpersist()
+        if model is not None:
+            return model, regression_metrics(model.score(test), label, "prediction", len(features))
     model = FITTERS[kind](rows, features, label, params, seed=seed)
     tested = score(test, model, features)
     return model, regression_metrics(tested, label, "prediction", len(features))
